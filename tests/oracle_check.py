@@ -41,11 +41,14 @@ def kind(t: str) -> str:
 
 def compare(df, con, sql: str):
     """(matches, note) for a Spark result and an SQL text."""
+    start = time.time()
+    ours = df.collect()
+    mid = time.time()
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
-    types = {r[0]: kind(r[1]) for r in con.execute(f"describe {sql}").fetchall()}
-    theirs = con.execute(sql).fetchall()
-    ours = df.collect()
+    types = {d[0]: kind(str(d[1])) for d in cur.description}
+    theirs = cur.fetchall()
+    print(f"    spark {mid - start:.1f}s sql {time.time() - mid:.1f}s", flush=True)
     if sorted(df.columns) != sorted(names):
         return False, f"columns {sorted(df.columns)} vs {sorted(names)}"
     note = [f"{c}:{t}/{types[c]}" for c, t in df.dtypes if kind(t) != types[c]]
