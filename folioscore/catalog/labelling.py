@@ -36,8 +36,10 @@ def labels_sql(src: str) -> str:
     and a.x0<=b.x1 and b.x0<=a.x1),
  ed2 as materialized (select u,v from ed union all select v,u from ed),
  prop(id,root) using key (id) as (select id, id root from rr union
-    select ed2.v, min(p.root) from prop p join ed2 on ed2.u=p.id join recurring.prop r on r.id=ed2.v
-    where p.root<r.root group by ed2.v),
+    select c.id, min(c.root) from (
+      select ed2.v id, p.root from prop p join ed2 on ed2.u=p.id union all
+      select r.id, p.root from prop p join recurring.prop r on r.root=p.id) c
+    join recurring.prop o on o.id=c.id where c.root<o.root group by c.id),
  lab as materialized (select rr.*, prop.root from rr join prop using (id)),
  stat as materialized (select image_id, root, min(x0) x, min(y) y, max(x1)-min(x0)+1 w, max(y)-min(y)+1 h,
     sum(x1-x0+1)::bigint area from lab group by 1,2),

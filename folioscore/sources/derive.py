@@ -135,14 +135,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a true and a predicted value: order total against the sum of its lines."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.round(F.sum(charge), 2).alias("y_pred"))
+        F.round(F.sum(charge), 7).alias("y_pred"))
     return (table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("y_true"), "y_pred"))
 
 
 PRED_SQL = """pred as materialized (
   select o_orderkey id, o_totalprice y_true, y_pred from orders join (
-    select l_orderkey, round(sum(l_extendedprice*(1-l_discount)*(1+l_tax)),2) y_pred
+    select l_orderkey, round(sum(l_extendedprice*(1-l_discount)*(1+l_tax)),7) y_pred
     from lineitem group by 1) on o_orderkey=l_orderkey)"""
 
 FEATURE_NAMES = ["x1", "x2", "x3", "x4", "x5"]
@@ -155,7 +155,7 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").alias("x1"), F.round(F.avg("l_discount"), 9).alias("x2"),
         F.round(F.avg("l_tax"), 9).alias("x3"), F.count(F.lit(1)).cast("double").alias("x4"),
         F.max("l_extendedprice").alias("x5"),
-        F.round(F.sum(revenue) / 1000000, 9).alias("y"))
+        F.round(F.sum(revenue) / 1000000, 11).alias("y"))
     return (table(spark, sf_dir, "orders").select("o_orderkey")
             .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
             .select(F.col("o_orderkey").alias("id"), *FEATURE_NAMES, "y"))
@@ -165,7 +165,7 @@ FEAT_SQL = """feat as materialized (
   select o_orderkey id, x1, x2, x3, x4, x5, y from orders join (
     select l_orderkey, sum(l_quantity) x1, round(avg(l_discount),9) x2, round(avg(l_tax),9) x3,
       cast(count(*) as double) x4, max(l_extendedprice) x5,
-      round(sum(l_extendedprice*(1-l_discount))/1000000,9) y
+      round(sum(l_extendedprice*(1-l_discount))/1000000,11) y
     from lineitem group by 1) on o_orderkey=l_orderkey)"""
 
 
