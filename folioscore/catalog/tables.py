@@ -319,7 +319,7 @@ def contour(spark, sf):
     return lg.contour(trials(spark, sf), "depth", "rate").withColumn("value", F.round("value", 6))
 
 
-@query("W7_trial_durations", with_sql(TRIALS_SQL) + "select concat('run',trial) run_id, cast(depth as double) as "seconds" from trials")
+@query("W7_trial_durations", with_sql(TRIALS_SQL) + """select concat('run',trial) run_id, cast(depth as double) as "seconds" from trials""")
 def durations(spark, sf):
     return lg.durations(ledger_rows(spark, sf))
 
