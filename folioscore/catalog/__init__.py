@@ -29,4 +29,4 @@ def load_all() -> None:
         importlib.import_module(f"{__name__}.{module}")
 
 
-MODULES = ["components", "pixels", "labelling", "tables", "learning"]
+MODULES = ["components", "pixels", "labelling", "tables", "learning", "geometry", "streams", "corpora"]

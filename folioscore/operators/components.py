@@ -64,8 +64,9 @@ def _join_band(band: pa.Table) -> pa.Table:
 def label_runs(rows: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
     """Runs with their component: ``(image_id, y, x0, x1, root)``."""
     found = runs(rows).withColumn("band", F.expr(f"y div {band_rows}"))
+    key = rows.schema["image_id"].dataType.simpleString()
     local = materialize(found.groupBy("image_id", "band").applyInArrow(
-        _join_band, "image_id long, y int, x0 int, x1 int, root long"), "runs")
+        _join_band, f"image_id {key}, y int, x0 int, x1 int, root long"), "runs")
     merged = contract(seams(local, band_rows))
     if merged is None:
         return local
