@@ -19,9 +19,14 @@ def build_session(app: str = "folioscore", master: str | None = None,
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
+        # scanline work is heavy for its bytes: do not merge small shuffles into one local task
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        if master.startswith("local"):  # one JVM does everything: size it, executors size themselves
+            builder = builder.config("spark.driver.memory", os.environ.get("FOLIOSCORE_MEMORY", "12g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
