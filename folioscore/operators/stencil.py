@@ -13,9 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore import schema as S
-from folioscore.functions import (count_diff, count_true, eps_ratio, fold_lines, row_max, row_min, saturate,
-                                  shift_clamp, shift_reflect, sum_array, taps_reflect,
-                                  taps_replicate)
+from folioscore.functions import (count_diff, count_true, eps_ratio, fold_lines, padded, pairs_of, row_max, row_min,
+                                  saturate, shift_clamp, shift_reflect, taps_reflect)
 from folioscore.operators.bands import (banded, core_rows, replicate_down, replicate_up,
                                         with_neighbours)
 
@@ -133,8 +132,10 @@ def local_mean(df: DataFrame, weights: list[float], out: str) -> DataFrame:
 
     pairs = [(replicate_up("px", k), replicate_down("px", k)) for k in range(1, r + 1)]
     df = df.withColumn("t", _weighted(weights, F.col("px"), pairs))
-    mean = F.transform(taps_replicate(F.col("t"), weights), lambda a: F.floor(a + 0.5).cast("int"))
-    return _drop_neighbours(df.withColumn(out, mean), r, r)
+    df = df.withColumn("pad", padded(F.col("t"), r))
+    total = _weighted(weights, F.col("t"), pairs_of(F.col("t"), F.col("pad"), r))
+    mean = F.transform(total, lambda a: F.floor(a + 0.5).cast("int"))
+    return _drop_neighbours(df.withColumn(out, mean), r, r).drop("pad")
 
 
 def adaptive_threshold(df: DataFrame, inverse: bool) -> DataFrame:
@@ -252,11 +253,12 @@ def page_counts(rows: DataFrame) -> DataFrame:
         "cv": fold_lines(F.least, F.col("gm"), F.coalesce("gu", "gm"), F.coalesce("gd", "gm"))})
     df = df.withColumns({"op": row_max(F.col("ov")), "cl": row_min(F.col("cv"))})
 
-    def majority(v: Column, r: int) -> Column:
-        def box(a: Column, i: Column) -> Column:
-            return reduce(lambda p, q: p + q, [shift_clamp(v, i, d) for d in range(-r, r + 1) if d], a)
+    df = df.withColumns({"pad3": padded(F.col("sum3"), 1), "pad5": padded(F.col("sum5"), 2)})
+
+    def majority(v: Column, pad: Column, r: int) -> Column:
+        box = add(v, *[side for pair in pairs_of(v, pad, r) for side in pair])
         need = ((2 * r + 1) ** 2 + 1) // 2 * 255
-        return count_true(F.zip_with(F.transform(v, box), "px", lambda b, p: (b >= need) != (p > 0)))
+        return count_true(F.zip_with(box, "px", lambda b, p: (b >= need) != (p > 0)))
 
     def above_threshold(t: int) -> Column:
         return count_true(F.zip_with("blur", "px", lambda b, v: (b > t) != (v > 0)))
@@ -265,7 +267,7 @@ def page_counts(rows: DataFrame) -> DataFrame:
         "closing": count_diff(px, F.col("cl")), "opening": count_diff(px, F.col("op")),
         "blurred": count_diff(px, F.col("blur")),
         **{f"gaussian_{i}": above_threshold(t) for i, t in enumerate(S.GAUSS_THRESHOLDS, 1)},
-        "median_1": majority(F.col("sum3"), 1), "median_2": majority(F.col("sum5"), 2),
+        "median_1": majority(F.col("sum3"), F.col("pad3"), 1), "median_2": majority(F.col("sum5"), F.col("pad5"), 2),
         "gradients_1": count_true(F.col("gx")), "gradients_2": count_true(F.col("gy")),
         "gradients_3": count_diff(F.col("gx"), F.col("gy")),
     }

@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when its files make fewer splits than there are cores.
+
+    Decoding a page is heavy for its bytes, so a single small file should not be one task. A scan
+    that already has enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # ---------------------------------------------------------------- gray pages, 8 x 8
 
 def gray_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +50,7 @@ GRAY_SQL = """gray as materialized (
 def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents laid out in lines of 64 characters, blanks filling the last line."""
     lines = F.regexp_extract_all("text", F.lit(r"([\s\S]{1,%d})" % PAGE_COLUMNS), F.lit(1))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         F.col("doc_id").alias("image_id"), F.posexplode(lines).alias("y", "line")).select(
         "image_id", "y", F.rpad("line", PAGE_COLUMNS, " ").alias("line"))
 
