@@ -44,7 +44,7 @@ def standard(spark, sf):
     return scaled(spark, sf).select("id", *[F.round(c, 6).alias(c) for c in X])
 
 
-def solve_sql(alpha: float) -> str:
+def solve_sql(alpha: float, final: str = "") -> str:
     """Normal equations of the scaled features, solved by elimination written out as CTEs."""
     idx = range(len(X))
     first = [f"n*covar_pop({X[i]},{X[j]})/(stddev_pop({X[i]})*stddev_pop({X[j]}))" + (f"+{alpha}" if i == j else "") + f" a{i}{j}"
@@ -59,6 +59,8 @@ def solve_sql(alpha: float) -> str:
             cols.append(f"b{k}/a{k}{k} b{k}" if i == k else f"b{i}-b{k}*{f} b{i}")
         ctes.append(f"m{k + 1} as (select b, {', '.join(cols)} from m{k})")
     names = ", ".join(f"'{c}'" for c in X)
+    if final:
+        return with_sql(FEAT_SQL, *ctes) + final
     return with_sql(FEAT_SQL, *ctes) + f"""select unnest(['intercept', {names}]) term,
  round(unnest([b, {', '.join(f'b{i}' for i in idx)}]),6) weight from m{len(X)}"""
 
@@ -123,11 +125,15 @@ def bagging(spark, sf):
     return fit_metrics(spark, sf, "Bagging", {"n_estimators": 8, "max_features": 0.5})
 
 
-@query("S8_M13_saved_model_prediction")
+_LINE = "+".join(f"b{i}*({c}-m{i})/s{i}" for i, c in enumerate(X))
+_PARAMS = ", ".join(f"avg({c}) m{i}, stddev_pop({c}) s{i}" for i, c in enumerate(X))
+
+
+@query("S8_M13_saved_model_prediction", solve_sql(0.0, f"select id, round(b+{_LINE},6) prediction from feat, m{len(X)}, (select {_PARAMS} from feat)"))
 def saved_model(spark, sf):
     df, path = feature_rows(spark, sf), scratch_path(spark, "model")
     md.train(df, X, "y", "id", "Linear").write().overwrite().save(path)
-    return md.predict(PipelineModel.load(path), df).select("id", "prediction")
+    return md.predict(PipelineModel.load(path), df).select("id", F.round("prediction", 6).alias("prediction"))
 
 
 def metric_query(name: str, sql: str, scale: float = 1.0):

@@ -122,19 +122,18 @@ def srocc(pred: DataFrame) -> DataFrame:
     pairs = pred.groupBy(Y, P).agg(F.count(F.lit(1)).alias("n"))
     ranked = pairs.join(average_ranks(pred, Y).drop("n"), Y).join(average_ranks(pred, P).drop("n"), P)
     a, b, n = F.col(f"{Y}_rank"), F.col(f"{P}_rank"), F.col("n")
-    mean = (F.sum("n") + 1) / 2  # the mean of all ranks is known
-    centred = ranked.crossJoin(F.broadcast(pairs.agg(mean.alias("m"))))
-    da, db = a - F.col("m"), b - F.col("m")
-    return centred.agg(F.try_divide(F.sum(da * db * n), F.sqrt(F.sum(da * da * n) * F.sum(db * db * n)))
-                       .alias("SROCC"))
+    mean = ((pairs.agg(F.sum("n")).first()[0] or 0) + 1) / 2  # the mean of all ranks is known
+    da, db = a - F.lit(mean), b - F.lit(mean)
+    return ranked.agg(F.try_divide(F.sum(da * db * n), F.sqrt(F.sum(da * da * n) * F.sum(db * db * n)))
+                      .alias("SROCC"))
 
 
 def evaluate(pred: DataFrame) -> DataFrame:
     """Metric table ``(name, value)``."""
-    wide = metric_row(pred).crossJoin(F.broadcast(srocc(pred)))
-    names = [*METRICS, "SROCC"]
-    return wide.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])).alias("m")).select("m.*")
+    def long(row: DataFrame, names: list[str]) -> DataFrame:
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in names])).alias("m")).select("m.*")
+    return long(metric_row(pred), list(METRICS)).unionByName(long(srocc(pred), ["SROCC"]))
 
 
 def residual_histogram(pred: DataFrame, bins: int = 100) -> DataFrame:

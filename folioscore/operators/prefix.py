@@ -48,9 +48,10 @@ def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     Rows are counted per value first, so a value that a third of the rows share costs one row.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
     ranked = running(counts, keys, value, "n", "sum", "upto")
-    return ranked.join(totals, keys) if keys else ranked.crossJoin(F.broadcast(totals))
+    if not keys:
+        return ranked.withColumn("total", F.lit(counts.agg(F.sum("n")).first()[0]))
+    return ranked.join(counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
 
 
 def positions(df: DataFrame, order: str) -> DataFrame:

@@ -29,9 +29,13 @@ def read_split(spark: SparkSession, path: str, side: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("split") == side)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Metric table as CSV separated by semicolons."""
-    metrics.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+def write_metrics(metrics: DataFrame, path: str, dated: bool = False) -> None:
+    """Metric table as CSV separated by semicolons; ``dated`` keeps one folder per run date."""
+    if dated:
+        day = metrics.withColumn("ds", F.date_format(F.current_date(), "yyyy-MM-dd"))
+        day.write.mode("append").partitionBy("ds").option("sep", ";").option("header", True).csv(path)
+    else:
+        metrics.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
