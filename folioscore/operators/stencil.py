@@ -224,27 +224,29 @@ def page_counts(rows: DataFrame) -> DataFrame:
     Per page: pixels, ink, and the pixels changed by closing, opening, the thresholded and the
     plain Gaussian, both medians, and the gradient hits.
     """
-    df = with_neighbours(banded(rows, 2), "px", 2, 2)
-    px, u1, u2, d1, d2 = (F.col(c) for c in ("px", "u1", "u2", "d1", "d2"))
-
-    # first half of opening / closing for the rows above (u), at (m) and below (d) the scanline
-    rows_of = {"u": (u1, F.coalesce(u2, u1), px), "m": (px, F.coalesce(u1, px), F.coalesce(d1, px)),
-               "d": (d1, px, F.coalesce(d2, d1))}
+    df = banded(rows, 2).withColumns({"lo": row_min(F.col("px")), "hi": row_max(F.col("px"))})
+    for col, prefix in (("px", ""), ("lo", "l"), ("hi", "h")):
+        df = with_neighbours(df, col, 2, 2, prefix)
+    px, u1, d1 = (F.col(c) for c in ("px", "u1", "d1"))
+
+    # first half of opening / closing for the rows above (u), at (m) and below (d) the scanline;
+    # its horizontal part (lo, hi) is taken once per scanline, before the neighbours are fetched
+    def vertical(op, mid: str, prefix: str, out: str) -> dict[str, Column]:
+        c, a1, a2, b1, b2 = (F.col(n) for n in (mid, f"{prefix}u1", f"{prefix}u2", f"{prefix}d1", f"{prefix}d2"))
+        return {f"{out}u": fold_lines(op, c, a1, F.coalesce(a2, a1)), f"{out}d": fold_lines(op, c, b1, F.coalesce(b2, b1)),
+                f"{out}m": fold_lines(op, c, F.coalesce(a1, c), F.coalesce(b1, c))}
     up, down = _mirror("u1", "d1"), _mirror("d1", "u1")
 
     def add(*lines: Column) -> Column:
         return fold_lines(lambda a, b: a + b, *lines)
     sum3 = add(px, replicate_up("px", 1), replicate_down("px", 1))
     df = df.withColumns(
-        {f"le_{k}": fold_lines(F.least, *r) for k, r in rows_of.items()}
-        | {f"gr_{k}": fold_lines(F.greatest, *r) for k, r in rows_of.items()}
+        vertical(F.least, "lo", "l", "e") | vertical(F.greatest, "hi", "h", "g")
         | {"sum3": sum3, "sum5": add(sum3, replicate_up("px", 2), replicate_down("px", 2)),
            "sv": add(px, px, up, down), "dv": fold_lines(lambda d, u: d - u, down, up),
            "bv": _weighted(BLUR_WEIGHTS, px, [(up, down)])})
     df = core_rows(df)
-    df = df.withColumns({f"e{c}": row_min(F.col(f"le_{c}")) for c in "umd"}
-                        | {f"g{c}": row_max(F.col(f"gr_{c}")) for c in "umd"}
-                        | {"blur": F.transform(taps_reflect(F.col("bv"), *BLUR_WEIGHTS),
+    df = df.withColumns({"blur": F.transform(taps_reflect(F.col("bv"), *BLUR_WEIGHTS),
                                                lambda a: F.floor(a + 0.5).cast("int")),
                            "gx": F.transform(_horizontal(F.col("sv"), SOBEL[3][1]), lambda a: a != 0),
                            "gy": F.transform(_horizontal(F.col("dv"), SOBEL[3][0]), lambda a: a != 0)})
