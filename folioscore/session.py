@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +63,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Workers then import it wherever the driver was started and whatever is installed on the nodes.
+    """
+    app = spark.sparkContext.applicationId
+    if spark.conf.get("spark.folioscore.shipped", "") == app:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(root)
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-ship-"), "folioscore_workers.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, base))
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.folioscore.shipped", app)
