@@ -55,13 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage by writing a Parquet table to the shared folder and reading it back.
 
     Used where a relation feeds several jobs or an iteration; the table outlives executors.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
