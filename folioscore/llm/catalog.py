@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing
+from . import mixing, pieces, token_files
+
+#: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
+TOKENIZERS = "/opt/tokenizers"
+#: How the byte-level vocabulary cuts texts before merging; a fixed value of that vocabulary.
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +28,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = token_files.load_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    return token_files.count_tokens(read(spark, sf_dir, "documents"), ranks, BYTE_PATTERN)
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.encode(read(spark, sf_dir, "documents"), vocabulary)
+
+
 @query("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents"))

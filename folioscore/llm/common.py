@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,22 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
 
 
+_kept: dict[str, object] = {}
+
+
+def fresh_key() -> str:
+    return uuid.uuid4().hex
+
+
+def once(key: str, make: Callable[[], object]):
+    """What ``make`` gives, built once per worker process; the last two are kept."""
+    if key not in _kept:
+        while len(_kept) > 1:
+            _kept.pop(next(iter(_kept)))
+        _kept[key] = make()
+    return _kept[key]
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
     """Keep Arrow batches small, so that a worker's memory does not depend on how long texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
