@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, pieces, token_files
+from . import language, mixing, pieces, setsketch, token_files
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -34,6 +34,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.count_tokens(read(spark, sf_dir, "documents"), ranks, BYTE_PATTERN)
 
 
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query("op6_language")
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
