@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import materialize
 from .common import bound_batches, fresh_key, once
 
 BITS = 20
@@ -102,8 +103,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", landmarks:
     usable = docs.where(F.col(text).rlike(r"\p{L}"))
     chosen = (usable.select(id_col, "lang").distinct().withColumn("n", F.row_number().over(order))
               .where(F.col("n") <= sample).select(F.col(id_col).alias("__id"), F.col("lang").alias("__lang"), "n"))
+    # at most `sample` (id, language) pairs per language, so the texts stay where they are
     rows = usable.select(id_col, "lang", text).join(
-        chosen, (F.col(id_col) == F.col("__id")) & (F.col("lang") == F.col("__lang"))).select("lang", "n", F.col(text).alias("t"))
+        F.broadcast(chosen), (F.col(id_col) == F.col("__id")) & (F.col("lang") == F.col("__lang"))).select("lang", "n", F.col(text).alias("t"))
+    rows = materialize(rows, "learning-rows", compression="zstd").repartition(F.xxhash64("t"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
