@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, pieces, setsketch, token_files
+from . import hnsw, language, mixing, pieces, setsketch, token_files, topk
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -34,6 +34,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.count_tokens(read(spark, sf_dir, "documents"), ranks, BYTE_PATTERN)
 
 
+@query("op2_top_products")
+def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op4_near_duplicates")
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"))
@@ -53,3 +58,8 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_mix_sources")
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents"))
+
+
+@query("op10_nearest")
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
