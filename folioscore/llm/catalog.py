@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hnsw, language, mixing, pieces, setsketch, token_files, topk
+from . import hnsw, language, mixing, pieces, setsketch, suffixes, token_files, topk
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -60,6 +60,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_sizes(read(spark, sf_dir, "documents"))
 
 
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query("op10_nearest")
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
