@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hnsw, language, mixing, pieces, setsketch, suffixes, token_files, topk
+from . import hnsw, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -39,6 +39,11 @@ def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op4_near_duplicates")
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"))
