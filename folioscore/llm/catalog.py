@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hnsw, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
+from . import hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -49,6 +49,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query("op5_katz")
+def op5_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(read(spark, sf_dir, "documents"))
+
+
 @query("op6_language")
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
