@@ -182,3 +182,21 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **opti
     model = fit(learning_rows(docs, id_col), id_col, text, **options)
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
     return predict(docs, model, id_col, text).select(id_col, held.alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows whose language is known to the model, all columns as they are; a null language is filled in."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    key, shared = fresh_key(), spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = once(key, lambda: Scorer(shared.value))
+        for batch in batches:
+            names, _ = scorer.predict(batch.column(text).to_pylist())
+            given = batch.column(lang).to_pylist()
+            filled = pa.array([g if g is not None else n for g, n in zip(given, names, strict=True)], pa.string())
+            batch = batch.set_column(batch.schema.get_field_index(lang), lang, filled)
+            yield batch.filter(pa.array([n != UNKNOWN for n in names], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

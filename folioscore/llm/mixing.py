@@ -13,6 +13,7 @@ documents of their own (ordered by id, then text hash); extra columns are ignore
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import WORD_PATTERN, mix64
+from .common import WORD_PATTERN, bound_batches, mix64
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 8192
@@ -214,3 +215,51 @@ def mixed_sizes(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     return m.docs.join(taken, "row_id", "left").select(
         F.col("id").alias(id_col), "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+_WORD = re.compile(WORD_PATTERN)
+
+
+def cut_words(text: str, pieces: list[tuple[int, int]]) -> str:
+    """The text of word ranges (first word, words) in order: verbatim inside a range, ranges joined by a space."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    ranges: list[list[int]] = []
+    for at, n in sorted(pieces):
+        if ranges and ranges[-1][1] == at:
+            ranges[-1][1] += n
+        else:
+            ranges.append([at, at + n])
+    if ranges == [[0, len(spans)]]:
+        return text
+    return " ".join(text[spans[a][0]:spans[b - 1][1]] for a, b in ranges)
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", n_chars: str = "n_chars",
+                    **options) -> DataFrame:
+    """The mix as documents: for each epoch a row per document with the words that the epoch takes of it.
+
+    All columns are kept; the character count is that of the new text. Documents of which nothing is taken are gone.
+    """
+    bound_batches(docs.sparkSession)
+    m = mix(docs, id_col=id_col, text=text, source=source, **options)
+    names = m.docs.select("row_id", F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("src").alias("__src"))
+    taken = m.taken().groupBy("row_id", "epoch").agg(F.collect_list(F.struct("at", "words")).alias("__pieces"))
+    named = taken.join(names, "row_id").drop("row_id")
+    order = docs.sparkSession.createDataFrame([(p.source, p.index) for p in m.plans], "__s string, __src int")
+    once = docs.withColumn("__hash", F.xxhash64(text)).dropDuplicates([id_col, "__hash", source])
+    once = once.join(order, F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
+    both = once.join(named, F.col(id_col).eqNullSafe(F.col("__id")) & (once["__hash"] == named["__hash"])
+                     & (once["__src"] == named["__src"])).select(*docs.columns, "__pieces")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [cut_words(t, [(p["at"], p["words"]) for p in pieces])
+                    for t, pieces in zip(batch.column(text).to_pylist(), batch.column("__pieces").to_pylist(), strict=True)]
+            batch = batch.drop_columns(["__pieces"])
+            batch = batch.set_column(batch.schema.get_field_index(text), text, pa.array(made, pa.string()))
+            if n_chars in batch.schema.names:
+                lengths = pa.array([len(t) for t in made], batch.schema.field(n_chars).type)
+                batch = batch.set_column(batch.schema.get_field_index(n_chars), n_chars, lengths)
+            yield batch
+
+    return both.mapInArrow(run, docs.schema)

@@ -125,23 +125,25 @@ def _reach(at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(at - REACH, 0), np.minimum(at + LENGTH, n)
 
 
-def _zipped(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Rows (rid, id, z): a row's key, its id and its compressed text, which is what travels."""
+def _zipped(docs: DataFrame, id_col: str, text: str, carry: list[str]) -> DataFrame:
+    """Rows (rid, rest, z): a row's key, its id and carried columns, and its compressed text, which is what travels."""
     import zstandard
 
-    kind = docs.schema[id_col].dataType.simpleString()
+    keyed = _keyed(docs, id_col, text, carry)
+    kind = keyed.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             z = pa.array([press.compress(x or b"") for x in batch.column("body").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("id"), z], ["rid", "id", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("rest"), z], ["rid", "rest", "z"])
 
-    return _keyed(docs, id_col, text).mapInArrow(run, f"rid long, id {kind}, z binary")
+    return keyed.mapInArrow(run, f"rid long, rest {kind}, z binary")
 
 
-def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    return docs.select(F.xxhash64(id_col, text).alias("rid"), F.col(id_col).alias("id"), F.col(text).cast("binary").alias("body"))
+def _keyed(docs: DataFrame, id_col: str, text: str, carry: list[str]) -> DataFrame:
+    return docs.select(F.xxhash64(id_col, text).alias("rid"), F.struct(id_col, *carry).alias("rest"),
+                       F.col(text).cast("binary").alias("body"))
 
 
 def occurrences(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -165,7 +167,7 @@ def occurrences(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                     [pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), pa.array(r), pa.array(p.astype(np.int32)),
                      pa.array(n.astype(np.int32))], ["anchor", "context", "rid", "at", "n"])
 
-    return _keyed(docs, id_col, text).select("rid", "body").mapInArrow(run, "anchor long, context long, rid long, at int, n int")
+    return _keyed(docs, id_col, text, []).select("rid", "body").mapInArrow(run, "anchor long, context long, rid long, at int, n int")
 
 
 def _contexts(first: DataFrame, zipped: DataFrame) -> DataFrame:
@@ -317,16 +319,19 @@ def _merged(places: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in runs]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the row's key and the remaining text.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                   carry: list[str] | None = None) -> DataFrame:
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, with a list of columns to carry along, those and
+    ``kept_text``, the remaining text.
 
     In the text, characters of which only some bytes go are dropped whole.
     """
     bound_batches(docs.sparkSession)
-    zipped = _zipped(docs, id_col, text)
+    with_text = carry is not None
+    zipped = _zipped(docs, id_col, text, carry or [])
     stretches = repeated_stretches(docs, zipped, id_col, text)
     places = stretches.groupBy("rid").agg(F.collect_set(F.struct("low", "high")).alias("places"))
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = zipped.schema["rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -348,10 +353,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 digest.append(hashlib.sha256(rest).hexdigest())
                 left.append(b"".join(p.decode("utf-8", "ignore").encode() for p in parts).decode() if with_text else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rid"), batch.column("id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                [batch.column("rest"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                  pa.array(spans, pa.int64()), pa.array(digest, pa.string()), pa.array(left, pa.string())],
-                ["rid", id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+                ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    out = zipped.join(places, "rid", "left").select("rid", "id", "z", "places").mapInArrow(
-        run, f"rid long, `{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    return out if with_text else out.drop("rid", "kept_text")
+    out = zipped.join(places, "rid", "left").select("rest", "z", "places").mapInArrow(
+        run, f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    return out.select("rest.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if with_text else []))
