@@ -6,9 +6,9 @@ two sets share a register's value about as often as they share shingles. Documen
 a band agree; a likelihood estimate from both sketches and both set sizes drops pairs that are
 far away, and the rest is verified on the full sets.
 
-No group is expanded into its pairs: identical word sequences form one class; in a bucket every
-member is tried against the bucket's first class, and only members left in other components are then tried
-against the rest, block by block, so no link between different texts is lost.
+No group is expanded into its pairs: identical word sequences form one class; every class is tried against
+the likeliest of its buckets' first members, and only members left in other components are then tried
+against the rest of a bucket, block by block, so no link between different texts is lost.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; fewer than five words
 make one shingle; rows with equal ids are one document and share its component; a null id gets a null component and is
@@ -34,7 +34,8 @@ BASE = 1.001
 RATE = 20.0
 LIMIT = (1 << 16) - 2
 PERCENT = 75
-FAR = 0.52              # six standard deviations of the estimate below 0.75
+FAR = 0.56              # five standard deviations of the estimate below 0.75
+LEAST_EQUAL = 66        # six standard deviations below what 0.75 makes equal
 BLOCK = 256
 
 _SALT = mix64(np.arange(1, 4 * REGISTERS + 16, dtype=np.uint64))
@@ -125,7 +126,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataF
 
 
 def _bands(reps: DataFrame) -> DataFrame:
-    """(key, rep) of every band."""
+    """(key, band, rep) of every band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,13 +139,14 @@ def _bands(reps: DataFrame) -> DataFrame:
                 key = np.full(len(rep), band + 1, dtype=np.uint64)
                 for k in range(BAND):
                     key = mix64(key * np.uint64(0x100000001B3) + reg[:, band * BAND + k])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(rep)], ["key", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(rep), band, dtype=np.int32)),
+                                                  pa.array(rep)], ["key", "band", "rep"])
 
-    return reps.select("rep", "reg").mapInArrow(run, "key long, rep long")
+    return reps.select("rep", "reg").mapInArrow(run, "key long, band int, rep long")
 
 
 def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sketches are not far apart."""
+    """Pairs (a, b) whose sketches are not far apart, with the estimate j."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,15 +155,15 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             x, y = (body_parts(batch.column(c))[0].view(np.uint16).reshape(batch.num_rows, REGISTERS) for c in ("ra", "rb"))
             j = likely((x > y).sum(axis=1), (x < y).sum(axis=1), batch.column("na").to_numpy().astype(float),
                        batch.column("nb").to_numpy().astype(float))
-            yield batch.select(["a", "b"]).filter(pa.array(j >= FAR))
+            yield batch.select(["a", "b"]).append_column("j", pa.array(j)).filter(pa.array(j >= FAR))
 
     one = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("reg").alias("ra"))
     two = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("reg").alias("rb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long, j double")
 
 
-def _set(body: bytes | None) -> frozenset:
-    w = (body or b"").lower().split()      # both work on ASCII alone: A-Z, and the six space bytes
+def _set(body: bytes) -> frozenset:
+    w = body.lower().split()      # both work on ASCII alone: A-Z, and the six space bytes
     if len(w) < WORDS:
         return frozenset([tuple(w)] if w else [])
     return frozenset(zip(*(w[k:] for k in range(WORDS)), strict=False))
@@ -171,17 +173,26 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFra
     """Pairs whose full shingle sets meet the threshold. Texts travel only for documents in a pair."""
     pairs = materialize(pairs, "candidates")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    import zstandard
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            z = [press.compress(x or b"") for x in batch.column("body").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(z, pa.binary())], ["id", "body"])
+
     texts = materialize(text_bytes(docs.withColumn("id", F.col(id_col).cast("long")), "id", text=text)
-                        .join(wanted, "id", "left_semi"), "candidate-texts", compression="zstd")
+                        .mapInArrow(shrink, "id long, body binary").join(wanted, "id", "left_semi"), "candidate-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, frozenset()
+        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             ok = []
             for mine, other in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 if other != last:
-                    last, kept = other, _set(other)
-                own = _set(mine)
+                    last, kept = other, _set(open_.decompress(other))
+                own = _set(open_.decompress(mine))
                 both = len(own & kept)
                 ok.append(bool(own) and bool(kept) and 100 * both >= PERCENT * (len(own) + len(kept) - both))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -198,7 +209,7 @@ def _strays(bands: DataFrame, pivots: DataFrame, groups: DataFrame, reps: DataFr
     (stray block, member block): the work is strays times members, and no task holds a whole bucket.
     """
     named = bands.join(pivots.select("key"), "key").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp"))
+        "key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = named.groupBy("key").agg(F.min_by("comp", "rep").alias("main"), F.min("comp").alias("lo"),
                                      F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
     strays = F.count_if(F.col("comp") != F.col("main"))
@@ -210,30 +221,34 @@ def _strays(bands: DataFrame, pivots: DataFrame, groups: DataFrame, reps: DataFr
     block = F.pmod(spread, F.col("blocks") + 1).cast("int")
     stray_block = F.pmod(spread, F.col("stray_blocks") + 1).cast("int")
     left = members.where("comp <> main").select(
-        "key", "rep", "comp", F.lit(True).alias("stray"), stray_block.alias("s"),
+        "key", "band", "rep", "comp", F.lit(True).alias("stray"), stray_block.alias("s"),
         F.explode(F.sequence(F.lit(0), F.col("blocks"))).alias("m"))
-    right = members.select("key", "rep", "comp", F.lit(False).alias("stray"),
+    right = members.select("key", "band", "rep", "comp", F.lit(False).alias("stray"),
                            F.explode(F.sequence(F.lit(0), F.col("stray_blocks"))).alias("s"), block.alias("m"))
     cells = left.unionByName(right).join(reps.select("rep", "n", "reg"), "rep")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         stray = table.column("stray").to_numpy(zero_copy_only=False)
         rep, comp, size = (table.column(c).to_numpy() for c in ("rep", "comp", "n"))
+        band = table.column("band")[0].as_py()
         reg = np.array([np.frombuffer(r, dtype=np.uint16) for r in table.column("reg").to_pylist()])
         rest = np.flatnonzero(~stray)
-        out_a, out_b = [], []
+        found = []
         for i in np.flatnonzero(stray):
             at = rest[comp[rest] != comp[i]]
-            equal = (reg[at] == reg[i]).sum(axis=1)
-            at = at[equal >= REGISTERS // 4]      # below any estimate that passes
-            if len(at):
-                j = likely((reg[i] > reg[at]).sum(axis=1), (reg[i] < reg[at]).sum(axis=1),
-                           np.full(len(at), float(size[i])), size[at].astype(float))
-                hit = rep[at[j >= FAR]]
-                out_a.append(np.maximum(hit, rep[i]))
-                out_b.append(np.minimum(hit, rep[i]))
-        join = lambda x: np.concatenate(x) if x else np.zeros(0, dtype=np.int64)
-        return pa.table({"a": pa.array(join(out_a), pa.int64()), "b": pa.array(join(out_b), pa.int64())})
+            same = reg[at] == reg[i]
+            near = same.sum(axis=1) >= LEAST_EQUAL
+            # a pair that agrees on several bands is looked at in the first of them
+            near[near] = same[near].reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1) == band
+            found.append(np.stack([np.full(near.sum(), i), at[near]]))
+        x, y = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
+        keep = np.zeros(len(x), dtype=bool)
+        for s in range(0, len(x), 4096):
+            e = slice(s, s + 4096)
+            keep[e] = likely((reg[x[e]] > reg[y[e]]).sum(axis=1), (reg[x[e]] < reg[y[e]]).sum(axis=1),
+                             size[x[e]].astype(float), size[y[e]].astype(float)) >= FAR
+        x, y = rep[x[keep]], rep[y[keep]]
+        return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
 
     return cells.groupBy("key", "s", "m").applyInArrow(run, "a long, b long").distinct()
 
@@ -248,18 +263,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     bands = _bands(reps)
     pivots = materialize(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members"))
                          .where("members > 1"), "buckets")
-    tried = (bands.join(pivots, "key").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct())
-    tried = materialize(_near(tried, reps), "tried")
+    tried = bands.join(pivots, "key").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    tried = materialize(_near(tried, reps).groupBy("a").agg(F.max_by("b", F.struct("j", -F.col("b"))).alias("b")), "tried")
     found = materialize(verify(tried, docs, id_col, text), "verified")
-    own = sketched.where("n > 0 and id is not null").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).select(
-        F.col("id").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
+    # an id with several texts joins their classes
+    own = sketched.where("n > 0 and id is not null").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("id").agg(
+        F.min("rep").alias("b"), F.collect_set("rep").alias("reps")).where(F.size("reps") > 1).select(F.explode("reps").alias("a"), "b")
     links = found.union(own)
     groups = components(links)
     more = _strays(bands, pivots, groups, reps).join(tried, ["a", "b"], "left_anti")
     late = materialize(verify(more, docs, id_col, text), "verified")
     if late.take(1):
         groups = components(groups.where("node <> component").toDF("a", "b").union(late))
-    named = sketched.join(groups, F.col("id") == F.col("node"), "left")
+    named = sketched.join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left").join(groups, F.col("rep") == F.col("node"), "left")
+    named = named.withColumn("component", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep")))
     component = F.coalesce("component", "id")
     return named.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
                         component.alias("component_id"),
