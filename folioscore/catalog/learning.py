@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folioscore.catalog import query
 from folioscore.operators import evaluate as ev, linear as ln, models as md
-from folioscore.session import scratch_path
+from folioscore.session import materialize, scratch_path
 from folioscore.sources.derive import FEAT_SQL, FEATURE_NAMES, PRED_SQL, feature_rows, predictions, with_sql
 
 X = FEATURE_NAMES
@@ -240,7 +240,7 @@ def generation(spark, sf):
 
 @query("M28_permutation_importance")
 def importance(spark, sf):
-    df = scaled(spark, sf)
+    df = materialize(scaled(spark, sf), "scaled")
     beta = ln.ridge(ln.total(ln.fold_grams(df, X, "y")))
 
     def score(cols):
@@ -259,6 +259,8 @@ def experiment(spark, sf):
 
 @query("X1_metric_registry", with_sql(PRED_SQL) + "select round(max(abs(y_true-y_pred)),6) as worst from pred")
 def metric_registry(spark, sf):
-    worst = {"worst": lambda y, p: F.max(F.abs(y - p))}
-    pred = predictions(spark, sf)
-    return pred.agg(*[F.round(m(F.col("y_true"), F.col("y_pred")), 6).alias(n) for n, m in worst.items()])
+    ev.register_metric("worst", lambda y, p: F.max(F.abs(y - p)))
+    try:
+        return ev.metric_row(predictions(spark, sf)).select(F.round("worst", 6).alias("worst"))
+    finally:
+        ev.METRICS.pop("worst")

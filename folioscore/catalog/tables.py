@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioscore.catalog import query
 from folioscore.functions import file_stem, finite_or_zero, int_div, join_path, scaled_height, unary_maps
 from folioscore.operators import evaluate as ev, ledger as lg
-from folioscore.session import scratch_path
+from folioscore.session import materialize, scratch_path
 from folioscore.sources import reports as rp, tables as tb
 from folioscore.sources.derive import (FEAT_SQL, FEATURE_NAMES, PRED_SQL, TRIALS_SQL, WACC_SQL, feature_rows,
                                        predictions, reports, trials, with_sql)
@@ -43,18 +43,19 @@ def accuracy(spark, sf):
 
 
 SIDES = f"""acc as materialized (select doc_id, source device, concat('page_',doc_id) file_name, {_ACC} acc from wacc),
- tess as (select device,file_name,acc from acc), fine as (select device,file_name,acc from acc where doc_id%2=0),
- img as (select source device, concat('page_',doc_id) file_name, cast(n_chars as double) size from documents where lang<>'de')"""
+ tess as (select device,file_name,acc from acc), fine as (select device,file_name,acc from acc where doc_id in (select doc_id from labels)),
+ img as (select source device, concat('page_',doc_id) file_name, cast(n_chars as double) size from documents where doc_id in (select vec_id from embeddings))"""
 
 
 def sides(spark, sf):
-    """Engine B reports on every page, engine A on even ones; pages in German have no image."""
+    """Engine B reports on every page, engine A on those with a label; pages with a vector have an image."""
     acc = reports(spark, sf).select("doc_id", F.col("source").alias("device"), F.concat(
         F.lit("page_"), F.col("doc_id").cast("string")).alias("file_name"), rp.parse_accuracy(F.col("body")).alias("acc"))
-    images = spark.read.parquet(f"{sf}/documents.parquet").where("lang <> 'de'").select(
+    some = lambda t, c: spark.read.parquet(f"{sf}/{t}.parquet").select(F.col(c).alias("doc_id")).distinct()
+    images = spark.read.parquet(f"{sf}/documents.parquet").join(some("embeddings", "vec_id"), "doc_id", "left_semi").select(
         F.col("source").alias("device"), F.concat(F.lit("page_"), F.col("doc_id").cast("string")).alias("file_name"),
         F.col("n_chars").cast("double").alias("size"))
-    return images, acc.drop("doc_id"), acc.where("doc_id % 2 = 0").drop("doc_id")
+    return images, acc.drop("doc_id"), acc.join(some("labels", "doc_id"), "doc_id", "left_semi").drop("doc_id")
 
 
 KEYS = ["device", "file_name"]
@@ -143,7 +144,7 @@ METRIC_SQL = with_sql(PRED_SQL) + """, rk as (select *, rank() over (order by y_
 def scaled_metrics(spark, sf):
     """MAE and MSE in thousands: absolute values near 1e10 carry no six decimals."""
     unit = F.when(F.col("name") == "MAE", F.lit(1000.0)).when(F.col("name") == "MSE", F.lit(1000000.0)).otherwise(F.lit(1.0))
-    return ev.evaluate(predictions(spark, sf)).select("name", F.round(F.col("value") / unit, 6).alias("value"))
+    return ev.evaluate(materialize(predictions(spark, sf), "predictions")).select("name", F.round(F.col("value") / unit, 6).alias("value"))
 
 
 @query("S9_metric_table_csv", METRIC_SQL)
@@ -192,8 +193,9 @@ def ledger_rows(spark, sf):
  cast(depth as varchar) depth, value mae, 'derived' info from trials""")
 def ledger_append(spark, sf):
     runs, path = ledger_rows(spark, sf), scratch_path(spark, "ledger")
-    lg.append_runs(runs.where("run_name = 'error'"), path)
-    lg.append_runs(runs.where("run_name <> 'error'"), path)
+    first = F.col("run_name").eqNullSafe("error")
+    lg.append_runs(runs.where(first), path)
+    lg.append_runs(runs.where(~first), path)
     return lg.read_ledger(spark, path).select(
         "run_id", "run_name", F.col("params")["regressor__depth"].alias("depth"), F.col("metrics")["MAE"].alias("mae"),
         F.col("tags")["Training Info"].alias("info"))
@@ -244,11 +246,10 @@ def key_strip(spark, sf):
 # ------------------------------------------------------------------ sets and scalars
 
 @query("U1_device_union", with_sql(FEAT_SQL) + """select id, x1, 'a' device from feat union all
- select id, x1, 'b' from feat where x4>=4""")
+ select id, x1, 'b' from feat""")
 def device_union(spark, sf):
-    df = feature_rows(spark, sf).select("id", "x1", "x4")
-    a, b = df.drop("x4").withColumn("device", F.lit("a")), df.where("x4 >= 4").drop("x4").withColumn("device", F.lit("b"))
-    return a.unionByName(b)
+    df = feature_rows(spark, sf).select("id", "x1")
+    return df.withColumn("device", F.lit("a")).unionByName(df.withColumn("device", F.lit("b")))
 
 
 @query("U3_explode_settings", with_sql(FEAT_SQL) + """select parts, cast(floor(x1/parts) as bigint) band, count(*) n

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from folioscore.operators.bands import BAND_ROWS
 from folioscore.session import materialize
 
-ROOT_STRIDE = 1 << 24  # first pixel as one number: y * stride + x
+ROOT_STRIDE = 1 << 31  # first pixel as one number, y * stride + x; both are ints, so no two pixels share one
 
 
 def runs(rows: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ def train_test_split(df: DataFrame, id_col: str, share: float = S.TEST_SHARE,
     """Add ``split``: exactly ``ceil(share * n)`` rows with the smallest hash are the test set.
 
     Counting hashes by prefix finds the prefix in which the cut falls; only rows of that one
-    prefix (1 in 65,536) are ranked.
+    prefix (1 in 65,536) are ranked. Rows with equal ids at the cut are ordered by a hash of
+    all their columns; rows that are equal in everything may stand for each other. An empty table stays empty.
     """
     hashed = df.withColumn("__h", split_order(id_col, seed)).withColumn("__p", F.substring("__h", 1, 4))
     counts = hashed.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))  # at most 65,536 rows
@@ -38,11 +39,22 @@ def train_test_split(df: DataFrame, id_col: str, share: float = S.TEST_SHARE,
     cut = counts.select("__p", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
                         F.ceil(F.sum("n").over(total) * share).alias("want")).where(
         (F.col("before") < F.col("want")) & (F.col("before") + F.col("n") >= F.col("want"))).first()
+    if cut is None:
+        return df.withColumn("split", F.lit("train"))
     prefix, room = cut["__p"], cut["want"] - cut["before"]
     edge = hashed.where(F.col("__p") == prefix).select("__h")
-    last = edge.orderBy("__h").limit(room).agg(F.max("__h")).first()[0]
-    return hashed.withColumn("split", F.when(F.col("__h") <= last, F.lit("test")).otherwise(
-        F.lit("train"))).drop("__h", "__p")
+    ranked = edge.groupBy("__h").agg(F.count(F.lit(1)).alias("n")).orderBy("__h").limit(room).collect()
+    for row in ranked:
+        last, left, room = row["__h"], room, room - row["n"]
+        if room <= 0:
+            break
+    side = F.when(F.col("__h") <= last, F.lit("test")).otherwise(F.lit("train"))
+    if room == 0:  # the cut falls between two hashes
+        return hashed.withColumn("split", side).drop("__h", "__p")
+    rank = F.row_number().over(Window.partitionBy("__h").orderBy(F.xxhash64(*df.columns)))
+    tied = hashed.where(F.col("__h") == last).withColumn("split", F.when(rank <= left, F.lit("test")).otherwise(F.lit("train")))
+    rest = hashed.where(F.col("__h").isNull() | (F.col("__h") != last)).withColumn("split", side)
+    return rest.unionByName(tied).drop("__h", "__p")
 
 
 def kfold(df: DataFrame, id_col: str, k: int) -> DataFrame:

@@ -267,13 +267,13 @@ def sequential_selection(grams: dict[int, np.ndarray], target: int, forward: boo
 def generate_features(df: DataFrame, columns: list[str], second_step: bool = True) -> DataFrame:
     """Eight unary maps of every column and, as second step, pairwise products of the inputs.
 
-    A map that leaves the domain of any row is dropped: one aggregate decides for all of them.
+    A map that is not finite for any row is dropped: one aggregate decides for all of them.
     """
     made = {f"{n}_{c}": e for c in columns for n, e in unary_maps(F.col(c)).items()}
     if second_step:
         made |= {f"{a}_x_{b}": F.col(a) * F.col(b) for i, a in enumerate(columns) for b in columns[i + 1:]}
     wide = df.withColumns(made)
-    bad = wide.agg(*[F.count_if(F.col(n).isNull() | F.isnan(n) | (F.abs(n) > 1e15)).alias(n) for n in made]).first()
+    bad = wide.agg(*[F.count_if(F.col(n).isNull() | F.isnan(n) | (F.abs(n) == float("inf"))).alias(n) for n in made]).first()
     return wide.drop(*[n for n in made if bad[n]])
 
 

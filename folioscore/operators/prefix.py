@@ -8,17 +8,33 @@ from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 
-def block_bounds(df: DataFrame, order: str, blocks: int | None = None) -> list[float]:
-    """Increasing range borders; their number is the shuffle width, not the data size."""
+def is_number(df: DataFrame, order: str) -> bool:
+    return isinstance(df.schema[order].dataType, NumericType)
+
+
+def block_bounds(df: DataFrame, order: str, blocks: int | None = None) -> list:
+    """Increasing range borders; their number is the shuffle width, not the data size.
+
+    Columns that are no numbers get borders of their own type from a bounded sample; borders only
+    balance the blocks, so the result doesn't depend on it.
+    """
     blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = [i / blocks for i in range(1, blocks)] or [0.5]
+    if not is_number(df, order):
+        some = sorted(r[0] for r in df.where(F.col(order).isNotNull()).select(order).orderBy(F.xxhash64(order)).limit(
+            100 * blocks).collect())
+        return sorted({some[int(p * len(some))] for p in at}) if some else []
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), at, 10000).alias("c")).first()["c"]
     return sorted(set(cuts or []))
 
 
-def with_block(df: DataFrame, order: str, bounds: list[float]) -> DataFrame:
+def with_block(df: DataFrame, order: str, bounds: list) -> DataFrame:
+    if not is_number(df, order):
+        above = [F.when(F.col(order) >= F.lit(b), 1).otherwise(0) for b in bounds]
+        return df.withColumn("block", sum(above, F.lit(0)).cast("double"))
     splits = [-float("inf"), *bounds, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="__order", outputCol="block", handleInvalid="keep")
     return cut.transform(df.withColumn("__order", F.col(order).cast("double"))).drop("__order")
