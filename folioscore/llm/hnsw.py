@@ -242,7 +242,7 @@ def search_index(index: DataFrame, queries: DataFrame, query_blocks: int, k: int
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding",
             shard_rows: int = SHARD_ROWS, width: int = SEARCH_WIDTH) -> DataFrame:
     """query_id, rank, id, score (Euclidean distance) of each query's k nearest other rows, as found."""
-    bound_batches(rows.sparkSession, rows=4, size="16m")
+    bound_batches(rows.sparkSession, rows=10_000)
     usable = rows.where(finite(vector) & F.exists(vector, lambda x: x != 0) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("asked"))
     known = materialize(members(usable, k + 1), "vectors")

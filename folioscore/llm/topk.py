@@ -3,7 +3,7 @@
 Components are cut into slices, and each slice scores all candidates on its own. Phase one gathers the
 highest entries of every slice's list and scores the rows met exactly; the k-th best is a score that k rows are known
 to reach. Phase two sends that cutoff to all blocks, and each list returns its entries of at least cutoff / slices:
-a row that no list returns stays below the cutoff. Phase three drops rows whose known parts plus the most
+a row that no list returns stays below the cutoff. The rows that all lists return raise it. Phase three drops rows whose known parts plus the most
 the missing ones can add fall short, and resolves what is left exactly.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part; vectors of
@@ -26,6 +26,7 @@ from .vectors import block_count, every, finite, members, pack
 SLICES = 2
 ROW_BLOCK = 8192
 QUERY_BLOCK = 1024
+GATHER = 4              # phase one takes so many times k entries of each list: a higher cutoff for little
 LOW = -(1 << 62)
 
 
@@ -117,7 +118,7 @@ def _resolve(cells: DataFrame, pairs: DataFrame, blocks: int, query_blocks: int)
 def top_products(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id",
                  vector: str = "embedding", slices: int = SLICES) -> DataFrame:
     """query_id, rank, id, score: each query's k highest integer products floor(scale * x) . floor(scale * y)."""
-    bound_batches(rows.sparkSession, rows=2, size="16m")
+    bound_batches(rows.sparkSession, rows=10_000)
     scaled = F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(F.lit(scale) * x).cast("long"))
     usable = rows.where(finite(vector) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), scaled.alias("vector"), is_query.alias("asked"))
@@ -134,9 +135,9 @@ def top_products(rows: DataFrame, is_query: Column, k: int = 20, scale: float =
         sent = pack(questions, query_blocks, "int64", "q", extra).withColumnsRenamed({"ids": "q_ids", "data": "q_data"})
         return stored.select("*", every("q", query_blocks)).join(sent, ["q", "dim"]).repartition("q", "b")
 
-    lists = _lists(cells(asked), need, slices)
+    lists = _lists(cells(asked), GATHER * need, slices)
     best = Window.partitionBy("query", "g").orderBy(F.desc("part"), "rep")
-    gathered = lists.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).select("query", "rep").distinct()
+    gathered = lists.withColumn("n", F.row_number().over(best)).where(F.col("n") <= GATHER * need).select("query", "rep").distinct()
     totals = _resolve(cells(asked), gathered, blocks, query_blocks)
     order = Window.partitionBy("query").orderBy(F.desc("total"))
     cutoffs = totals.withColumn("n", F.row_number().over(order)).where(F.col("n") == need).select(
@@ -145,11 +146,14 @@ def top_products(rows: DataFrame, is_query: Column, k: int = 20, scale: float =
 
     least = F.ceil(F.col("cutoff") / slices).cast("long")
     parts = _above(cells(cut, "cutoff"), slices).groupBy("query", "rep").agg(F.sum("part").alias("sum"), F.count(F.lit(1)).alias("seen"))
-    parts = materialize(parts.join(cut.select(F.col("id").alias("query"), "cutoff"), "query").where(
-        (F.col("seen") == slices) | (F.col("cutoff") == LOW)
-        | (F.col("sum") + (slices - F.col("seen")) * (least - 1) >= F.col("cutoff"))), "entries")
+    parts = materialize(parts, "entries")
     whole = parts.where(F.col("seen") == slices).select("query", "rep", F.col("sum").alias("total"))
-    rest = _resolve(cells(asked), parts.where(F.col("seen") < slices), blocks, query_blocks)
+    higher = whole.withColumn("n", F.row_number().over(order)).where(F.col("n") == need).select("query", F.col("total").alias("higher"))
+    bounds = cut.select(F.col("id").alias("query"), "cutoff").join(higher, "query", "left")
+    open_ = parts.where(F.col("seen") < slices).join(bounds, "query").where(
+        (F.col("cutoff") == LOW) | (F.col("sum") + (slices - F.col("seen")) * (least - 1)
+                                    >= F.greatest("cutoff", F.coalesce("higher", "cutoff"))))
+    rest = _resolve(cells(asked), open_, blocks, query_blocks)
     scored = whole.unionByName(rest)
     best = Window.partitionBy("query").orderBy(F.desc("total"), "rep")
     scored = scored.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).drop("n")
