@@ -274,6 +274,7 @@ def _hot_strings(contexts: DataFrame) -> DataFrame:
             rid, alone = batch.column("rid").to_numpy(), batch.column("alone").to_numpy(zero_copy_only=False)
             for step in range(REACH + 1):
                 value, ok = _windows(prefix, start, end, left, step)
+                value = mix64(value + np.uint64(step))      # as in _compare, strings meet at equal places
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value[ok].view(np.int64)), pa.array(rid[ok]), pa.array((at[ok] - step).astype(np.int32)),
                      pa.array(alone[ok])], ["string", "rid", "low", "alone"])
