@@ -15,6 +15,11 @@ from folioscore.sources.derive import FEAT_SQL, FEATURE_NAMES, PRED_SQL, feature
 
 X = FEATURE_NAMES
 TERMS = "term string, weight double"
+_LINE = "+".join(f"b{i}*({c}-m{i})/s{i}" for i, c in enumerate(X))
+_PARAMS = ", ".join(f"avg({c}) m{i}, stddev_pop({c}) s{i}" for i, c in enumerate(X))
+RANK = "rank() over (order by {c})+(count(*) over (partition by {c})-1)/2"
+SPLIT_SQL = """ranked as materialized (select *, row_number() over (order by md5(concat(id,'42'))) r, count(*) over () n from feat),
+ split as materialized (select *, case when r<=ceil(0.2*n) then 'test' else 'train' end split from ranked)"""
 
 
 def each(template: str, sep: str = ", ") -> str:
@@ -94,9 +99,20 @@ def fit_metrics(spark, sf, model, params=None):
     return ev.evaluate(md.predict(fitted, split.where("split = 'test'"), "y"))
 
 
-@query("M4_fit_pipeline")
+def metrics_sql(alpha: float) -> str:
+    """Split, scaling by the training rows, ridge by elimination, and the five metrics on the test rows."""
+    _, _, ctes = solve_sql(alpha, " ").partition("m0 as")
+    stages = ("m0 as" + ctes).replace(" from feat", " from train").strip().removesuffix(",")
+    p = f"""pred as materialized (select y, b+{_LINE} p from split, m{len(X)}, (select {_PARAMS} from train) where split='test'),
+ ranked2 as (select {RANK.format(c='y')} a, {RANK.format(c='p')} b from pred),
+ row as (select 1-avg((y-p)*(y-p))/var_pop(y) r2, avg(abs(y-p)) mae, avg((y-p)*(y-p)) mse, corr(y,p) plcc from pred)"""
+    return with_sql(FEAT_SQL, SPLIT_SQL, "train as materialized (select * exclude (n) from split where split='train')", stages, p) + """
+ select unnest(['R2','MAE','MSE','PLCC','SROCC']) as name, round(unnest([r2,mae,mse,plcc,(select corr(a,b) from ranked2)]),6) as value from row"""
+
+
+@query("M4_fit_pipeline", metrics_sql(0.5))
 def fit_pipeline(spark, sf):
-    return fit_metrics(spark, sf, "Ridge", {"alpha": 0.5})
+    return fit_metrics(spark, sf, "Ridge", {"alpha": 0.5}).select("name", F.round("value", 6).alias("value"))
 
 
 @query("M8_kernel_regression")
@@ -122,11 +138,9 @@ def boosted_squared(spark, sf):
 
 @query("M12_bagging")
 def bagging(spark, sf):
-    return fit_metrics(spark, sf, "Bagging", {"n_estimators": 8, "max_features": 0.5})
+    return fit_metrics(spark, sf, "Bagging", {"n_estimators": 50, "max_features": 0.5})
 
 
-_LINE = "+".join(f"b{i}*({c}-m{i})/s{i}" for i, c in enumerate(X))
-_PARAMS = ", ".join(f"avg({c}) m{i}, stddev_pop({c}) s{i}" for i, c in enumerate(X))
 
 
 @query("S8_M13_saved_model_prediction", solve_sql(0.0, f"select id, round(b+{_LINE},6) prediction from feat, m{len(X)}, (select {_PARAMS} from feat)"))
@@ -150,7 +164,6 @@ metric_query("M16_MSE", f"{_SQ}/1000000", 1000000.0)
 metric_query("M17_PLCC", "corr(y_true,y_pred)")
 
 
-RANK = "rank() over (order by {c})+(count(*) over (partition by {c})-1)/2"
 
 
 @query("M18_SROCC", with_sql(PRED_SQL) + f"""select round(corr(a,b),6) "SROCC" from
@@ -251,10 +264,10 @@ def importance(spark, sf):
     return md.permutation_importance(df, X, "y", "id", score)
 
 
-@query("M30_run_experiment")
+@query("M30_run_experiment", metrics_sql(0.1))
 def experiment(spark, sf):
     _, metrics = md.run_experiment(feature_rows(spark, sf), X, "y", "id", "Ridge", {"alpha": 0.1})
-    return spark.createDataFrame(sorted(metrics.items()), "name string, value double")
+    return spark.createDataFrame(sorted((n, round(v, 6)) for n, v in metrics.items()), "name string, value double")
 
 
 @query("X1_metric_registry", with_sql(PRED_SQL) + "select round(max(abs(y_true-y_pred)),6) as worst from pred")

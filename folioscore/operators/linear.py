@@ -7,6 +7,7 @@ feature selection need nothing else, so no candidate reads the data again.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,35 @@ def fold_grams(df: DataFrame, columns: list[str], y: str, fold: str | None = Non
     return {f: g.reshape(size, size) for f, g in out.items()}
 
 
+def bootstrap_grams(df: DataFrame, columns: list[str], y: str, id_col: str, members: int, seed: int = 0) -> list[np.ndarray]:
+    """Gram matrices of ``members`` bootstrap draws in one pass: each row counts Poisson(1) times in each draw.
+
+    The counts come from hashes of the row's id, so a task that runs again draws the same.
+    """
+    size = len(columns) + 2
+    steps = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(12)])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((members, size, size))
+        for b in batches:
+            keys = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            data = np.column_stack([np.ones(b.num_rows)] + [
+                b.column(i).to_numpy(zero_copy_only=False) for i in range(1, b.num_columns)])
+            for m in range(members):
+                h = (keys ^ np.uint64(m + 1)) * np.uint64(0x9E3779B97F4A7C15)
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                times = np.searchsorted(steps, (h >> np.uint64(11)).astype(float) / 2.0**53)
+                sums[m] += (data * times[:, None]).T @ data
+        yield pa.RecordBatch.from_pydict({
+            "at": pa.array(np.arange(sums.size), pa.int32()), "s": pa.array(sums.ravel())})
+    source = df.select(F.xxhash64(F.col(id_col), F.lit(seed)).alias("key"), *[F.col(c).cast("double") for c in [*columns, y]])
+    rows = source.mapInArrow(partial, "at int, s double").groupBy("at").agg(F.sum("s").alias("s")).collect()  # members x (features + 2)^2
+    out = np.zeros(members * size * size)
+    for r in rows:
+        out[r["at"]] = r["s"]
+    return list(out.reshape(members, size, size))
+
+
 def total(grams: dict[int, np.ndarray], without: int | None = None) -> np.ndarray:
     return sum(g for f, g in grams.items() if f != without)
 

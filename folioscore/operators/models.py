@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore.functions import unary_maps
@@ -84,16 +85,18 @@ def _fit_trees(make: Callable[[dict], object]) -> Fit:
 
 
 def _fit_bagging(scaled: DataFrame, columns: list[str], y: str, id_col: str, params: dict) -> list[Transformer]:
-    """Average of linear members, each on a bootstrap draw and a share of the columns."""
+    """Average of linear members, each on a bootstrap draw and a share of the columns; one pass draws for all."""
     z = [f"z_{c}" for c in columns]
     members = int(params.get("n_estimators", 10))
     width = max(1, round(float(params.get("max_features", 1.0)) * len(columns)))
     mean = np.zeros(len(columns) + 1)
+    grams = ln.bootstrap_grams(scaled, z, y, id_col, members, int(params.get("seed", 0)))
+    base = params.get("base", "Linear")
+    fitting = {} if base == "Linear" else {"alpha": float(params.get("alpha", 0.1))}
     for m in range(members):
         rng = np.random.default_rng(m)
         used = sorted(rng.choice(len(columns), width, replace=False))
-        gram = ln.total(ln.fold_grams(scaled.sample(True, 1.0, m), [z[i] for i in used], y))
-        beta = ln.FITTERS[params.get("base", "Linear")](gram, alpha=0.1)
+        beta = ln.FITTERS[base](ln.subset(grams[m], used), **fitting)
         mean[[0, *[i + 1 for i in used]]] += beta / members
     return [_linear_stage(mean, columns)]
 
@@ -113,6 +116,16 @@ MODELS: dict[str, Fit] = {
 }
 
 
+def _boosting(p: dict) -> GBTRegressor:
+    """Boosted trees under the names of the searched settings."""
+    return GBTRegressor(lossType="absolute" if p.get("loss", "absolute_error") == "absolute_error" else "squared",
+                        maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 3)),
+                        stepSize=float(p.get("learning_rate", 0.1)), seed=0)
+
+
+MODELS["Gradient Boosting"] = MODELS["Boosting"] = _fit_trees(_boosting)
+
+
 def register_model(name: str, fit: Fit) -> None:
     MODELS[name] = fit
 
@@ -154,6 +167,41 @@ def grid_search(grams: dict[int, np.ndarray], models: list[str], leaky: bool = F
     return out
 
 
+def candidates_of(model: str, sample: int | None = None, seed: int = 42) -> list[dict]:
+    """The settings of a grid, or ``sample`` of them."""
+    found = grid(model)
+    if sample is None or len(found) <= sample:
+        return found
+    picked = np.random.default_rng(seed).choice(len(found), sample, replace=False)
+    return [found[i] for i in sorted(picked)]
+
+
+def search(folded: DataFrame, columns: list[str], y: str, id_col: str, candidates: dict[str, list[dict]]) -> list[tuple[str, dict, float | None]]:
+    """(model, params, mean held-out R2) for settings of any registered model.
+
+    Linear families never read the data again after one Gram pass; others are fitted and scored by one job per fold. A
+    setting that the model refuses gets no score.
+    """
+    grams = ln.fold_grams(folded, columns, y, "fold")
+    folds = sorted(grams)
+    out: list[tuple[str, dict, float | None]] = []
+    for model, settings in candidates.items():
+        for params in settings:
+            if model in ln.FITTERS:
+                out.append((model, params, float(np.mean(ln.cross_validate(grams, model, params)))))
+                continue
+            try:
+                scores = []
+                for f in folds:
+                    fitted = train(folded.where(F.col("fold") != f), columns, y, id_col, model, params)
+                    held = predict(fitted, folded.where(F.col("fold") == f), y)
+                    scores.append(held.agg(ev.METRICS["R2"](F.col(ev.Y), F.col(ev.P))).first()[0])
+                out.append((model, params, float(np.mean(scores))))
+            except IllegalArgumentException:
+                out.append((model, params, None))
+    return out
+
+
 def draw(space: dict, rng: np.random.Generator, around: list[dict] | None = None) -> dict:
     """One setting of a parameter space; near one of the good settings when some are given."""
     centre = around[rng.integers(len(around))] if around else None
@@ -277,6 +325,20 @@ def generate_features(df: DataFrame, columns: list[str], second_step: bool = Tru
     return wide.drop(*[n for n in made if bad[n]])
 
 
+def apply_generated(df: DataFrame, columns: list[str], plan: list[str]) -> DataFrame:
+    """The features of a plan (names that ``generate_features`` and ``select_features`` gave) for new rows.
+
+    Values that are not finite there become 0, as everywhere in this library.
+    """
+    made = {f"{n}_{c}": e for c in columns for n, e in unary_maps(F.col(c)).items()}
+    made |= {f"{a}_x_{b}": F.col(a) * F.col(b) for i, a in enumerate(columns) for b in columns[i + 1:]}
+    made |= {c: F.col(c) for c in columns}
+    unknown = [n for n in plan if n not in made]
+    if unknown:
+        raise ValueError(f"no such generated features: {unknown}")
+    return ev.clean(df.withColumns({n: made[n] for n in plan}), plan)
+
+
 def select_features(df: DataFrame, candidates: list[str], y: str, keep: int) -> list[str]:
     """Candidates with the strongest linear relation to ``y`` that elastic net retains."""
     row = df.agg(*[F.abs(F.corr(c, y)).alias(c) for c in candidates]).first()

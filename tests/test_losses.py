@@ -79,3 +79,24 @@ def test_corpus_rejects(spark, tmp_path):
     assert {("broken", "not an image"), ("broken", "no tess"), ("alone", "no image")} <= found
     with pytest.raises(ValueError):
         tr.corpus_features(spark, str(tmp_path), strict=True)
+
+
+def test_search_covers_every_family_and_reports_refused_settings(spark):
+    df = spark.range(90).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 * 2.0 + 1).alias("y"))
+    folded = ev.kfold(df, "id", 3)
+    found = md.search(folded, ["x"], "y", "id", {
+        "Ridge": [{"alpha": 0.1}], "SVR": [{"kernel": "rbf", "gamma": 0.1, "degree": 2}], "Tree": [{"max_depth": 6}],
+        "Bagging": [{"base": "Linear", "n_estimators": 10, "max_features": 1.0}],
+        "Gradient Boosting": [{"loss": "absolute_error", "learning_rate": r, "n_estimators": 5, "max_depth": 3} for r in (1, 2)]})
+    scores = [s for _, _, s in found]
+    assert len(found) == 6 and scores[0] > 0.99 and scores[2] > 0.9 and scores[3] > 0.9 and scores[4] is not None and scores[5] is None
+    assert len(md.candidates_of("SVR", 20)) == 20
+
+
+def test_generated_plan_applies_to_new_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, 5.0, 10.0), (3.0, 1.0, 3.0)], "a double, b double, y double")
+    plan = [c for c in md.generate_features(df, ["a", "b"]).columns if c not in ("a", "b", "y")][:4] + ["a_x_b"]
+    new = md.apply_generated(spark.createDataFrame([(0.0, 7.0)], "a double, b double"), ["a", "b"], plan).first()
+    assert new["a_x_b"] == 0.0 and all(new[c] is not None for c in plan)
+    with pytest.raises(ValueError):
+        md.apply_generated(df, ["a", "b"], ["nothing"])
