@@ -32,8 +32,8 @@ from .common import body_parts, bound_batches, fresh_key, mix64, once, slices, t
 K = 5
 RESERVE = 0.05
 FREQUENT = 1 << 20
-FLUSH_TOKENS = 1_500_000
-BUCKET_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
+BUCKET_TOKENS = 1_000_000
 START, END = np.uint64(0x51A27), np.uint64(0xE2D)      # keys of the start context and the end token
 BITS = 22               # word numbers inside a flush or a bucket
 OUT = ("kind string, k1 long, k2 long, flush long, doc int, n long, m long, f double, counts array<long>, blob binary")
