@@ -7,8 +7,9 @@ a band agree; a likelihood estimate from both sketches and both set sizes drops
 far away, and the rest is verified on the full sets.
 
 No group is expanded into its pairs: identical word sequences form one class; every class is tried against
-the likeliest of its buckets' first members, and only members left in other components are then tried
-against the rest of a bucket, block by block, so no link between different texts is lost.
+the likeliest of its buckets' first members; members left in other components are tried against the likeliest
+of the rest, as long as that joins components, and at last against all the rest of a bucket, block by block, so no
+link between different texts is lost.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; fewer than five words
 make one shingle; rows with equal ids are one document and share its component; a null id gets a null component and is
@@ -169,10 +170,8 @@ def _set(body: bytes) -> frozenset:
     return frozenset(zip(*(w[k:] for k in range(WORDS)), strict=False))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Pairs whose full shingle sets meet the threshold. Texts travel only for documents in a pair."""
-    pairs = materialize(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def candidate_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, body): compressed texts of the documents that share a bucket with another, written once."""
     import zstandard
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +180,14 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFra
             z = [press.compress(x or b"") for x in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(z, pa.binary())], ["id", "body"])
 
-    texts = materialize(text_bytes(docs.withColumn("id", F.col(id_col).cast("long")), "id", text=text)
-                        .mapInArrow(shrink, "id long, body binary").join(wanted, "id", "left_semi"), "candidate-texts")
+    return materialize(text_bytes(docs.withColumn("id", F.col(id_col).cast("long")), "id", text=text)
+                       .mapInArrow(shrink, "id long, body binary").join(wanted.hint("merge"), "id", "left_semi"), "candidate-texts")
+
+
+def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs whose full shingle sets meet the threshold."""
+    import zstandard
+    pairs = materialize(pairs, "candidates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, frozenset()
@@ -202,19 +207,20 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFra
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def _strays(bands: DataFrame, pivots: DataFrame, groups: DataFrame, reps: DataFrame) -> DataFrame:
+def _strays(crowded: DataFrame, groups: DataFrame, reps: DataFrame, all_pairs: bool) -> DataFrame:
     """Pairs of one bucket that are still in different components and not far apart.
 
     Members outside the component of the bucket's first class are compared with every member, in cells of
-    (stray block, member block): the work is strays times members, and no task holds a whole bucket.
+    (stray block, member block): the work is strays times members, and no task holds a whole bucket. Unless all
+    pairs are asked for, a stray names only its likeliest partner of each cell.
     """
-    named = bands.join(pivots.select("key"), "key").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
+    named = crowded.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
     mixed = named.groupBy("key").agg(F.min_by("comp", "rep").alias("main"), F.min("comp").alias("lo"),
                                      F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
     strays = F.count_if(F.col("comp") != F.col("main"))
     mixed = mixed.where("lo <> hi").select("key", "main", (F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = named.join(mixed, "key")
+    members = materialize(named.join(mixed, "key"), "mixed-buckets")
     width = members.groupBy("key").agg((strays / BLOCK).cast("int").alias("stray_blocks"))
     members = members.join(width, "key")
     spread = F.xxhash64("rep")
@@ -240,6 +246,9 @@ def _strays(bands: DataFrame, pivots: DataFrame, groups: DataFrame, reps: DataFr
             near = same.sum(axis=1) >= LEAST_EQUAL
             # a pair that agrees on several bands is looked at in the first of them
             near[near] = same[near].reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1) == band
+            if not all_pairs and near.any():
+                equal = same.sum(axis=1) * near
+                near = np.arange(len(near)) == equal.argmax()
             found.append(np.stack([np.full(near.sum(), i), at[near]]))
         x, y = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
         keep = np.zeros(len(x), dtype=bool)
@@ -263,18 +272,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     bands = _bands(reps)
     pivots = materialize(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members"))
                          .where("members > 1"), "buckets")
-    tried = bands.join(pivots, "key").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    crowded = materialize(bands.join(pivots, "key"), "crowded")
+    texts = candidate_texts(docs, crowded.select(F.col("rep").alias("id")).distinct(), id_col, text)
+    tried = crowded.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     tried = materialize(_near(tried, reps).groupBy("a").agg(F.max_by("b", F.struct("j", -F.col("b"))).alias("b")), "tried")
-    found = materialize(verify(tried, docs, id_col, text), "verified")
+    found = materialize(verify(tried, texts), "verified")
     # an id with several texts joins their classes
     own = sketched.where("n > 0 and id is not null").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("id").agg(
         F.min("rep").alias("b"), F.collect_set("rep").alias("reps")).where(F.size("reps") > 1).select(F.explode("reps").alias("a"), "b")
     links = found.union(own)
-    groups = components(links)
-    more = _strays(bands, pivots, groups, reps).join(tried, ["a", "b"], "left_anti")
-    late = materialize(verify(more, docs, id_col, text), "verified")
-    if late.take(1):
-        groups = components(groups.where("node <> component").toDF("a", "b").union(late))
+    groups = materialize(components(links), "groups")
+    # likeliest partners first, as long as they join components; then whatever pairs are left between components
+    all_pairs = False
+    while True:
+        more = materialize(_strays(crowded, groups, reps, all_pairs).join(tried, ["a", "b"], "left_anti"), "stray-pairs")
+        late = materialize(verify(more, texts), "verified")
+        linked = bool(late.take(1))
+        if linked:
+            groups = materialize(components(groups.where("node <> component").toDF("a", "b").union(late)), "groups")
+        if all_pairs:
+            break
+        tried = tried.union(more)
+        all_pairs = not linked
     named = sketched.join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left").join(groups, F.col("rep") == F.col("node"), "left")
     named = named.withColumn("component", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep")))
     component = F.coalesce("component", "id")
