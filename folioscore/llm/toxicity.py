@@ -250,7 +250,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(F.crc32(F.col("__id").cast("string")) % 5 != 0)
-    labelled = docs.select(id_col, text).join(known, F.col(id_col) == F.col("__id")).select("toxic", text)
+    # labels grow with the documents: a shuffled join at every size
+    labelled = docs.select(id_col, text).join(known.hint("merge"), F.col(id_col) == F.col("__id")).select("toxic", text)
     lexicon = learn_lexicon(labelled, text)
     found = materialize(count_hits(docs, lexicon, id_col, text), "toxic-hits")
     values = [F.log1p(f).alias(f) for f in FEATURES]
