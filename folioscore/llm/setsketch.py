@@ -38,6 +38,7 @@ PERCENT = 75
 FAR = 0.56              # five standard deviations of the estimate below 0.75
 LEAST_EQUAL = 66        # six standard deviations below what 0.75 makes equal
 BLOCK = 256
+ROUND_MEMBERS = 32
 
 _SALT = mix64(np.arange(1, 4 * REGISTERS + 16, dtype=np.uint64))
 _TIMES = _SALT[:REGISTERS] | np.uint64(1)
@@ -219,7 +220,10 @@ def _strays(crowded: DataFrame, groups: DataFrame, reps: DataFrame, all_pairs: b
     mixed = named.groupBy("key").agg(F.min_by("comp", "rep").alias("main"), F.min("comp").alias("lo"),
                                      F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
     strays = F.count_if(F.col("comp") != F.col("main"))
-    mixed = mixed.where("lo <> hi").select("key", "main", (F.col("n") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.where("lo <> hi")
+    if not all_pairs:       # rounds are for buckets with many pairs; the last pass takes every bucket
+        mixed = mixed.where(F.col("n") > ROUND_MEMBERS)
+    mixed = mixed.select("key", "main", (F.col("n") / BLOCK).cast("int").alias("blocks"))
     members = materialize(named.join(mixed, "key"), "mixed-buckets")
     width = members.groupBy("key").agg((strays / BLOCK).cast("int").alias("stray_blocks"))
     members = members.join(width, "key")
