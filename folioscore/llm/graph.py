@@ -16,7 +16,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = hung.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
-    return out.where("a <> b").distinct()
+    out = out.where("a <> b")
+    return out if large else out.distinct()     # a small round follows each large one and drops its repeats too
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

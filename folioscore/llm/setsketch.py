@@ -272,12 +272,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     classes = sketched.where("n > 0 and id is not null").groupBy("f1", "f2").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("reg").alias("reg"))
     classes = materialize(classes, "classes")
-    reps = classes.select("rep", "n", "reg").dropDuplicates(["rep", "reg"])
-    bands = _bands(reps)
+    bands = _bands(classes)
     pivots = materialize(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members"))
                          .where("members > 1"), "buckets")
     crowded = materialize(bands.join(pivots, "key"), "crowded")
-    texts = candidate_texts(docs, crowded.select(F.col("rep").alias("id")).distinct(), id_col, text)
+    met = materialize(crowded.select("rep").distinct(), "met")
+    # later steps look only at sketches that share a bucket with another
+    reps = materialize(classes.select("rep", "n", "reg").join(met.hint("merge"), "rep", "left_semi").dropDuplicates(["rep", "reg"]),
+                       "candidate-sketches")
+    texts = candidate_texts(docs, met.withColumnRenamed("rep", "id"), id_col, text)
     tried = crowded.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     tried = materialize(_near(tried, reps).groupBy("a").agg(F.max_by("b", F.struct("j", -F.col("b"))).alias("b")), "tried")
     found = materialize(verify(tried, texts), "verified")
