@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 
+FILE_LINKS = 2_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction round over (a, b) with a > b."""
@@ -35,7 +37,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if before is not None and tuple(sums) == before:
             break
         before = tuple(sums)
-        edges = materialize(_star(_star(edges, True), False), "links")
+        # a round has at most as many links as the one before; files hold a bounded number of them
+        edges = materialize(_star(_star(edges, True), False).coalesce(1 + sums[0] // FILE_LINKS), "links")
     # every edge now leads from a node to its smallest one
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
