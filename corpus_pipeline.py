@@ -15,11 +15,30 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs, language.fit(language.learning_rows(docs, "doc_id")))
 
 
+def single_rows(docs: DataFrame) -> DataFrame:
+    """One row per id and text, with a key of its own in ``__row``: the id where it stands once, else a hash of id and text."""
+    several = materialize(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "several-rows")
+    unclear = docs.where("doc_id is null").unionByName(docs.join(several, "doc_id", "left_semi").select(*docs.columns))
+    # the smallest row of each key: copies meet map side first, so a text that stands very often is no hot group
+    unclear = unclear.groupBy(F.xxhash64("doc_id", "text").alias("__row")).agg(F.min(F.struct(*docs.columns)).alias("__first"))
+    unclear = materialize(unclear.select("__first.*", "__row"), "several-once")
+    clear = docs.where("doc_id is not null").join(several, "doc_id", "left_anti").select(*docs.columns)
+    return clear.withColumn("__row", F.col("doc_id").cast("long")).unionByName(unclear)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Each different text of an id is a document of its own here, repeated rows are one, and rows with a null id are
+    compared like all others (they stay where no row with an id is like them).
+    """
     ship_package(spark)
-    gone = setsketch.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = single_rows(docs)
+    near = setsketch.near_duplicates(once, "__row").select("__row", "component_id")
+    named = materialize(near.join(once.select("__row", "doc_id"), "__row"), "near-rows")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row")).alias("one"))
+    gone = named.join(first.select("one.__row"), "__row", "left_anti").select("__row")
+    return once.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -460,6 +460,31 @@ def test_pipeline_stages(sane, tmp_path):
     assert at.where("not round_trip").count() == 0 and counts[4] == counts[3]
 
 
+def test_pipeline_keeps_one_of_repeated_rows(sane, monkeypatch):
+    import corpus_pipeline
+    rng = random.Random(23)
+    names = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(3000)]
+    a, b, c, d, e = (prose(rng, names, 80) for _ in range(5))
+    rows = [(1, a), (1, a), (1, a),             # a row three times
+            (None, b), (None, b),               # a null id twice
+            (2, c), (None, c),                  # an id and a null id
+            (3, d), (4, d), (4, e),             # one of two texts of an id is a copy of a smaller id
+            (5, None), (5, ""), (5, "")]
+    docs = sane.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+    kept = corpus_pipeline.deduplicate(sane, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, [(r["doc_id"], r["text"]) for r in kept.collect()])) == sorted(
+        map(repr, [(1, a), (None, b), (2, c), (3, d), (4, e), (5, None), (5, "")]))
+    # through all stages but the mix, whose targets may leave documents out: every text arrives, and once
+    given = sane.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    planted = sane.createDataFrame([(None if i is None else 9000 + i, t, "en", "src0", len(t or "")) for i, t in rows], given.schema)
+    monkeypatch.setattr(corpus_pipeline, "read", lambda *_: given.union(planted))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] != "mix"])
+    found = corpus_pipeline.run(sane, "/root/testdata/sf0.001").where("doc_id > 9000 or doc_id is null").collect()
+    assert sorted((r["doc_id"] or 0) for r in found) == [0, 9001, 9002, 9003, 9004]
+    assert all(r["n_pieces"] > 80 and r["round_trip"] for r in found)
+
+
 def test_extra_columns_do_not_clash(sane):
     docs = make(sane, ["one two three four five six", "one two three four five six", "other text"]).selectExpr(
         "*", "1 as id", "2 as body", "3 as rid", "4 as n", "5 as w", "6 as size", "7 as score", "8 as component", "9 as src")
