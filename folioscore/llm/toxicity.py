@@ -2,7 +2,8 @@
 
 Words and word beginnings that occur almost only in texts labelled toxic form a trie. Each word of a text
 runs through the trie intersected with the Levenshtein automaton of distance one (its states are built as they are
-met), so misspelled terms match too; misspellings that clean training texts use as words of their own are left out.
+met), so misspelled terms match too; matched words that are not clearly more
+common in toxic than in clean training texts are words of their own and are taken out again by a join.
 A hit counts as quoted if its window of words holds quotation marks or a reporting word. A logistic
 regression over the counts of plain, misspelled and quoted hits gives the score.
 
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .common import bound_batches, fresh_key, once
@@ -30,9 +31,12 @@ WINDOW = 6
 FUZZY_LENGTH = 5        # shorter terms must match exactly
 STEM_LENGTHS = (4, 5, 6)
 MAX_TERMS = 5000
+RATIO = 25              # a term's share of the toxic texts to its share of the clean ones, at least
+OWN_RATIO = 4           # a word near a term whose shares have a smaller ratio is a word of its own
 SAMPLE = 20_000
 MEMO_WORDS = 300_000
 FEATURES = ("plain", "misspelled", "quoted", "kinds")
+_NEAR = pa.list_(pa.struct([("word", pa.string()), ("misspelled", pa.int64()), ("quoted", pa.int64()), ("kinds", pa.int64())]))
 _TRIM = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + QUOTES + "…–—¡¿"
 
 
@@ -43,8 +47,7 @@ def normal(word: str) -> str:
 class Lexicon:
     """The trie of terms and stems, intersected lazily with the Levenshtein automaton of distance one."""
 
-    def __init__(self, terms: list[str], stems: list[str], clean: list[str] = ()):
-        self.clean = frozenset(clean)
+    def __init__(self, terms: list[str], stems: list[str]):
         self.next: list[dict[str, int]] = [{}]
         self.accept: list[str] = [""]          # "" none, "t" whole word, "s" any continuation
         self.depth = [0]
@@ -111,7 +114,7 @@ class Lexicon:
                     if e == 0:
                         return 1
                     fuzzy = fuzzy or self.depth[n] >= FUZZY_LENGTH
-        return 2 if fuzzy and word not in self.clean else 0
+        return 2 if fuzzy else 0
 
 
 class _Memo(dict):
@@ -132,21 +135,28 @@ class _Memo(dict):
         return value
 
 
-def hits(memo: _Memo, text: str) -> tuple[int, int, int, int]:
-    """Plain, misspelled and quoted hits, and different words among them."""
+def hits(memo: _Memo, text: str) -> tuple[int, int, int, int, list[dict]]:
+    """Plain, misspelled and quoted hits, different words among them, and what each misspelled word adds to these."""
     found = text.split()
     kinds = bytes(map(memo.__getitem__, found))
     plain = misspelled = quoted = 0
     names = set()
+    near: dict[str, dict] = {}
     for i in [i for i, k in enumerate(kinds) if k & 3] if any(k in kinds for k in (1, 2, 5, 6)) else ():
-        names.add(found[i].lower())
-        if any(k & 4 for k in kinds[max(0, i - WINDOW):i + WINDOW + 1]):
+        name, reported = found[i].lower(), any(k & 4 for k in kinds[max(0, i - WINDOW):i + WINDOW + 1])
+        if kinds[i] & 3 == 2:
+            word = normal(found[i])
+            own = near.setdefault(word, {"word": word, "misspelled": 0, "quoted": 0, "kinds": 0})
+            own["quoted" if reported else "misspelled"] += 1
+            own["kinds"] += name not in names
+        names.add(name)
+        if reported:
             quoted += 1
         elif kinds[i] & 3 == 1:
             plain += 1
         else:
             misspelled += 1
-    return plain, misspelled, quoted, len(names)
+    return plain, misspelled, quoted, len(names), list(near.values())
 
 
 def word_counts(labelled: DataFrame, text: str = "text") -> DataFrame:
@@ -175,8 +185,9 @@ def word_counts(labelled: DataFrame, text: str = "text") -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_lexicon(labelled: DataFrame, text: str = "text", share: float = 0.02) -> Lexicon:
-    """Terms and stems that at least ``share`` of the toxic and almost no clean training texts use."""
+def learn_lexicon(labelled: DataFrame, text: str = "text", share: float = 0.02) -> tuple[Lexicon, DataFrame]:
+    """Terms and stems that at least ``share`` of the toxic and almost no clean training texts use; and the words of clean
+    texts that don't tell toxic ones, which are no misspellings."""
     spark = labelled.sparkSession
     bound_batches(spark)
     counts = materialize(word_counts(labelled, text), "word-counts")
@@ -184,7 +195,11 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", share: float = 0.02)
     toxic = sum(r["count"] for r in sizes if r["toxic"] == 1)
     clean = sum(r["count"] for r in sizes if r["toxic"] == 0)
     least = max(4, int(share * toxic))
-    telling = (F.col("toxic") >= least) & (F.col("toxic") * F.lit(max(clean, 1)) >= 25 * F.lit(max(toxic, 1)) * F.col("clean"))
+
+    def mostly_toxic(ratio: int) -> Column:
+        return F.col("toxic") * F.lit(max(clean, 1)) >= ratio * F.lit(max(toxic, 1)) * F.col("clean")
+
+    telling = (F.col("toxic") >= least) & mostly_toxic(RATIO)
     top = counts.where(telling).orderBy(F.desc("toxic"), "word").limit(MAX_TERMS)
     terms = sorted(r["word"] for r in top.select("word").collect())
     starts = counts.select("toxic", "clean", F.explode(F.array(*[
@@ -194,20 +209,11 @@ def learn_lexicon(labelled: DataFrame, text: str = "text", share: float = 0.02)
     stems = stems.where(telling & (F.col("forms") >= 5) & (F.col("toxic") >= 40 * F.col("clean"))).orderBy(
         F.desc("toxic"), "stem").limit(MAX_TERMS)
     stems = sorted(r["stem"] for r in stems.select("stem").collect())
-    draft = Lexicon(terms, stems)
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = batch.column("word").to_pylist()
-            yield batch.filter(pa.array([draft.match(w) == 2 for w in names], pa.bool_()))
-
-    # words of their own within one edit of a term: at most a few hundred per term
-    clean_words = counts.where(F.col("clean") > 0).select("word").mapInArrow(near, "word string").collect()
-    return Lexicon(terms, stems, sorted(r["word"] for r in clean_words))
+    return Lexicon(terms, stems), counts.where((F.col("clean") > 0) & ~mostly_toxic(OWN_RATIO)).select("word")
 
 
 def count_hits(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id and its hits."""
+    """Per row: id, its hits and, in ``near``, what each misspelled word adds to them."""
     spark = docs.sparkSession
     bound_batches(spark)
     key, shared = fresh_key(), spark.sparkContext.broadcast(lexicon)      # bounded by MAX_TERMS
@@ -216,12 +222,25 @@ def count_hits(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = once(key, lambda: _Memo(shared.value))
         for batch in batches:
-            found = np.array([hits(memo, t) if t else (0, 0, 0, 0) for t in batch.column(1).to_pylist()],
-                             dtype=np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in found.T)], [id_col, *FEATURES])
+            found = [hits(memo, t) if t else (0, 0, 0, 0, []) for t in batch.column(1).to_pylist()]
+            counts = np.array([f[:4] for f in found], dtype=np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c) for c in counts.T), pa.array([f[4] for f in found], _NEAR)], [id_col, *FEATURES, "near"])
 
     return docs.select(id_col, F.col(text).alias("__text")).mapInArrow(
-        run, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in FEATURES))
+        run, f"`{id_col}` {kind}, " + ", ".join(f"{f} long" for f in FEATURES)
+        + ", near array<struct<word string, misspelled long, quoted long, kinds long>>")
+
+
+def without_words(found: DataFrame, own: DataFrame) -> DataFrame:
+    """Hits less those of misspelled words that are words of their own."""
+    found = materialize(found.withColumn("__row", F.monotonically_increasing_id()), "all-hits")
+    near = found.select("__row", F.inline("near"))
+    own = materialize(near.select("word").distinct().join(own.hint("merge"), "word", "left_semi"), "own-words")
+    less = near.join(own, "word", "left_semi").groupBy("__row").agg(
+        *[F.sum(f).alias(f"less_{f}") for f in ("misspelled", "quoted", "kinds")])
+    return found.join(less, "__row", "left").select(*[c for c in found.columns if c not in ("__row", "near", *FEATURES)], "plain", *[
+        (F.col(f) - F.coalesce(f"less_{f}", F.lit(0))).alias(f) for f in ("misspelled", "quoted", "kinds")])
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, rounds: int = 30) -> np.ndarray:
@@ -252,8 +271,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     known = known.where(F.crc32(F.col("__id").cast("string")) % 5 != 0)
     # labels grow with the documents: a shuffled join at every size
     labelled = docs.select(id_col, text).join(known.hint("merge"), F.col(id_col) == F.col("__id")).select("toxic", text)
-    lexicon = learn_lexicon(labelled, text)
-    found = materialize(count_hits(docs, lexicon, id_col, text), "toxic-hits")
+    lexicon, own = learn_lexicon(labelled, text)
+    found = materialize(without_words(count_hits(docs, lexicon, id_col, text), own), "toxic-hits")
     values = [F.log1p(f).alias(f) for f in FEATURES]
     rows = found.join(known, F.col(id_col) == F.col("__id"))
     order = [F.xxhash64(id_col), F.col(id_col)]

@@ -247,6 +247,21 @@ def test_sketches_merge_and_estimate():
     assert abs(j[0] - 1 / 3) < 0.15
 
 
+def test_one_clean_text_does_not_switch_a_misspelling_off(sane):
+    rng = random.Random(24)
+    calm = ["table", "river", "green", "walk", "paper", "music"]
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rare = [i for i in learned if i % 2][:10]           # toxic texts with the misspelling; one clean text has it too
+    noisy = next(i for i in learned if i % 2 == 0)
+    texts = []
+    for i in range(400):
+        words = [rng.choice(calm) for _ in range(20)] + ["pathetic"] * (i % 2) + ["pathetix"] * (i % 4 < 2)
+        texts.append(" ".join(words + ["pathetlc"] * (i in rare or i == noisy)))
+    got = by_id(toxicity.score_toxicity(make(sane, texts), sane.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")))
+    assert all(got[i]["misspelled"] == (i in rare or i == noisy) for i in got)     # "pathetix" is as common in clean texts
+    assert all((got[i]["plain"], got[i]["kinds"]) == (1, 2) for i in rare)
+
+
 # ---------------------------------------------------------------- 5 language model
 
 def test_katz_matches_a_plain_model(sane, monkeypatch):
