@@ -8,7 +8,8 @@ A hit counts as quoted if its window of words holds quotation marks or a reporti
 regression over the counts of plain, misspelled and quoted hits gives the score.
 
 Defined cases: null and empty texts have no hits and get the score of a text without hits; documents without a label are
-scored but not learned from; without any toxic training label the lexicon is empty and every score is 0; several labels of
+scored but not learned from; without any toxic training label the lexicon is empty and every score is 0, without any clean one it is
+empty; several labels of
 one id count as toxic if one is; rows with a null id are scored and not held out; extra columns are ignored.
 """
 
@@ -30,11 +31,13 @@ REPORTING = ("said", "says", "wrote", "called", "quote", "quoted", "quotes", "re
 WINDOW = 6
 FUZZY_LENGTH = 5        # shorter terms must match exactly
 STEM_LENGTHS = (4, 5, 6)
-MAX_TERMS = 5000
+LEAST = 4               # toxic training texts that a term stands in, at least
+CHANCE = 0.05           # probability that any word at all becomes a term although it says nothing about the label
 RATIO = 25              # a term's share of the toxic texts to its share of the clean ones, at least
 OWN_RATIO = 4           # a word near a term whose shares have a smaller ratio is a word of its own
 SAMPLE = 20_000
 MEMO_WORDS = 300_000
+MEMO_STATES = 200_000
 FEATURES = ("plain", "misspelled", "quoted", "kinds")
 _NEAR = pa.list_(pa.struct([("word", pa.string()), ("misspelled", pa.int64()), ("quoted", pa.int64()), ("kinds", pa.int64())]))
 _TRIM = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + QUOTES + "…–—¡¿"
@@ -63,9 +66,15 @@ class Lexicon:
                     node = self.next[node][ch]
                 if word:
                     self.accept[node] = "s" if kind == "s" else (self.accept[node] or "t")
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop the states met so far; they are built again as needed."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[dict[int, int]] = []
         self.moves: list[dict[str, int]] = []
+        self.within: list[int] = []            # what a word that reaches the state is by its stem, and what one that ends there is
+        self.ending: list[int] = []
         self.start = self._state({0: 0})
 
     def _state(self, errors: dict[int, int]) -> int:
@@ -79,6 +88,9 @@ class Lexicon:
             self.states[key] = len(self.sets)
             self.sets.append(errors)
             self.moves.append({})
+            for kinds, kind, depth in ((self.within, "s", FUZZY_LENGTH + 1), (self.ending, "t", FUZZY_LENGTH)):
+                met = [(n, e) for n, e in errors.items() if self.accept[n] == kind]
+                kinds.append(1 if any(e == 0 for _, e in met) else 2 if any(self.depth[n] >= depth for n, _ in met) else 0)
         return self.states[key]
 
     def _move(self, state: int, ch: str) -> int:
@@ -96,24 +108,21 @@ class Lexicon:
 
     def match(self, word: str) -> int:
         """0: no term, 1: a term or a stem with any ending, 2: one edit away from one."""
+        if len(self.sets) > MEMO_STATES:
+            self._forget()
         node, fuzzy = self.start, False
         for ch in word:
             to = self.moves[node].get(ch)
             node = self._move(node, ch) if to is None else to
-            reached = self.sets[node]
-            if not reached:
+            if not self.sets[node]:
                 break
-            for n, e in reached.items():
-                if self.accept[n] == "s" and (e == 0 or self.depth[n] > FUZZY_LENGTH):
-                    if e == 0:
-                        return 1
-                    fuzzy = True
+            if self.within[node] == 1:
+                return 1
+            fuzzy = fuzzy or self.within[node] == 2
         else:
-            for n, e in self.sets[node].items():
-                if self.accept[n] == "t":
-                    if e == 0:
-                        return 1
-                    fuzzy = fuzzy or self.depth[n] >= FUZZY_LENGTH
+            if self.ending[node] == 1:
+                return 1
+            fuzzy = fuzzy or self.ending[node] == 2
         return 2 if fuzzy else 0
 
 
@@ -185,30 +194,41 @@ def word_counts(labelled: DataFrame, text: str = "text") -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def learn_lexicon(labelled: DataFrame, text: str = "text", share: float = 0.02) -> tuple[Lexicon, DataFrame]:
-    """Terms and stems that at least ``share`` of the toxic and almost no clean training texts use; and the words of clean
-    texts that don't tell toxic ones, which are no misspellings."""
+def evidence(q: float) -> Column:
+    """Minus the logarithm of a bound on the probability that so many of a word's texts are toxic by chance (Chernoff)."""
+    n = F.col("toxic") + F.col("clean")
+    return F.col("toxic") * F.ln(F.col("toxic") / (n * q)) + F.when(
+        F.col("clean") > 0, F.col("clean") * F.ln(F.col("clean") / (n * (1.0 - q)))).otherwise(0.0)
+
+
+def learn_lexicon(labelled: DataFrame, text: str = "text") -> tuple[Lexicon, DataFrame]:
+    """All terms and stems that toxic training texts use at ``RATIO`` times the rate of clean ones and beyond chance, which takes
+    the number of words that are tried into account; and the words of clean texts that don't tell toxic ones, which are no
+    misspellings. No share of the texts is asked for and no number of terms is cut off."""
     spark = labelled.sparkSession
     bound_batches(spark)
     counts = materialize(word_counts(labelled, text), "word-counts")
     sizes = labelled.groupBy("toxic").count().collect()
     toxic = sum(r["count"] for r in sizes if r["toxic"] == 1)
     clean = sum(r["count"] for r in sizes if r["toxic"] == 0)
-    least = max(4, int(share * toxic))
+    if not toxic or not clean:
+        return Lexicon([], []), counts.where("false").select("word")
+    q = toxic / (toxic + clean)
 
     def mostly_toxic(ratio: int) -> Column:
-        return F.col("toxic") * F.lit(max(clean, 1)) >= ratio * F.lit(max(toxic, 1)) * F.col("clean")
+        return F.col("toxic") * F.lit(clean) >= ratio * F.lit(toxic) * F.col("clean")
+
+    def telling(tried: DataFrame, name: str, also: Column) -> list[str]:
+        tried = tried.where(F.col("toxic") >= LEAST)
+        bar = float(np.log(max(tried.count(), 1) / CHANCE))
+        return sorted(r[name] for r in tried.where(mostly_toxic(RATIO) & (evidence(q) >= bar) & also).select(name).collect())
 
-    telling = (F.col("toxic") >= least) & mostly_toxic(RATIO)
-    top = counts.where(telling).orderBy(F.desc("toxic"), "word").limit(MAX_TERMS)
-    terms = sorted(r["word"] for r in top.select("word").collect())
+    terms = telling(counts, "word", F.lit(True))
     starts = counts.select("toxic", "clean", F.explode(F.array(*[
         F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEM_LENGTHS])).alias("stem")).where("stem is not null")
     stems = starts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
                                        F.count_if(F.col("toxic") > 0).alias("forms"))
-    stems = stems.where(telling & (F.col("forms") >= 5) & (F.col("toxic") >= 40 * F.col("clean"))).orderBy(
-        F.desc("toxic"), "stem").limit(MAX_TERMS)
-    stems = sorted(r["stem"] for r in stems.select("stem").collect())
+    stems = telling(materialize(stems, "stems"), "stem", (F.col("forms") >= 5) & (F.col("toxic") >= 40 * F.col("clean")))
     return Lexicon(terms, stems), counts.where((F.col("clean") > 0) & ~mostly_toxic(OWN_RATIO)).select("word")
 
 
@@ -216,7 +236,7 @@ def count_hits(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text:
     """Per row: id, its hits and, in ``near``, what each misspelled word adds to them."""
     spark = docs.sparkSession
     bound_batches(spark)
-    key, shared = fresh_key(), spark.sparkContext.broadcast(lexicon)      # bounded by MAX_TERMS
+    key, shared = fresh_key(), spark.sparkContext.broadcast(lexicon)      # words that pass the test
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

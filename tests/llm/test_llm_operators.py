@@ -247,6 +247,19 @@ def test_sketches_merge_and_estimate():
     assert abs(j[0] - 1 / 3) < 0.15
 
 
+def test_rare_terms_enter_the_lexicon(sane):
+    rng = random.Random(25)
+    calm = [f"word{i}" for i in range(300)]
+    learned = []
+    for i in range(4000):       # 150 slurs, each in about 1.3 % of the toxic texts
+        learned.append((i % 2, " ".join([*(rng.choice(calm) for _ in range(20)), *([f"slur{i // 2 % 75}a", f"s{i // 2 % 75}lurb"] * (i % 2))])))
+    lexicon, own = toxicity.learn_lexicon(sane.createDataFrame(learned, "toxic int, text string"))
+    assert all(lexicon.match(w) == 1 for k in range(75) for w in (f"slur{k}a", f"s{k}lurb"))
+    assert all(lexicon.match(w) == 0 for w in calm)
+    one_kind, own = toxicity.learn_lexicon(sane.createDataFrame([(1, "a b c")] * 30, "toxic int, text string"))
+    assert one_kind.match("a") == 0 and own.count() == 0
+
+
 def test_one_clean_text_does_not_switch_a_misspelling_off(sane):
     rng = random.Random(24)
     calm = ["table", "river", "green", "walk", "paper", "music"]
