@@ -128,12 +128,12 @@ def tree(spark, sf):
 
 @query("M10_boosted_trees_absolute")
 def boosted_absolute(spark, sf):
-    return fit_metrics(spark, sf, "Boosting absolute", {"iterations": 20, "depth": 4, "learning_rate": 0.1})
+    return fit_metrics(spark, sf, "Boosting absolute", {"iterations": 300, "depth": 4, "learning_rate": 0.1})
 
 
 @query("M11_boosted_trees_squared")
 def boosted_squared(spark, sf):
-    return fit_metrics(spark, sf, "Boosting squared", {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8})
+    return fit_metrics(spark, sf, "Boosting squared", {"n_estimators": 400, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8})
 
 
 @query("M12_bagging")

@@ -100,3 +100,10 @@ def test_generated_plan_applies_to_new_rows(spark):
     assert new["a_x_b"] == 0.0 and all(new[c] is not None for c in plan)
     with pytest.raises(ValueError):
         md.apply_generated(df, ["a", "b"], ["nothing"])
+
+
+def test_boosted_trees_are_registered_with_the_surveyed_rounds(monkeypatch):
+    from folioscore.catalog import learning
+    monkeypatch.setattr(learning, "fit_metrics", lambda spark, sf, model, params: params)
+    assert learning.boosted_absolute(None, "")["iterations"] == 300
+    assert learning.boosted_squared(None, "")["n_estimators"] >= 400
