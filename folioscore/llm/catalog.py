@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
+from . import divergence, hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -78,3 +78,11 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nearest")
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_source_divergence")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+SQL["op12_source_divergence"] = divergence.SQL
