@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import divergence, hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
+from . import codes, divergence, hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -86,3 +86,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_source_divergence"] = divergence.SQL
+
+
+@query("op13_vector_codes")
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+SQL["op13_vector_codes"] = codes.SQL
