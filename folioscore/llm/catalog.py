@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import codes, divergence, hnsw, katz, language, mixing, pieces, setsketch, suffixes, token_files, topk, toxicity
+from . import codes, divergence, hnsw, katz, language, mixing, packing, pieces, setsketch, suffixes, token_files, topk, toxicity
 
 #: Vocabulary files of public tokenizers; a folder of the machine that runs the driver.
 TOKENIZERS = "/opt/tokenizers"
@@ -94,3 +94,9 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op13_vector_codes"] = codes.SQL
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = packing.load_ranks(f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.pack(read(spark, sf_dir, "documents"), ranks, BYTE_PATTERN)
