@@ -1,13 +1,15 @@
 """Approximate nearest neighbours: one navigable small-world graph per shard, results merged.
 
-Rows are dealt over shards by a hash of their id. A shard's graph is built by insertion: levels drawn from a
+Vectors are dealt over shards by a hash of their number. A shard's graph is built by insertion: levels drawn from a
 hash, each layer's new points searched in the graph so far and linked to a diverse choice of what was found.
 It is stored as flat neighbour arrays. All queries are searched in all shards, in blocks, and the nearest of
 all shards are ranked by exact distance.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, as
-query or candidate; vectors of different lengths don't meet; equal vectors stand in the graph once and come
-back with all their ids (ties to the smaller); repeated ids are rows of their own; an empty table gives no rows.
+query or candidate, nor do rows with a null id; vectors of different lengths don't meet; equal vectors stand in the
+graph once and come back with all their rows (ties to the smaller id). Rows with a repeated id are rows of their own: each
+different vector of a query's id is a query (``query_key`` tells them apart), and a query leaves out its own row only.
+An empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import bound_batches, mix64
-from .vectors import block_count, every, finite, members, pack
+from .vectors import asked_vectors, block_count, every, finite, members, pack, ranked
 
 LINKS = 16              # per point and layer; twice as many on the lowest
 BUILD_WIDTH = 64
@@ -196,7 +198,7 @@ class Graph:
 
 
 def build_index(rows: DataFrame, shards: int) -> DataFrame:
-    """(shard, dim, ids, data, graph): one graph per shard, over (id, vector) rows."""
+    """(shard, dim, ids, data, first, graph): one graph per shard, over (id, vector, first) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,12 +208,12 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
                 graphs.append(Graph.build(x, np.frombuffer(ids, dtype=np.int64)).flat())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(graphs, pa.binary())], [*batch.schema.names, "graph"])
 
-    return pack(rows, shards, "float64", "shard").mapInArrow(
-        run, "shard int, dim int, ids binary, data binary, graph binary")
+    return pack(rows, shards, "float64", "shard", "first").mapInArrow(
+        run, "shard int, dim int, ids binary, data binary, first binary, graph binary")
 
 
 def search_index(index: DataFrame, queries: DataFrame, query_blocks: int, k: int, width: int) -> DataFrame:
-    """(query, rep, score): the k nearest found in every shard, with exact distances."""
+    """(query, rep, first, score): the k nearest found in every shard, with exact distances."""
     asked = pack(queries, query_blocks, "float64", "q").select("q", "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
     cells = index.select("*", every("q", query_blocks)).join(asked, ["q", "dim"])
 
@@ -220,7 +222,7 @@ def search_index(index: DataFrame, queries: DataFrame, query_blocks: int, k: int
             for row in batch.to_pylist():
                 x = np.frombuffer(row["data"], dtype=np.float64).reshape(-1, row["dim"])
                 q = np.frombuffer(row["q_data"], dtype=np.float64).reshape(-1, row["dim"])
-                ids, asked = (np.frombuffer(row[c], dtype=np.int64) for c in ("ids", "q_ids"))
+                ids, asked, first = (np.frombuffer(row[c], dtype=np.int64) for c in ("ids", "q_ids", "first"))
                 graph = Graph.from_flat(x, row["graph"])
                 for at in range(0, len(q), BATCH):
                     part = q[at:at + BATCH]
@@ -228,15 +230,16 @@ def search_index(index: DataFrame, queries: DataFrame, query_blocks: int, k: int
                     who, slot = np.nonzero(found >= 0)
                     pos = found[who, slot]
                     exact = np.sqrt(((x[pos] - part[who]) ** 2).sum(axis=1))
-                    order = np.lexsort((ids[pos], exact, who))
+                    order = np.lexsort((first[pos], exact, who))
                     who, pos, exact = who[order], pos[order], exact[order]
                     place = np.arange(len(who)) - np.searchsorted(who, who)
                     keep = place < k
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(asked[at + who[keep]]), pa.array(ids[pos[keep]]), pa.array(exact[keep])],
-                        ["query", "rep", "score"])
+                        [pa.array(asked[at + who[keep]]), pa.array(ids[pos[keep]]), pa.array(first[pos[keep]]), pa.array(exact[keep])],
+                        ["query", "rep", "first", "score"])
 
-    return cells.select("dim", "ids", "data", "graph", "q_ids", "q_data").mapInArrow(run, "query long, rep long, score double")
+    return cells.select("dim", "ids", "data", "first", "graph", "q_ids", "q_data").mapInArrow(
+        run, "query long, rep long, first long, score double")
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding",
@@ -246,17 +249,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_i
     usable = rows.where(finite(vector) & F.exists(vector, lambda x: x != 0) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("asked"))
     known = materialize(members(usable, k + 1), "vectors")
-    asked = usable.where("asked").select("id", "vector")
-    reps = known.where("place = 1").select("id", "vector")
-    same = known.select("vector", "rep").where("place = 1")
-    queries = materialize(asked.join(same, "vector").select(F.col("id").alias("query_id"), "rep"), "queries")
-    query_reps = reps.join(queries.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    reps = known.where("place = 1").select(F.col("rep").alias("id"), "vector", "first")
+    queries = materialize(asked_vectors(usable.where("asked"), reps), "queries")
+    query_reps = reps.select("id", "vector").join(queries.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     shards, blocks = block_count(reps.count(), shard_rows), block_count(query_reps.count(), QUERY_ROWS)
     index = materialize(build_index(reps, shards).repartition(shards, "shard"), "graphs")
     found = search_index(index, query_reps, blocks, k + 1, width)
-    best = Window.partitionBy("query").orderBy("score", "rep")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
-    paired = (queries.join(found.withColumnRenamed("rep", "hit"), F.col("rep") == F.col("query"))
-              .join(known.select(F.col("rep").alias("hit"), "id"), "hit").where("id <> query_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "id"))
-    return paired.select("query_id", rank.cast("int").alias("rank"), F.col("id").alias(id_col), "score").where(F.col("rank") <= k)
+    best = Window.partitionBy("query").orderBy("score", "first", "rep")
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n", "first")
+    return ranked(queries, found, known, F.asc("score"), k, id_col)

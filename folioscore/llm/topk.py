@@ -6,9 +6,12 @@ to reach. Phase two sends that cutoff to all blocks, and each list returns its e
 a row that no list returns stays below the cutoff. The rows that all lists return raise it. Phase three drops rows whose known parts plus the most
 the missing ones can add fall short, and resolves what is left exactly.
 
-Defined cases: vectors that are null, empty or hold null or non-finite components take no part; vectors of
-different lengths don't meet; equal vectors are scored once and come back with all their ids; products are
-64-bit integers; with fewer than k rows all come back; an empty table gives no rows.
+Defined cases: vectors that are null, empty or hold null or non-finite components and rows with a null id take no
+part; vectors of different lengths don't meet; equal vectors are scored once and come back with all their rows.
+Rows with a repeated id are rows of their own: each different vector of a query's id is a query (``query_key`` tells
+them apart), and a query leaves out its own row only. Products are 64-bit integers: components whose scaled values
+reach 2^31 divided by the root of the dimension may leave that range, and their rows take no part. With fewer than k
+rows all come back; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .common import bound_batches
-from .vectors import block_count, every, finite, members, pack
+from .vectors import asked_vectors, block_count, every, finite, members, pack, ranked
 
 SLICES = 2
 ROW_BLOCK = 8192
@@ -122,11 +125,11 @@ def top_products(rows: DataFrame, is_query: Column, k: int = 20, scale: float =
     scaled = F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(F.lit(scale) * x).cast("long"))
     usable = rows.where(finite(vector) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), scaled.alias("vector"), is_query.alias("asked"))
+    usable = usable.where(~F.exists("vector", lambda x: F.abs(x).cast("double") * F.sqrt(F.size("vector")) >= 2.0**31))
     need = k + 1        # a query's own row may be among them
     known = materialize(members(usable, need), "vectors")
-    reps = known.where("place = 1").select("id", "vector", "rep")
-    queries = materialize(usable.where("asked").join(reps.select("vector", "rep"), "vector").select(
-        F.col("id").alias("query_id"), "rep"), "queries")
+    reps = known.where("place = 1").select(F.col("rep").alias("id"), "vector", "first")
+    queries = materialize(asked_vectors(usable.where("asked"), reps), "queries")
     asked = reps.select("id", "vector").join(queries.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     blocks, query_blocks = block_count(reps.count(), ROW_BLOCK), block_count(asked.count(), QUERY_BLOCK)
     stored = materialize(pack(reps, blocks, "int64", "b"), "blocks")
@@ -154,11 +157,7 @@ def top_products(rows: DataFrame, is_query: Column, k: int = 20, scale: float =
         (F.col("cutoff") == LOW) | (F.col("sum") + (slices - F.col("seen")) * (least - 1)
                                     >= F.greatest("cutoff", F.coalesce("higher", "cutoff"))))
     rest = _resolve(cells(asked), open_, blocks, query_blocks)
-    scored = whole.unionByName(rest)
-    best = Window.partitionBy("query").orderBy(F.desc("total"), "rep")
-    scored = scored.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need).drop("n")
-    paired = (queries.join(scored.withColumnRenamed("rep", "hit"), F.col("rep") == F.col("query"))
-              .join(known.select(F.col("rep").alias("hit"), "id"), "hit").where("id <> query_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("total"), "id"))
-    return paired.select("query_id", rank.cast("int").alias("rank"), F.col("id").alias(id_col),
-                         F.col("total").alias("score")).where(F.col("rank") <= k)
+    scored = whole.unionByName(rest).join(reps.select(F.col("id").alias("rep"), "first"), "rep")
+    best = Window.partitionBy("query").orderBy(F.desc("total"), "first", "rep")
+    scored = scored.withColumn("n", F.row_number().over(best)).where(F.col("n") <= need)
+    return ranked(queries, scored.select("query", "rep", F.col("total").alias("score")), known, F.desc("score"), k, id_col)

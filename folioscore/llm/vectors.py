@@ -16,14 +16,38 @@ def finite(vector: str) -> Column:
 
 
 def members(rows: DataFrame, most: int) -> DataFrame:
-    """Equal vectors as one: (id, vector, rep, place) with the ``most`` smallest ids of each vector.
+    """Equal vectors as one: (id, vector, rep, first, place, again) with the ``most`` smallest ids of each vector.
 
     Copies of a vector tie in every search, and ties go to smaller ids, so the others can't be in a result
     of fewer than ``most`` rows. The limit is applied on the map side first: a hot vector costs one short list.
+    ``rep`` is a number of the vector's own, whatever ids stand for it (write the result once: the numbers hold for one
+    computation); ``first`` is its smallest id; ``again`` marks further rows of the same id and vector.
     """
     same = Window.partitionBy("vector").orderBy("id")
     placed = rows.select("id", "vector").withColumn("place", F.row_number().over(same)).where(F.col("place") <= most)
-    return placed.withColumn("rep", F.min("id").over(Window.partitionBy("vector")))
+    placed = placed.withColumn("again", F.coalesce(F.lag("id").over(same) == F.col("id"), F.lit(False)))
+    whole = Window.partitionBy("vector")
+    return placed.withColumn("number", F.monotonically_increasing_id()).withColumns(
+        {"rep": F.min("number").over(whole), "first": F.min("id").over(whole)}).drop("number")
+
+
+def asked_vectors(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """(query_id, rep) of rows that are queries; rows equal in id and vector are one query."""
+    return rows.join(reps.select("vector", F.col("id").alias("rep")), "vector").select(
+        F.col("id").alias("query_id"), "rep").distinct()
+
+
+def ranked(queries: DataFrame, hits: DataFrame, known: DataFrame, score: Column, k: int, id_col: str) -> DataFrame:
+    """Each query's ``k`` best rows by ``score``, ties to smaller ids, all but the query's own row.
+
+    ``hits`` are (query, rep, score) over vectors; every row of such a vector takes part.
+    """
+    rows = known.select(F.col("rep").alias("hit"), "id", "again")
+    paired = queries.join(hits.withColumnRenamed("rep", "hit"), F.col("rep") == F.col("query")).join(rows, "hit")
+    own = (F.col("hit") == F.col("rep")) & (F.col("id") == F.col("query_id")) & ~F.col("again")
+    place = F.row_number().over(Window.partitionBy("query_id", "rep").orderBy(score, "id"))
+    return paired.where(~own).select(
+        "query_id", place.cast("int").alias("rank"), F.col("id").alias(id_col), "score", F.col("rep").alias("query_key")).where(F.col("rank") <= k)
 
 
 def block_count(rows: int, size: int) -> int:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscore.llm import catalog, codes, divergence, packing
+from folioscore.llm import catalog, codes, divergence, hnsw, packing, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [None, "", " \t\n", "x", "Ünïcode ▁ text\x00 and   spaces \n", "😀" * 50, "don't  stop <|endoftext|> now", "a" * 5000]
@@ -244,3 +244,61 @@ def test_search_ends_only_beyond_the_best():
         index, best = codes.Codebook(entries).search(parts)
         full = ((parts[:, None] - entries[None]) ** 2).sum(axis=2)
         assert (best == full.min(axis=1)).all() and (index == full.argmin(axis=1)).all()
+
+
+# ---------------------------------------------------------------- 2 and 10: repeated ids, ties, clashing columns
+
+def brute_search(rows, step, k, score):
+    """(query id, its vector's results) for every different (id, vector) of a query; a row leaves out itself alone."""
+    out = collections.Counter()
+    for i, v in {(i, tuple(v)) for i, v in rows if i % step == 0}:
+        others = list(rows)
+        others.remove((i, list(v)))
+        ranked = sorted((score(v, w), j) for j, w in others if len(w) == len(v))[:k]
+        out[i, tuple((r + 1, j, s) for r, (s, j) in enumerate(ranked))] += 1
+    return out
+
+
+def results(df):
+    groups = collections.defaultdict(list)
+    for r in df.collect():
+        groups[r["query_id"], r["query_key"]].append((r["rank"], r["vec_id"], r["score"]))
+    return collections.Counter((i, tuple(sorted(v))) for (i, _), v in groups.items())
+
+
+def repeated_rows(seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, v) for i, v in enumerate(rng.integers(-2, 3, (120, 4)).astype(float).tolist()) if any(v)]
+    rows += [(20, [3.0, 0.0, 1.0, 0.0]), (7, [-1.0, 2.0, 2.0, 2.0]), (7, [9.0, 9.0, 9.0, 9.0]), (40, [1.0, 1.0, 1.0, 1.0])]
+    return rows + [(40, [1.0, 1.0, 1.0, 1.0])] * 2 + [(60 + i % 2, [2.0, 2.0, 2.0, 2.0]) for i in range(30)]
+
+
+def search_table(spark, rows):
+    return spark.createDataFrame([(i, v, 5, "x", 1) for i, v in rows],
+                                 "vec_id long, embedding array<double>, id long, rep string, query long").repartition(4)
+
+
+def test_products_of_repeated_ids(sane):
+    rows = repeated_rows(21)
+    want = brute_search(rows, 20, 9, lambda a, b: -sum(int(64 * x // 1) * int(64 * y // 1) for x, y in zip(a, b)))
+    want = collections.Counter({(i, tuple((r, j, -s) for r, j, s in v)): n for (i, v), n in want.items()})
+    assert results(topk.top_products(search_table(sane, rows), F.col("vec_id") % 20 == 0, k=9)) == want
+
+
+def test_neighbours_of_repeated_ids(sane):
+    rows = repeated_rows(22)
+    want = brute_search(rows, 20, 9, lambda a, b: float(np.sqrt(((np.array(a) - np.array(b)) ** 2).sum())))
+    assert results(hnsw.nearest(search_table(sane, rows), F.col("vec_id") % 20 == 0, k=9)) == want
+
+
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_of_a_production_shard(clusters):
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(hnsw.SHARD_ROWS, 64))
+    if clusters:
+        x = 0.1 * x + rng.normal(size=(clusters, 64))[rng.integers(0, clusters, len(x))]
+    asked = x[::20] + 0.01 * rng.normal(size=x[::20].shape)
+    found = hnsw.Graph.build(x, np.arange(len(x))).search(asked, hnsw.SEARCH_WIDTH)[:, :10]
+    distance = (x * x).sum(axis=1) - 2 * asked @ x.T
+    true = np.argsort(distance, axis=1)[:, :10]
+    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found.tolist(), true.tolist())]) >= 0.97
