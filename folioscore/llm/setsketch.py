@@ -7,9 +7,12 @@ a band agree; a likelihood estimate from both sketches and both set sizes drops
 far away, and the rest is verified on the full sets.
 
 No group is expanded into its pairs: identical word sequences form one class; every class is tried against
-the likeliest of its buckets' first members; members left in other components are tried against the likeliest
-of the rest, as long as that joins components, and at last against all the rest of a bucket, block by block, so no
-link between different texts is lost.
+the likeliest of its buckets' pivots. A bucket's pivot is the member that stands in the most crowded buckets: where many texts
+derive from one, that one, which joins them at once. Members that are left in other components than their pivot's are compared with all
+members of the bucket inside tasks, first by sketch, then by full sets; tasks give open members and joining links, never pairs.
+
+What can be lost: a pair at the threshold agrees on no band with a chance of 5 in a million, a pair's sketch falls below
+``LEAST_EQUAL`` or ``FAR`` with one of about 1 in 10^7 or less; both fall fast above the threshold.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; fewer than five words
 make one shingle; rows with equal ids are one document and share its component; a null id gets a null component and is
@@ -37,8 +40,8 @@ LIMIT = (1 << 16) - 2
 PERCENT = 75
 FAR = 0.56              # five standard deviations of the estimate below 0.75
 LEAST_EQUAL = 66        # six standard deviations below what 0.75 makes equal
-BLOCK = 256
-ROUND_MEMBERS = 32
+CELL_ROWS = 4096        # sketches on each side of a cell
+CELL_SHINGLES = 1 << 20     # shingles on each side of a cell
 
 _SALT = mix64(np.arange(1, 4 * REGISTERS + 16, dtype=np.uint64))
 _TIMES = _SALT[:REGISTERS] | np.uint64(1)
@@ -208,34 +211,46 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def _strays(crowded: DataFrame, groups: DataFrame, reps: DataFrame, all_pairs: bool) -> DataFrame:
-    """Pairs of one bucket that are still in different components and not far apart.
+def _union(parent: dict, a: int, b: int) -> bool:
+    """Join two components; False where they are one already."""
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+    a, b = root(a), root(b)
+    parent[a] = b
+    return a != b
+
+
+def _cells(members: DataFrame, weight: str, most: int) -> DataFrame:
+    """Members of buckets dealt to cells (s, m) of a bounded weight on each side: strays to a row of cells, all to a column.
 
-    Members outside the component of the bucket's first class are compared with every member, in cells of
-    (stray block, member block): the work is strays times members, and no task holds a whole bucket. Unless all
-    pairs are asked for, a stray names only its likeliest partner of each cell.
+    A bucket up to the bound is one cell, so rows are made in proportion to the members; beyond it every stray block
+    still meets every member block.
     """
-    named = crowded.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "band", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = named.groupBy("key").agg(F.min_by("comp", "rep").alias("main"), F.min("comp").alias("lo"),
-                                     F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-    strays = F.count_if(F.col("comp") != F.col("main"))
-    mixed = mixed.where("lo <> hi")
-    if not all_pairs:       # rounds are for buckets with many pairs; the last pass takes every bucket
-        mixed = mixed.where(F.col("n") > ROUND_MEMBERS)
-    mixed = mixed.select("key", "main", (F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = materialize(named.join(mixed, "key"), "mixed-buckets")
-    width = members.groupBy("key").agg((strays / BLOCK).cast("int").alias("stray_blocks"))
-    members = members.join(width, "key")
+    weights = members.groupBy("key").agg(
+        (F.sum(weight) / most).cast("int").alias("blocks"),
+        (F.coalesce(F.sum(F.when(F.col("stray"), F.col(weight))), F.lit(0)) / most).cast("int").alias("stray_blocks"))
+    members = members.join(weights, "key")
     spread = F.xxhash64("rep")
     block = F.pmod(spread, F.col("blocks") + 1).cast("int")
     stray_block = F.pmod(spread, F.col("stray_blocks") + 1).cast("int")
-    left = members.where("comp <> main").select(
-        "key", "band", "rep", "comp", F.lit(True).alias("stray"), stray_block.alias("s"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks"))).alias("m"))
-    right = members.select("key", "band", "rep", "comp", F.lit(False).alias("stray"),
+    keep = [c for c in members.columns if c not in ("blocks", "stray_blocks", "stray")]
+    left = members.where("stray").select(*keep, F.lit(True).alias("stray"), stray_block.alias("s"),
+                                         F.explode(F.sequence(F.lit(0), F.col("blocks"))).alias("m"))
+    right = members.select(*keep, F.lit(False).alias("stray"),
                            F.explode(F.sequence(F.lit(0), F.col("stray_blocks"))).alias("s"), block.alias("m"))
-    cells = left.unionByName(right).join(reps.select("rep", "n", "reg"), "rep")
+    return left.unionByName(right)
+
+
+def _open_members(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """(key, rep) of strays with a partner in another component that the sketches do not put far away, and of such partners.
+
+    A pair that agrees on several bands counts in the first of them. At most one row per member of a bucket, however
+    many pairs there are.
+    """
+    cells = _cells(members.withColumn("one", F.lit(1)), "one", CELL_ROWS).drop("n", "one").join(reps.select("rep", "n", "reg"), "rep")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         stray = table.column("stray").to_numpy(zero_copy_only=False)
@@ -243,29 +258,75 @@ def _strays(crowded: DataFrame, groups: DataFrame, reps: DataFrame, all_pairs: b
         band = table.column("band")[0].as_py()
         reg = np.array([np.frombuffer(r, dtype=np.uint16) for r in table.column("reg").to_pylist()])
         rest = np.flatnonzero(~stray)
-        found = []
+        others, other_comp = reg[rest], comp[rest]
+        open_ = np.zeros(len(rep), dtype=bool)
         for i in np.flatnonzero(stray):
-            at = rest[comp[rest] != comp[i]]
-            same = reg[at] == reg[i]
-            near = same.sum(axis=1) >= LEAST_EQUAL
-            # a pair that agrees on several bands is looked at in the first of them
+            same = others == reg[i]
+            near = (same.sum(axis=1) >= LEAST_EQUAL) & (other_comp != comp[i])
             near[near] = same[near].reshape(-1, REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1) == band
-            if not all_pairs and near.any():
-                equal = same.sum(axis=1) * near
-                near = np.arange(len(near)) == equal.argmax()
-            found.append(np.stack([np.full(near.sum(), i), at[near]]))
-        x, y = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-        keep = np.zeros(len(x), dtype=bool)
-        for s in range(0, len(x), 4096):
-            e = slice(s, s + 4096)
-            keep[e] = likely((reg[x[e]] > reg[y[e]]).sum(axis=1), (reg[x[e]] < reg[y[e]]).sum(axis=1),
-                             size[x[e]].astype(float), size[y[e]].astype(float)) >= FAR
-        x, y = rep[x[keep]], rep[y[keep]]
-        return pa.table({"a": pa.array(np.maximum(x, y), pa.int64()), "b": pa.array(np.minimum(x, y), pa.int64())})
+            at = rest[near]
+            j = likely((reg[i] > reg[at]).sum(axis=1), (reg[i] < reg[at]).sum(axis=1),
+                       np.full(len(at), size[i], dtype=float), size[at].astype(float)) if len(at) else np.zeros(0)
+            open_[at[j >= FAR]] = True
+            open_[i] |= bool((j >= FAR).any())
+        return pa.table({"key": pa.array(np.full(open_.sum(), key[0].as_py()), pa.int64()), "rep": pa.array(rep[open_], pa.int64())})
+
+    return cells.groupBy("key", "s", "m").applyInArrow(run, "key long, rep long").distinct()
+
+
+def _stray_links(members: DataFrame, open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between components, decided on full sets where both texts meet.
+
+    Overlaps of a stray with all members of its cell are counted at once from the cell's shingle lists; only links that
+    join components are kept, so a cell gives fewer rows than it has members.
+    """
+    import zstandard
+    cells = _cells(members.join(open_, ["key", "rep"]), "n", CELL_SHINGLES)
+    cells = cells.join(texts.select(F.col("id").alias("rep"), "body"), "rep").select("key", "s", "m", "rep", "comp", "stray", "body")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        stray = table.column("stray").to_numpy(zero_copy_only=False)
+        rep, comp = (table.column(c).to_numpy() for c in ("rep", "comp"))
+        unpack = zstandard.ZstdDecompressor()
+        bodies = [unpack.decompress(z) for z in table.column("body").to_pylist()]
+        shingles, n = shingle_hashes(*words(*body_parts(pa.array(bodies, pa.binary()))))
+        _, code = np.unique(shingles, return_inverse=True)
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(code, kind="stable")
+        lists, first = owner[order], np.r_[0, np.cumsum(np.bincount(code))] if len(code) else np.zeros(1, dtype=np.int64)
+        ends = np.cumsum(n)
+        parent: dict = {}
+        sets: dict = {}
+        found = []
+        for i in np.flatnonzero(stray):
+            own = code[ends[i] - n[i]:ends[i]]
+            both = np.bincount(np.concatenate([lists[first[c]:first[c + 1]] for c in own]) if len(own) else [], minlength=len(n))
+            hit = (100 * both >= PERCENT * (n[i] + n - both)) & ~stray & (comp != comp[i]) & (n > 0)
+            for j in np.flatnonzero(hit):
+                a, b = (sets.setdefault(k, _set(bodies[k])) for k in (i, j))
+                shared = len(a & b)
+                if 100 * shared >= PERCENT * (len(a) + len(b) - shared) and _union(parent, int(comp[i]), int(comp[j])):
+                    found.append((max(rep[i], rep[j]), min(rep[i], rep[j])))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     return cells.groupBy("key", "s", "m").applyInArrow(run, "a long, b long").distinct()
 
 
+def stray_links(crowded: DataFrame, groups: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that are left between different components of the buckets.
+
+    Strays are the members outside the component of their bucket's pivot; they are compared with all members.
+    """
+    named = crowded.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    mixed = named.groupBy("key").agg(F.max(F.when(F.col("rep") == F.col("pivot"), F.col("comp"))).alias("main"),
+                                     F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "main")
+    members = named.join(mixed, "key").join(reps.select("rep", "n"), "rep").select(
+        "key", "band", "rep", "comp", "n", (F.col("comp") != F.col("main")).alias("stray"))
+    members = materialize(members, "mixed-buckets")
+    open_ = materialize(_open_members(members, reps), "open-members")
+    return _stray_links(members, open_, texts)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest linked id), kept."""
     sketched = materialize(sketch(docs, id_col, text), "sketches")
@@ -273,34 +334,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("reg").alias("reg"))
     classes = materialize(classes, "classes")
     bands = _bands(classes)
-    pivots = materialize(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members"))
-                         .where("members > 1"), "buckets")
-    crowded = materialize(bands.join(pivots, "key"), "crowded")
-    met = materialize(crowded.select("rep").distinct(), "met")
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    buckets = materialize(bands.join(sizes, "key"), "buckets")
+    # a text that many others derive from stands in the most crowded bucket of nearly every band
+    met = materialize(buckets.groupBy("rep").agg(F.sum("members").alias("weight")), "met")
+    pivots = buckets.join(met, "rep").groupBy("key").agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("pivot"))
+    crowded = materialize(buckets.drop("members").join(pivots, "key"), "crowded")
+    met = met.select("rep")
     # later steps look only at sketches that share a bucket with another
     reps = materialize(classes.select("rep", "n", "reg").join(met.hint("merge"), "rep", "left_semi").dropDuplicates(["rep", "reg"]),
                        "candidate-sketches")
     texts = candidate_texts(docs, met.withColumnRenamed("rep", "id"), id_col, text)
     tried = crowded.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    tried = materialize(_near(tried, reps).groupBy("a").agg(F.max_by("b", F.struct("j", -F.col("b"))).alias("b")), "tried")
+    tried = _near(tried, reps).groupBy("a").agg(F.max_by("b", F.struct("j", -F.col("b"))).alias("b"))
     found = materialize(verify(tried, texts), "verified")
     # an id with several texts joins their classes
     own = sketched.where("n > 0 and id is not null").join(classes.select("f1", "f2", "rep"), ["f1", "f2"]).groupBy("id").agg(
         F.min("rep").alias("b"), F.collect_set("rep").alias("reps")).where(F.size("reps") > 1).select(F.explode("reps").alias("a"), "b")
     links = found.union(own)
     groups = materialize(components(links), "groups")
-    # likeliest partners first, as long as they join components; then whatever pairs are left between components
-    all_pairs = False
-    while True:
-        more = materialize(_strays(crowded, groups, reps, all_pairs).join(tried, ["a", "b"], "left_anti"), "stray-pairs")
-        late = materialize(verify(more, texts), "verified")
-        linked = bool(late.take(1))
-        if linked:
-            groups = materialize(components(groups.where("node <> component").toDF("a", "b").union(late)), "groups")
-        if all_pairs:
-            break
-        tried = tried.union(more)
-        all_pairs = not linked
+    late = materialize(stray_links(crowded, groups, reps, texts), "verified")
+    if late.take(1):
+        groups = materialize(components(groups.where("node <> component").toDF("a", "b").union(late)), "groups")
     named = sketched.join(classes.select("f1", "f2", "rep"), ["f1", "f2"], "left").join(groups, F.col("rep") == F.col("node"), "left")
     named = named.withColumn("component", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("component", "rep")))
     component = F.coalesce("component", "id")
