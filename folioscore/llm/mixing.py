@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import WORD_PATTERN, bound_batches, mix64
+from .common import WORD_PATTERN, bound_batches, fresh_key, mix64
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 8192
@@ -242,20 +242,23 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     bound_batches(docs.sparkSession)
     m = mix(docs, id_col=id_col, text=text, source=source, **options)
-    names = m.docs.select("row_id", F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("src").alias("__src"))
-    taken = m.taken().groupBy("row_id", "epoch").agg(F.collect_list(F.struct("at", "words")).alias("__pieces"))
-    named = taken.join(names, "row_id").drop("row_id")
-    order = docs.sparkSession.createDataFrame([(p.source, p.index) for p in m.plans], "__s string, __src int")
-    once = docs.withColumn("__hash", F.xxhash64(text)).dropDuplicates([id_col, "__hash", source])
-    once = once.join(order, F.col(source).eqNullSafe(F.col("__s"))).drop("__s")
-    both = once.join(named, F.col(id_col).eqNullSafe(F.col("__id")) & (once["__hash"] == named["__hash"])
-                     & (once["__src"] == named["__src"])).select(*docs.columns, "__pieces")
+    names = m.docs.select("row_id", F.col("id").alias("at_id"), F.col("text_hash").alias("at_hash"), F.col("src").alias("at_src"))
+    taken = m.taken().groupBy("row_id", "epoch").agg(F.collect_list(F.struct("at", "words")).alias("pieces"))
+    named = taken.join(names, "row_id").select("at_id", "at_hash", "at_src", "pieces")
+    order = docs.sparkSession.createDataFrame([(p.source, p.index) for p in m.plans], "of string, src int")
+    # a row travels as one value, so that its columns may have any name and type
+    once = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.col(source).alias("source"),
+                       F.struct("*").alias("row")).dropDuplicates(["id", "hash", "source"])
+    once = once.join(order, F.col("source").eqNullSafe(F.col("of")))
+    fresh = f"pieces_{fresh_key()}"
+    both = once.join(named, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("hash") == F.col("at_hash"))
+                     & (F.col("src") == F.col("at_src"))).select("row.*", F.col("pieces").alias(fresh))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [cut_words(t, [(p["at"], p["words"]) for p in pieces])
-                    for t, pieces in zip(batch.column(text).to_pylist(), batch.column("__pieces").to_pylist(), strict=True)]
-            batch = batch.drop_columns(["__pieces"])
+                    for t, pieces in zip(batch.column(text).to_pylist(), batch.column(fresh).to_pylist(), strict=True)]
+            batch = batch.drop_columns([fresh])
             batch = batch.set_column(batch.schema.get_field_index(text), text, pa.array(made, pa.string()))
             if n_chars in batch.schema.names:
                 lengths = pa.array([len(t) for t in made], batch.schema.field(n_chars).type)

@@ -142,7 +142,8 @@ def _zipped(docs: DataFrame, id_col: str, text: str, carry: list[str]) -> DataFr
 
 
 def _keyed(docs: DataFrame, id_col: str, text: str, carry: list[str]) -> DataFrame:
-    return docs.select(F.xxhash64(id_col, text).alias("rid"), F.struct(id_col, *carry).alias("rest"),
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    return docs.select(F.xxhash64(id_col, text).alias("rid"), F.struct(id_col, *carried).alias("rest"),
                        F.col(text).cast("binary").alias("body"))
 
 
@@ -322,8 +323,8 @@ def _merged(places: list[dict]) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    carry: list[str] | None = None) -> DataFrame:
-    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, with a list of columns to carry along, those and
-    ``kept_text``, the remaining text.
+    """Per row: id, n_bytes, n_removed, n_spans, kept_sha256 and, with a list of columns to carry along, ``carried`` (a
+    struct of those, whatever their names) and ``kept_text``, the remaining text.
 
     In the text, characters of which only some bytes go are dropped whole.
     """

@@ -302,3 +302,42 @@ def test_recall_of_a_production_shard(clusters):
     distance = (x * x).sum(axis=1) - 2 * asked @ x.T
     true = np.argsort(distance, axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found.tolist(), true.tolist())]) >= 0.97
+
+
+# ---------------------------------------------------------------- pipeline: columns of any name and type
+
+def test_stages_take_any_columns(sane, tmp_path):
+    import corpus_pipeline
+    given = sane.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    extra = ("5 as epoch", "6L as n_bytes", "'k' as kept_text", "7 as __row", "map(doc_id, text) as tags", "8 as row", "9 as `key`",
+             "1 as id", "2 as src", "array(1) as pieces", "3 as hash", "4 as carried", "'s' as first", "named_struct('a', 1) as rest")
+    at = given.unionAll(given.limit(5)).selectExpr("*", *extra)
+    columns = at.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(sane, at, "")
+        out.write.parquet(str(tmp_path / name))
+        at = sane.read.parquet(str(tmp_path / name))
+        if name != "pieces":
+            assert at.columns == columns
+            assert at.where("epoch = 5 and n_bytes = 6 and kept_text = 'k' and __row = 7 and size(tags) = 1 and rest.a = 1").count() == at.count() > 20
+
+
+def test_stages_of_an_empty_table(sane):
+    import corpus_pipeline
+    empty = sane.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(sane, empty, "").count() == 0
+
+
+def test_operators_take_clashing_columns(sane):
+    from folioscore.llm import token_files, pieces, toxicity
+    docs = sane.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate([*ODD, *ODD])], DOCS).selectExpr(
+        "*", "1 as id", "2 as body", "3 as label", "4 as n_tokens", "5 as score", "6 as file", "7 as block", "8 as ids", "9 as toxic",
+        "1 as term", "2 as word", "3 as predicted", "4 as offset", "5 as rank", "6 as task", "7 as shard")
+    labels = sane.createDataFrame([(i, 1, i % 2, "x") for i in range(len(ODD))], "doc_id long, quality int, toxic int, text string")
+    ranks = packing.load_ranks(f"{catalog.TOKENIZERS}/byte_bpe_50k.json")
+    assert token_files.count_tokens(docs, ranks, catalog.BYTE_PATTERN).count() == 2 * len(ODD)
+    assert toxicity.score_toxicity(docs, labels).count() == 2 * len(ODD)
+    assert pieces.encode(docs, pieces.load_vocabulary(f"{catalog.TOKENIZERS}/piece_bpe_32k.model")).count() == 2 * len(ODD)
+    assert divergence.audit(docs).count() == 0
+    assert packing.pack(docs, ranks, catalog.BYTE_PATTERN).count() >= 2 * len(ODD)
