@@ -26,6 +26,7 @@ from .common import WORD_PATTERN, bound_batches, fresh_key, mix64
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 8192
+BUNDLES = 1024          # of shards, drawn by the driver; one task each
 
 
 def reshare(sizes: list[int], weights: list[float], share: float, cap: float) -> list[float]:
@@ -105,28 +106,36 @@ def plan_source(source: str | None, index: int, size: int, target: float, block_
     return SourcePlan(source, index, size, target, epochs * blocks + whole, rest)
 
 
-def draw_shards(plans: list[SourcePlan], shard_blocks: int, seed: int) -> Iterator[tuple[int, int, int, int]]:
-    """(shard, source index, first slot, slots): multinomial counts with the slots still owed as weights.
+def draw(owed: np.ndarray, size: int, seed: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, first slots, slots) per source: multinomial counts with the slots still owed as weights.
 
-    A shard holds ``shard_blocks`` slots; a source never gets more than it owes, so all totals are met.
+    A shard holds ``size`` slots; a source never gets more than it owes, so all totals are met.
     """
-    owed = np.array([p.slots + (p.rest > 0) for p in plans], dtype=np.int64)
+    owed = owed.copy()
     given = np.zeros_like(owed)
     shard = 0
-    while owed.sum() > 0:
-        size = int(min(shard_blocks, owed.sum()))
-        rng = np.random.default_rng([seed, shard])
-        got = np.minimum(rng.multinomial(size, owed / owed.sum()), owed)
-        while (short := size - int(got.sum())) > 0:
+    while (left := int(owed.sum())) > 0:
+        now = min(size, left)
+        rng = np.random.default_rng([*seed, shard])
+        got = np.minimum(rng.multinomial(now, owed / left), owed)
+        while (short := now - int(got.sum())) > 0:
             room = owed - got
             got += np.minimum(rng.multinomial(short, room / room.sum()), room)
-        for i in np.flatnonzero(got):
-            yield shard, plans[i].index, int(given[i]), int(got[i])
+        yield shard, given.copy(), got
         given += got
         owed -= got
         shard += 1
 
 
+def draw_bundles(owed: np.ndarray, shard_blocks: int, seed: int, most: int) -> tuple[int, list[tuple[int, list[int], list[int]]]]:
+    """Shards in a bundle, and (bundle, first slots, slots) of at most ``most`` bundles: what the driver draws, whatever the size.
+
+    The shards of a bundle are drawn from its slots where the bundle is worked on.
+    """
+    inside = max(1, -(-int(owed.sum()) // (shard_blocks * most)))
+    return inside, [(i, a.tolist(), n.tolist()) for i, a, n in draw(owed, shard_blocks * inside, [seed])]
+
+
 @dataclass
 class Mixture:
     docs: DataFrame     # row_id, id, size, source_size, target, first_word, src
@@ -184,26 +193,33 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     pieces = pieces.select("row_id", "src", "block", low.alias("low"), high.alias("high"),
                            (F.col("block") * block + low - F.col("first_word")).alias("at"))
 
-    draws = spark.createDataFrame(list(draw_shards(plans, shard_blocks, seed)) or [],
-                                  "shard int, src int, first long, n int")
-    facts = {p.index: (p.size, -(-p.size // block_words), p.slots, p.rest) for p in plans}
+    owed = np.array([p.slots + (p.rest > 0) for p in plans], dtype=np.int64)
+    inside, bundles = draw_bundles(owed, shard_blocks, seed, BUNDLES)
+    facts = [(p.index, p.size, -(-p.size // block_words), p.slots, p.rest) for p in plans]
 
     def slots_of(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                size, blocks, whole, rest = facts[row["src"]]
-                slot = np.arange(row["first"], row["first"] + row["n"], dtype=np.int64)
-                at = permute(slot % blocks, blocks, seed + row["src"])
-                count = np.where(at == blocks - 1, size - (blocks - 1) * block_words, block_words)
-                count = np.where(slot >= whole, np.minimum(count, rest), count)
-                n = len(slot)
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(n, row["shard"], dtype=np.int32)),
-                    "src": pa.array(np.full(n, row["src"], dtype=np.int32)), "slot": pa.array(slot),
-                    "epoch": pa.array((slot // blocks).astype(np.int32)), "block": pa.array(at),
-                    "words": pa.array(count.astype(np.int64))})
-
-    spread = draws.repartition(F.col("shard"), F.col("src"))
+                base = np.array(row["first"], dtype=np.int64)
+                # a bundle of one shard is that shard
+                parts = draw(np.array(row["n"], dtype=np.int64), shard_blocks, [seed, row["bundle"]]) if inside > 1 else [
+                    (0, np.zeros_like(base), np.array(row["n"], dtype=np.int64))]
+                for k, first, counts in parts:
+                    for j in np.flatnonzero(counts):
+                        src, size, blocks, whole, rest = facts[j]
+                        n = int(counts[j])
+                        slot = base[j] + first[j] + np.arange(n, dtype=np.int64)
+                        at = permute(slot % blocks, blocks, seed + src)
+                        count = np.where(at == blocks - 1, size - (blocks - 1) * block_words, block_words)
+                        count = np.where(slot >= whole, np.minimum(count, rest), count)
+                        yield pa.RecordBatch.from_pydict({
+                            "shard": pa.array(np.full(n, row["bundle"] * inside + k, dtype=np.int32)),
+                            "src": pa.array(np.full(n, src, dtype=np.int32)), "slot": pa.array(slot),
+                            "epoch": pa.array((slot // blocks).astype(np.int32)), "block": pa.array(at),
+                            "words": pa.array(count.astype(np.int64))})
+
+    # one task per bundle: a number of partitions that is asked for is not merged
+    spread = spark.createDataFrame(bundles, "bundle int, first array<long>, n array<long>").repartition(max(1, len(bundles)), "bundle")
     slots = spread.mapInArrow(slots_of, "shard int, src int, slot long, epoch int, block long, words long")
     return Mixture(placed, slots, pieces, plans)
 

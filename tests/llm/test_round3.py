@@ -341,3 +341,34 @@ def test_operators_take_clashing_columns(sane):
     assert pieces.encode(docs, pieces.load_vocabulary(f"{catalog.TOKENIZERS}/piece_bpe_32k.model")).count() == 2 * len(ODD)
     assert divergence.audit(docs).count() == 0
     assert packing.pack(docs, ranks, catalog.BYTE_PATTERN).count() >= 2 * len(ODD)
+
+
+def test_shards_drawn_in_bundles_meet_all_totals():
+    from folioscore.llm import mixing
+    owed = np.array([5000, 0, 37, 900], dtype=np.int64)
+    single = list(mixing.draw(owed, 100, [3]))
+    assert (sum(n for _, _, n in single) == owed).all() and all(n.sum() == 100 for _, _, n in single[:-1])
+    inside, bundles = mixing.draw_bundles(owed, 10, 3, 7)
+    assert len(bundles) <= 7 and inside == 85
+    seen = np.zeros_like(owed)
+    for i, first, n in bundles:
+        assert (np.array(first) == seen).all()
+        inner = list(mixing.draw(np.array(n), 10, [3, i]))
+        assert len(inner) <= inside and (sum(c for _, _, c in inner) == np.array(n)).all()
+        seen += n
+    assert (seen == owed).all()
+
+
+def test_mix_in_bundles(sane, monkeypatch):
+    from folioscore.llm import mixing
+    monkeypatch.setattr(mixing, "BUNDLES", 3)
+    rng = random.Random(8)
+    docs = sane.createDataFrame([(i, prose(rng, ["a", "bb", "ccc"], rng.randint(0, 80)), "en", rng.choice("xyz"), 1) for i in range(300)], DOCS)
+    rows = mixing.mixed_sizes(docs, block_words=4, shard_blocks=16).collect()
+    for source in "xyz":
+        mine = [r for r in rows if r["target"] == max(t["target"] for t in rows if t["source_size"] == r["source_size"])]
+        assert all(0 <= r["taken"] <= 2 * r["size"] for r in mine)
+    by_target = collections.defaultdict(int)
+    for r in rows:
+        by_target[r["source_size"], r["target"]] += r["taken"]
+    assert all(abs(taken - target) <= 4 for (_, target), taken in by_target.items())
