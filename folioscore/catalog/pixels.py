@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from folioscore import schema as S
 from folioscore.catalog import query
-from folioscore.functions import count_diff, count_true, eps_ratio, saturate, wrap_add
-from folioscore.operators import bands as bd, depth, pixelstats as ps, stencil as st
-from folioscore.sources.derive import (GRAY_SQL, PAGE_SQL, TEXT_GRAY_SQL, gray_rows, page_rows,
+from folioscore.functions import count_true, eps_ratio, saturate, wrap_add
+from folioscore.operators import bands as bd, depth, packed as pk, pixelstats as ps, stencil as st
+from folioscore.sources.derive import (GRAY_SQL, PAGE_SQL, TEXT_GRAY_SQL, gray_rows, page_bits, page_rows,
                                        text_gray_rows, with_sql)
 
 H = "over (partition by image_id,y order by x"
@@ -292,34 +292,38 @@ FEATURE_OF_A = "round(case when a>=250 then 1.0 else a/250 end,6)"
 
 @query("K3_erosion", depth_sql("v", FEATURE_OF_A + " erosion"))
 def erosion(spark, sf):
-    return depth.erosion_feature(page_rows(spark, sf)).withColumn("erosion", F.round("erosion", 6))
+    return depth.erosion_feature(page_bits(spark, sf), bits=F.col("bits")).withColumn("erosion", F.round("erosion", 6))
 
 
 @query("K4_dilation", depth_sql("255-v", FEATURE_OF_A + " dilation"))
 def dilation(spark, sf):
-    rows = page_rows(spark, sf).withColumn("px", st.invert(F.col("px")))
-    return depth.erosion_feature(rows).select("image_id", F.round("erosion", 6).alias("dilation"))
+    shares = depth.erosion_feature(page_bits(spark, sf), inverse=True, bits=F.col("bits"))
+    return shares.select("image_id", F.round("erosion", 6).alias("dilation"))
 
 
 @query("K4b_erosion_count", depth_sql("v", "case when flat then 0 else a+1 end n"))
 def erosion_count(spark, sf):
-    return depth.erosion_count(page_rows(spark, sf))
+    return depth.erosion_count(page_bits(spark, sf), bits=F.col("bits"))
 
 
-def _changed(df, name):
-    diff = df.select("image_id", count_diff(F.col("px"), F.col("src")).alias("c"),
-                     count_true(F.transform("src", lambda v: v > 0)).alias("ink"))
-    return diff.groupBy("image_id").agg(F.round(eps_ratio(F.sum("c"), F.sum("ink")), 6).alias(name))
+def page_counts(spark, sf):
+    return pk.page_counts(page_bits(spark, sf), bits=F.col("bits"))
+
+
+def _shares(spark, sf, **counts):
+    """Counts as shares of a page's ink."""
+    return page_counts(spark, sf).select("image_id", *[
+        F.round(eps_ratio(F.col(c), F.col("ink")), 6).alias(name) for name, c in counts.items()])
 
 
 @query("K5_closing", page_diff("closing", "c2", sql_n("p0", "c1", "max", 1, 3), sql_n("c1", "c2", "min", 1, 3)))
 def closing(spark, sf):
-    return _changed(st.closed(page_rows(spark, sf)), "closing")
+    return _shares(spark, sf, closing="closing")
 
 
 @query("K6_opening", page_diff("opening", "o2", sql_n("p0", "o1", "min", 1, 3), sql_n("o1", "o2", "max", 1, 3)))
 def opening(spark, sf):
-    return _changed(st.opened(page_rows(spark, sf)), "opening")
+    return _shares(spark, sf, opening="opening")
 
 
 @query("K6b_opening_2x2_twice", with_sql(GRAY_SQL, source0("gray"), sql_n("p0", "o1", "min", 2, 2),
@@ -347,25 +351,15 @@ _HITS = ", ".join(f"round(count(*) filter ((v>{t})<>(v0>0))/(count(*) filter (v0
                   for i, t in enumerate(S.GAUSS_THRESHOLDS, 1))
 
 
-def _blurred(spark, sf):
-    return bd.core_rows(st.smooth3(bd.banded(page_rows(spark, sf).withColumn("src", F.col("px")), 1),
-                                   st.BLUR_WEIGHTS))
-
-
 @query("K7_gaussian_thresholds", with_sql(PAGE_SQL, source0("page"), BLUR)
        + f"select image_id, {_HITS} from blur group by image_id")
 def gaussian(spark, sf):
-    def wrong_side(t: int):
-        return count_true(F.zip_with("px", "src", lambda b, v: (b > t) != (v > 0)))
-    hits = {f"gaussian_{i}": wrong_side(t) for i, t in enumerate(S.GAUSS_THRESHOLDS, 1)}
-    ink = count_true(F.transform("src", lambda v: v > 0))
-    return _blurred(spark, sf).select("image_id", ink.alias("ink"), *[c.alias(n) for n, c in hits.items()]).groupBy(
-        "image_id").agg(*[F.round(eps_ratio(F.sum(n), F.sum("ink")), 6).alias(n) for n in hits])
+    return _shares(spark, sf, **{f"gaussian_{i}": f"gaussian_{i}" for i in range(1, len(S.GAUSS_THRESHOLDS) + 1)})
 
 
 @query("K8_gaussian_difference", page_diff("gaussian", "blur", BLUR))
 def gaussian_plain(spark, sf):
-    return _changed(_blurred(spark, sf), "gaussian")
+    return _shares(spark, sf, gaussian="blurred")
 
 
 _MEDIANS = (sql_box("p0", "m3", 1), sql_box("p0", "m5", 2))
@@ -376,18 +370,14 @@ _MEDIANS = (sql_box("p0", "m3", 1), sql_box("p0", "m5", 2))
  (select image_id, round(count(*) filter (v<>v0)/(count(*) filter (v0>0)+0.001),6) median_2 from m5 group by 1)
  using (image_id)""")
 def median(spark, sf):
-    c = st.page_counts(page_rows(spark, sf))
-    return c.select("image_id", *[F.round(eps_ratio(F.col(m), F.col("ink")), 6).alias(m)
-                                  for m in ("median_1", "median_2")])
+    return _shares(spark, sf, median_1="median_1", median_2="median_2")
 
 
 @query("K9b_median_loss", with_sql(PAGE_SQL, source0("page"), _MEDIANS[0]) + """select image_id,
  round(1-count(*) filter (v>0)/nullif(count(*) filter (v0>0),0),6) median_loss from m3 group by image_id""")
 def median_loss(spark, sf):
-    df = bd.core_rows(st.median3(bd.banded(page_rows(spark, sf).withColumn("src", F.col("px")), 1)))
-    ink = {c: count_true(F.transform(c, lambda v: v > 0)) for c in ("px", "src")}
-    return df.select("image_id", *[v.alias(c) for c, v in ink.items()]).groupBy("image_id").agg(
-        F.round(1 - F.try_divide(F.sum("px"), F.sum("src")), 6).alias("median_loss"))
+    return page_counts(spark, sf).select(
+        "image_id", F.round(1 - F.try_divide("median_ink", "ink"), 6).alias("median_loss"))
 
 
 @query("K10_gray_median", with_sql(GRAY_SQL, source0("gray"), sql_median3("p0", "m")) + PIX + "m")
@@ -431,9 +421,7 @@ _GRADS = """round(count(*) filter (gx=255)/(ink+0.001),6) gradients_1,
 @query("K14_gradients", with_sql(PAGE_SQL, sql_sobel("page")) + f"""select image_id, {_GRADS} from grad
  join (select image_id, count(*) filter (v>0) ink from page group by 1) using (image_id) group by image_id, ink""")
 def gradients(spark, sf):
-    c = st.page_counts(page_rows(spark, sf))
-    return c.select("image_id", *[F.round(eps_ratio(F.col(f"gradients_{i}"), F.col("ink")), 6).alias(f"gradients_{i}")
-                                  for i in (1, 2, 3)])
+    return _shares(spark, sf, **{f"gradients_{i}": f"gradients_{i}" for i in (1, 2, 3)})
 
 
 @query("K14b_gradients_plain", with_sql(PAGE_SQL, sql_sobel("page")) + """select image_id,
@@ -442,13 +430,11 @@ def gradients(spark, sf):
  from grad join (select image_id, count(*) filter (v>0) ink from page group by 1) using (image_id)
  group by image_id, ink""")
 def gradients_plain(spark, sf):
-    g = st.sobel(page_rows(spark, sf))
-    both = F.zip_with("gx", "gy", wrap_add)
-    hits = {"fx": F.transform("gx", lambda v: v == 255), "fy": F.transform("gy", lambda v: v == 255),
-            "fxy1": F.transform(both, lambda v: v == 255), "fxy2": F.transform(both, lambda v: v == 510)}
-    ink = count_true(F.transform("px", lambda v: v > 0)).alias("ink")
-    return g.select("image_id", ink, *[count_true(c).alias(n) for n, c in hits.items()]).groupBy("image_id").agg(
-        *[F.round(F.try_divide(F.sum(n), F.sum("ink")), 6).alias(n) for n in hits])
+    # gradients are 0 or 255: a wrapped sum is 255 where one of them is, and never 510
+    hits = {"fx": "gradients_1", "fy": "gradients_2", "fxy1": "gradients_3"}
+    return page_counts(spark, sf).select("image_id", *[
+        F.round(F.try_divide(n, "ink"), 6).alias(name) for name, n in hits.items()],
+        F.round(F.try_divide(F.lit(0), "ink"), 6).alias("fxy2"))
 
 
 def _sobel_out(spark, sf, size):
@@ -492,5 +478,5 @@ def pixel_functions(spark, sf):
  join (select image_id, {_GRADS} from grad join (select image_id, count(*) filter (v>0) ink from page group by 1)
    using (image_id) group by image_id, ink) using (image_id)""")
 def page_bundle(spark, sf):
-    f = st.page_features(st.page_counts(page_rows(spark, sf)))
+    f = pk.page_features(page_counts(spark, sf))
     return f.select("image_id", *[F.round(c, 6).alias(c) for c in f.columns if c != "image_id"])

@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore import schema as S
-from folioscore.functions import (count_diff, count_true, eps_ratio, fold_lines, padded, pairs_of, row_max, row_min,
-                                  saturate, shift_clamp, shift_reflect, taps_reflect)
+from folioscore.functions import (fold_lines, padded, pairs_of, row_max, row_min, saturate, shift_clamp, shift_reflect,
+                                  taps_reflect)
 from folioscore.operators.bands import (banded, core_rows, replicate_down, replicate_up,
                                         with_neighbours)
 
@@ -214,76 +214,3 @@ def sobel(rows: DataFrame, size: int = 3) -> DataFrame:
         "gx": F.transform(_horizontal(F.col("sv"), diff), saturate),
         "gy": F.transform(_horizontal(F.col("dv"), smooth), saturate)})
     return core_rows(_drop_neighbours(df, r, r).drop("sv", "dv"))
-
-
-# ------------------------------------------------------------------ binary page features
-
-def page_counts(rows: DataFrame) -> DataFrame:
-    """All radius-2 counts of binary pages in one pass: one exchange, one window, one aggregate.
-
-    Per page: pixels, ink, and the pixels changed by closing, opening, the thresholded and the
-    plain Gaussian, both medians, and the gradient hits.
-    """
-    df = banded(rows, 2).withColumns({"lo": row_min(F.col("px")), "hi": row_max(F.col("px"))})
-    for col, prefix in (("px", ""), ("lo", "l"), ("hi", "h")):
-        df = with_neighbours(df, col, 2, 2, prefix)
-    px, u1, d1 = (F.col(c) for c in ("px", "u1", "d1"))
-
-    # first half of opening / closing for the rows above (u), at (m) and below (d) the scanline;
-    # its horizontal part (lo, hi) is taken once per scanline, before the neighbours are fetched
-    def vertical(op, mid: str, prefix: str, out: str) -> dict[str, Column]:
-        c, a1, a2, b1, b2 = (F.col(n) for n in (mid, f"{prefix}u1", f"{prefix}u2", f"{prefix}d1", f"{prefix}d2"))
-        return {f"{out}u": fold_lines(op, c, a1, F.coalesce(a2, a1)), f"{out}d": fold_lines(op, c, b1, F.coalesce(b2, b1)),
-                f"{out}m": fold_lines(op, c, F.coalesce(a1, c), F.coalesce(b1, c))}
-    up, down = _mirror("u1", "d1"), _mirror("d1", "u1")
-
-    def add(*lines: Column) -> Column:
-        return fold_lines(lambda a, b: a + b, *lines)
-    sum3 = add(px, replicate_up("px", 1), replicate_down("px", 1))
-    df = df.withColumns(
-        vertical(F.least, "lo", "l", "e") | vertical(F.greatest, "hi", "h", "g")
-        | {"sum3": sum3, "sum5": add(sum3, replicate_up("px", 2), replicate_down("px", 2)),
-           "sv": add(px, px, up, down), "dv": fold_lines(lambda d, u: d - u, down, up),
-           "bv": _weighted(BLUR_WEIGHTS, px, [(up, down)])})
-    df = core_rows(df)
-    df = df.withColumns({"blur": F.transform(taps_reflect(F.col("bv"), *BLUR_WEIGHTS),
-                                               lambda a: F.floor(a + 0.5).cast("int")),
-                           "gx": F.transform(_horizontal(F.col("sv"), SOBEL[3][1]), lambda a: a != 0),
-                           "gy": F.transform(_horizontal(F.col("dv"), SOBEL[3][0]), lambda a: a != 0)})
-    df = df.withColumns({
-        "ov": fold_lines(F.greatest, F.col("em"), F.coalesce("eu", "em"), F.coalesce("ed", "em")),
-        "cv": fold_lines(F.least, F.col("gm"), F.coalesce("gu", "gm"), F.coalesce("gd", "gm"))})
-    df = df.withColumns({"op": row_max(F.col("ov")), "cl": row_min(F.col("cv"))})
-
-    df = df.withColumns({"pad3": padded(F.col("sum3"), 1), "pad5": padded(F.col("sum5"), 2)})
-
-    def majority(v: Column, pad: Column, r: int) -> Column:
-        box = add(v, *[side for pair in pairs_of(v, pad, r) for side in pair])
-        need = ((2 * r + 1) ** 2 + 1) // 2 * 255
-        return count_true(F.zip_with(box, "px", lambda b, p: (b >= need) != (p > 0)))
-
-    def above_threshold(t: int) -> Column:
-        return count_true(F.zip_with("blur", "px", lambda b, v: (b > t) != (v > 0)))
-    per_row = {
-        "pixels": F.size("px").cast("long"), "ink": count_true(F.transform("px", lambda v: v > 0)),
-        "closing": count_diff(px, F.col("cl")), "opening": count_diff(px, F.col("op")),
-        "blurred": count_diff(px, F.col("blur")),
-        **{f"gaussian_{i}": above_threshold(t) for i, t in enumerate(S.GAUSS_THRESHOLDS, 1)},
-        "median_1": majority(F.col("sum3"), F.col("pad3"), 1), "median_2": majority(F.col("sum5"), F.col("pad5"), 2),
-        "gradients_1": count_true(F.col("gx")), "gradients_2": count_true(F.col("gy")),
-        "gradients_3": count_diff(F.col("gx"), F.col("gy")),
-    }
-    return df.select("image_id", *[c.alias(n) for n, c in per_row.items()]).groupBy("image_id").agg(
-        *[F.sum(n).alias(n) for n in per_row])
-
-
-def page_features(counts: DataFrame) -> DataFrame:
-    """Morphology, noise and spatial feature columns from the counts of ``page_counts``."""
-    ink = F.col("ink")
-    named = {"morph_closing": "closing", "morph_opening": "opening"}
-    named |= {f"noise_gaussian_{i}": f"gaussian_{i}" for i in range(1, 5)}
-    named |= {f"noise_median_{i}": f"median_{i}" for i in (1, 2)}
-    named |= {f"spatial_gradients_{i}": f"gradients_{i}" for i in (1, 2, 3)}
-    return counts.select(
-        "image_id", *[eps_ratio(F.col(c), ink).alias(n) for n, c in named.items()],
-        (ink / F.col("pixels")).alias("spatial_foreground_percent"))

@@ -62,6 +62,12 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_rows(spark, sf_dir).select("image_id", "y", px.alias("px"))
 
 
+def page_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same scanlines as text of 0 and 1."""
+    ink = F.regexp_replace("line", r"[^ \t\n\r]", "1")
+    return text_rows(spark, sf_dir).select("image_id", "y", F.regexp_replace(ink, r"[ \t\n\r]", "0").alias("bits"))
+
+
 def text_gray_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gray scanlines of the same layout: blanks are paper (230), characters darker by code."""
     px = F.transform(F.split("line", ""), lambda c: F.when(

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioscore.operators import bands as bd, components as cc, depth, pixelstats as ps, shapes as sh, stencil as st
+from folioscore.operators import bands as bd, components as cc, depth, packed as pk, pixelstats as ps, shapes as sh, stencil as st
 
 RNG = np.random.default_rng(7)
 
@@ -86,10 +86,71 @@ def test_erosion_equals_loop(page):
 def test_erosion_count_is_uncapped(page):
     tall = np.full((30, 3), 255)
     tall[0, 0] = 0
-    got = depth.erosion_count(page(tall.tolist(), RING), limit=4)
+    got = depth.erosion_count(page(tall.tolist(), RING))
     assert {r["image_id"]: r["n"] for r in got.collect()} == {0: 29, 1: 1}
 
 
+def test_distances_across_bands(page, monkeypatch):
+    monkeypatch.setattr(depth, "BAND_ROWS", 5)
+    grids = []
+    for h, w, holes in ((43, 30, 1), (64, 3, 2), (17, 50, 3), (5, 5, 0), (6, 1, 1), (90, 60, 4)):
+        grid = np.full((h, w), 255)
+        for _ in range(holes):
+            grid[RNG.integers(0, h), RNG.integers(0, w)] = 0
+        grids.append(grid)
+    want = {}
+    for i, g in enumerate(grids):
+        hole = np.argwhere(g == 0)
+        y, x = np.indices(g.shape)
+        far = [np.maximum(abs(y - a), abs(x - b)) for a, b in hole]
+        want[i] = int(np.min(far, axis=0).max()) if far else 0
+    rows = page(*[g.tolist() for g in grids])
+    assert {r["image_id"]: r["n"] for r in depth.erosion_count(rows).collect()} == want
+    flipped = page(*[(255 - g).tolist() for g in grids])
+    got = {r["image_id"]: r["depth"] for r in depth.erosion_depth(flipped, None, inverse=True).collect()}
+    assert {i: d for i, d in got.items() if i != 3} == {i: d for i, d in want.items() if i != 3}
+
+
+def brute_counts(g):
+    """The counts of one page, pixel by pixel."""
+    g = np.array(g) > 0
+    h, w = g.shape
+
+    def near(a, dy, dx, rule):
+        def at(i, n, d):
+            j = i + d
+            if rule == "edge":
+                return min(max(j, 0), n - 1)
+            return j if 0 <= j < n else i - d if 0 <= i - d < n else i
+        return np.array([[a[at(y, h, dy), at(x, w, dx)] for x in range(w)] for y in range(h)])
+
+    def square(a, fn):
+        return np.array([[fn(a[max(y - 1, 0):y + 2, max(x - 1, 0):x + 2]) for x in range(w)] for y in range(h)])
+
+    def taps(a, vertical, horizontal, rule="mirror"):
+        r = len(vertical) // 2
+        t = sum(k * near(a, d, 0, rule) for d, k in zip(range(-r, r + 1), vertical))
+        return sum(k * near(t, 0, d, rule) for d, k in zip(range(-r, r + 1), horizontal))
+    c, s = st.BLUR_WEIGHTS
+    blur = np.floor(taps(g * 255.0, (s, c, s), (s, c, s)) + 0.5)
+    medians = [taps(g * 1, *[[1] * (2 * r + 1)] * 2, "edge") > ((2 * r + 1) ** 2) // 2 for r in (1, 2)]
+    gx, gy = taps(g * 1, (1, 2, 1), (-1, 0, 1)) != 0, taps(g * 1, (-1, 0, 1), (1, 2, 1)) != 0
+    out = {"pixels": g.size, "ink": g.sum(), "closing": (square(square(g, np.max), np.min) != g).sum(),
+           "opening": (square(square(g, np.min), np.max) != g).sum(), "blurred": (blur != g * 255).sum(),
+           "median_1": (medians[0] != g).sum(), "median_2": (medians[1] != g).sum(), "median_ink": medians[0].sum(),
+           "gradients_1": gx.sum(), "gradients_2": gy.sum(), "gradients_3": (gx != gy).sum()}
+    return {k: int(v) for k, v in (out | {f"gaussian_{i}": ((blur > t) != g).sum() for i, t in enumerate((120, 150, 180, 190), 1)}).items()}
+
+
+def test_packed_counts_equal_brute_force(page):
+    shapes = [(1, 1), (5, 1), (1, 9), (2, 2), (3, 59), (4, 60), (4, 61), (5, 62), (3, 63), (6, 64), (6, 65), (5, 120), (4, 121), (7, 185), (270, 4)]
+    grids = [(RNG.random(s) < d).astype(int) * 255 for s, d in zip(shapes, [0.2, 0.5, 0.8] * 5)]
+    grids += [np.zeros((4, 70), dtype=int), np.full((4, 70), 255)]
+    got = {r["image_id"]: r.asDict() for r in pk.page_counts(page(*[g.tolist() for g in grids])).collect()}
+    for i, g in enumerate(grids):
+        assert {k: v for k, v in got[i].items() if k != "image_id"} == brute_counts(g), shapes[i:i + 1]
+
+
 def test_bands_do_not_change_stencils(page):
     gray = RNG.integers(0, 256, (23, 9)).tolist()
     rows = page(gray)
@@ -131,7 +192,7 @@ def test_vertical_runs_across_bands(page, band):
 
 
 def test_blank_page_features_are_zero(page):
-    counts = st.page_features(st.page_counts(page([[0] * 5] * 4))).first()
+    counts = pk.page_features(pk.page_counts(page([[0] * 5] * 4))).first()
     assert all(v == 0 for k, v in counts.asDict().items() if k != "image_id")
 
 
