@@ -382,7 +382,7 @@ def median_loss(spark, sf):
 
 @query("K10_gray_median", with_sql(GRAY_SQL, source0("gray"), sql_median3("p0", "m")) + PIX + "m")
 def gray_median(spark, sf):
-    return pixel_out(bd.core_rows(st.median3(bd.banded(gray_rows(spark, sf), 1))))
+    return pixel_out(st.per_band(gray_rows(spark, sf), 1, st.median3))
 
 
 ADAPTIVE = (sql_median3("p0", "med"), sql_adaptive("med", "bin", True))

@@ -47,15 +47,6 @@ def with_neighbours(df: DataFrame, col: str, up: int, down: int, prefix: str = "
     return df.withColumns(cols)
 
 
-def replicate_up(col: str, k: int, prefix: str = "") -> Column:
-    """Row ``y-k`` with the first row repeated above the page."""
-    return F.coalesce(*[F.col(f"{prefix}u{j}") for j in range(k, 0, -1)], F.col(col))
-
-
-def replicate_down(col: str, k: int, prefix: str = "") -> Column:
-    return F.coalesce(*[F.col(f"{prefix}d{j}") for j in range(k, 0, -1)], F.col(col))
-
-
 def pixels(rows: DataFrame, col: str = "px", name: str = "v") -> DataFrame:
     """One row per pixel."""
     return rows.select("image_id", "y", F.posexplode(col).alias("x", name))

@@ -1,22 +1,23 @@
-"""Fixed-radius pixel operators as scanline expressions over banded pages.
+"""Fixed-radius pixel operators over banded pages.
 
-Each step takes a banded relation and replaces the scanline column ``px``; chains share the
-partitioning and sort of ``bands.banded``. Borders: morphology ignores outside pixels, smoothing
+Morphology and gradients are scanline expressions: each step takes a banded relation and replaces the scanline column
+``px``; chains share the partitioning and sort of ``bands.banded``. Filters over gray values work on a band as one array. Borders: morphology ignores outside pixels, smoothing
 and gradients mirror (edge pixel not repeated), median and adaptive threshold repeat the edge.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore import schema as S
-from folioscore.functions import (fold_lines, padded, pairs_of, row_max, row_min, saturate, shift_clamp, shift_reflect,
-                                  taps_reflect)
-from folioscore.operators.bands import (banded, core_rows, replicate_down, replicate_up,
-                                        with_neighbours)
+from folioscore.functions import fold_lines, row_max, row_min, saturate, shift_reflect
+from folioscore.operators.bands import banded, core_rows, with_neighbours
 
 
 def gaussian_weights(size: int, sigma: float) -> list[float]:
@@ -77,73 +78,87 @@ def closed(rows: DataFrame, n: int = 1, size: int = 3) -> DataFrame:
 
 # ------------------------------------------------------------------ smoothing, thresholds
 
-def _mirror(near: str, far: str) -> Column:
-    return F.coalesce(F.col(near), F.col(far), F.col("px"))
-
-
-def _weighted(weights: list[float], centre: Column, pairs: list[tuple[Column, Column]]) -> Column:
-    """Symmetric weighted sum of a scanline and the pairs of scanlines around it."""
-    out = F.transform(centre, lambda a: a * F.lit(weights[0]))
-    for w, (u, d) in zip(weights[1:], pairs):
-        out = fold_lines(lambda acc, t: acc + t * F.lit(w), out, fold_lines(lambda a, b: a + b, u, d))
-    return out
-
+def per_band(rows: DataFrame, radius: int, fn: Callable[[np.ndarray], np.ndarray], keep: str | None = None) -> DataFrame:
+    """Replace ``px`` by ``fn`` of the gray values of a band (lines by columns); ``keep`` names a column for the old ones.
 
-def smooth3(df: DataFrame, weights: list[float]) -> DataFrame:
+    A band comes with ``radius`` lines more on each side where the page has them, so the array's own edge is the
+    page's edge, and what ``fn`` makes of the extra lines is dropped.
+    """
+    names = rows.columns
+
+    def run(band: pa.Table) -> pa.Table:
+        band = band.sort_by("y")
+        core = band["core"].combine_chunks()
+        lines = band["px"].combine_chunks()
+        flat = lines.flatten().to_numpy(zero_copy_only=False)
+        width = len(flat) // band.num_rows
+        made = fn(flat.reshape(band.num_rows, width)) if width else flat.reshape(band.num_rows, 0)
+        made = made[core.to_numpy(zero_copy_only=False)].astype(np.int32)
+        band = band.filter(core).select(names)
+        starts = pa.array(np.arange(len(made) + 1, dtype=np.int32) * width)
+        values = pa.ListArray.from_arrays(starts, pa.array(made.ravel()))
+        if keep:
+            band = band.append_column(keep, band["px"])
+        return band.set_column(band.schema.get_field_index("px"), "px", values)
+
+    fields = rows.schema.simpleString()[len("struct<"):-1]
+    schema = fields + (f",{keep}:{rows.schema['px'].dataType.simpleString()}" if keep else "")
+    return banded(rows, radius).groupBy("image_id", "band").applyInArrow(run, schema)
+
+
+def _shifted(a: np.ndarray, k: int, axis: int, mode: str) -> tuple[np.ndarray, np.ndarray]:
+    """The array moved ``k`` places both ways, borders filled by ``edge`` (repeated) or ``reflect`` (mirrored)."""
+    n = a.shape[axis]
+    if mode == "reflect" and n == 1:
+        return a, a
+    at = np.arange(n)
+    back, on = at - k, at + k
+    if mode == "edge":
+        back, on = np.maximum(back, 0), np.minimum(on, n - 1)
+    else:
+        back, on = np.abs(back), np.where(on > n - 1, 2 * (n - 1) - on, on)
+    return np.take(a, back, axis=axis), np.take(a, on, axis=axis)
+
+
+def weighted(a: np.ndarray, weights: list[float], mode: str) -> np.ndarray:
+    """Symmetric separable filter, vertical first."""
+    for axis in (0, 1):
+        out = a * weights[0]
+        for k, w in enumerate(weights[1:], 1):
+            before, after = _shifted(a, k, axis, mode)
+            out = out + (before + after) * w
+        a = out
+    return a
+
+
+def smooth3(gray: np.ndarray, weights: list[float]) -> np.ndarray:
     """Three-tap Gaussian in both directions, mirrored borders, rounded half up."""
-    c, s = weights
-    df = with_neighbours(df, "px", 1, 1)
-    vertical = _weighted(weights, F.col("px"), [(_mirror("u1", "d1"), _mirror("d1", "u1"))])
-    blur = F.transform(taps_reflect(F.col("t"), c, s), lambda a: F.floor(a + 0.5).cast("int"))
-    return _drop_neighbours(df.withColumn("t", vertical).withColumn("px", blur), 1, 1)
+    return np.floor(weighted(gray.astype(np.float64), weights, "reflect") + 0.5).astype(np.int32)
 
 
-def median3(df: DataFrame) -> DataFrame:
+def median3(gray: np.ndarray) -> np.ndarray:
     """Median of the 3 x 3 neighbourhood, edges repeated.
 
     Columns of three are sorted first; the median of nine is then the median of (largest
     minimum, median of medians, smallest maximum) over three columns.
     """
-    df = with_neighbours(df, "px", 1, 1)
-    lines = (F.col("px"), replicate_up("px", 1), replicate_down("px", 1))
-    rank = {"lo": F.least, "hi": F.greatest}
-    df = df.withColumns({n: fold_lines(f, *lines) for n, f in rank.items()}
-                        | {"t": fold_lines(lambda a, b: a + b, *lines)})
-    df = df.withColumn("me", fold_lines(lambda a, b: a - b, F.col("t"), F.col("lo"), F.col("hi")))
-
-    def at(a: Column, i: Column) -> Column:
-        def around(name: str) -> list[Column]:
-            v = F.col(name)
-            return [shift_clamp(v, i, -1), F.get(v, i), shift_clamp(v, i, 1)]
-        return _median_of_3(F.greatest(*around("lo")), _median_of_3(*around("me")),
-                            F.least(*around("hi")))
-    df = df.withColumn("px", F.transform(F.col("px"), at))
-    return _drop_neighbours(df, 1, 1).drop("lo", "hi", "me")
-
+    def sorted3(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        return np.minimum(low, c), np.maximum(low, np.minimum(high, c)), np.maximum(high, c)
+    up, down = _shifted(gray, 1, 0, "edge")
+    low, middle, high = sorted3(up, gray, down)
+    sides = [(*_shifted(a, 1, 1, "edge"), a) for a in (low, middle, high)]
+    most, among, least = sorted3(*sides[0])[2], sorted3(*sides[1])[1], sorted3(*sides[2])[0]
+    return sorted3(most, among, least)[1]
 
-def _median_of_3(a: Column, b: Column, c: Column) -> Column:
-    return F.greatest(F.least(a, b), F.least(F.greatest(a, b), c))
 
+def adaptive_threshold(gray: np.ndarray, inverse: bool) -> np.ndarray:
+    """255 where a pixel is at least C darker than its surroundings (inverse), or the opposite.
 
-def local_mean(df: DataFrame, weights: list[float], out: str) -> DataFrame:
-    """Weighted mean of the square block, edges repeated, rounded half up."""
-    r = len(weights) - 1
-    df = with_neighbours(df, "px", r, r)
-
-    pairs = [(replicate_up("px", k), replicate_down("px", k)) for k in range(1, r + 1)]
-    df = df.withColumn("t", _weighted(weights, F.col("px"), pairs))
-    df = df.withColumn("pad", padded(F.col("t"), r))
-    total = _weighted(weights, F.col("t"), pairs_of(F.col("t"), F.col("pad"), r))
-    mean = F.transform(total, lambda a: F.floor(a + 0.5).cast("int"))
-    return _drop_neighbours(df.withColumn(out, mean), r, r).drop("pad")
-
-
-def adaptive_threshold(df: DataFrame, inverse: bool) -> DataFrame:
-    """255 where a pixel is at least C darker than its surroundings (inverse), or the opposite."""
-    on, off = (255, 0) if inverse else (0, 255)
-    df = local_mean(df, ADAPTIVE_WEIGHTS, "mean")
-    px = F.zip_with("px", "mean", lambda v, g: F.when(v <= g - S.ADAPTIVE_C, F.lit(on)).otherwise(F.lit(off)))
-    return df.withColumn("px", px).drop("mean")
+    The surroundings are the weighted mean of the square block, edges repeated, rounded half up.
+    """
+    mean = np.floor(weighted(gray.astype(np.float64), ADAPTIVE_WEIGHTS, "edge") + 0.5)
+    return np.where((gray <= mean - S.ADAPTIVE_C) == inverse, 255, 0)
 
 
 def binarize(rows: DataFrame) -> DataFrame:
@@ -151,14 +166,12 @@ def binarize(rows: DataFrame) -> DataFrame:
 
     The gray scanline stays as ``gray``, so no later pixel join is needed.
     """
-    df = banded(rows.withColumn("gray", F.col("px")), 1 + S.ADAPTIVE_BLOCK // 2)
-    return core_rows(adaptive_threshold(median3(df), inverse=True))
+    return per_band(rows, 1 + S.ADAPTIVE_BLOCK // 2, lambda g: adaptive_threshold(median3(g), inverse=True), keep="gray")
 
 
 def page_mask(rows: DataFrame) -> DataFrame:
     """Gray scanlines to paper masks: Gaussian 3 x 3, then adaptive threshold."""
-    df = banded(rows, 1 + S.ADAPTIVE_BLOCK // 2)
-    return core_rows(adaptive_threshold(smooth3(df, [0.5, 0.25]), inverse=False))
+    return per_band(rows, 1 + S.ADAPTIVE_BLOCK // 2, lambda g: adaptive_threshold(smooth3(g, [0.5, 0.25]), inverse=False))
 
 
 def invert(v: Column) -> Column:
@@ -167,6 +180,10 @@ def invert(v: Column) -> Column:
 
 # ------------------------------------------------------------------ gradients
 
+def _mirror(near: str, far: str) -> Column:
+    return F.coalesce(F.col(near), F.col(far), F.col("px"))
+
+
 SOBEL = {3: ((1, 2, 1), (-1, 0, 1)), 5: ((1, 4, 6, 4, 1), (-1, -2, 0, 2, 1))}
 
 
