@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore import schema as S
-from folioscore.operators.prefix import running, value_ranks
+from folioscore.operators.prefix import join_same, running, value_ranks
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
@@ -61,10 +61,10 @@ def value_distribution(trials: DataFrame) -> DataFrame:
 
 
 def trial_ranks(trials: DataFrame) -> DataFrame:
-    """Rank of each trial by value (ties share the lowest rank)."""
+    """Rank of each trial by value (ties share the lowest rank, trials without a value come last)."""
     ranks = value_ranks(trials, ["study"], "value").select(
         "study", "value", (F.col("upto") - F.col("n") + 1).alias("rank"))
-    return trials.join(ranks, ["study", "value"])
+    return join_same(trials, ranks, ["study", "value"])
 
 
 def parameter_slices(trials: DataFrame, params: list[str]) -> DataFrame:

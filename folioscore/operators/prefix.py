@@ -6,6 +6,8 @@ forward over the (few) blocks, and a window inside (keys, block) does the rest.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
@@ -33,24 +35,36 @@ def block_bounds(df: DataFrame, order: str, blocks: int | None = None) -> list:
 
 def with_block(df: DataFrame, order: str, bounds: list) -> DataFrame:
     if not is_number(df, order):
-        above = [F.when(F.col(order) >= F.lit(b), 1).otherwise(0) for b in bounds]
+        above = [F.when(F.col(order).isNull() | (F.col(order) >= F.lit(b)), 1).otherwise(0) for b in bounds]
         return df.withColumn("block", sum(above, F.lit(0)).cast("double"))
     splits = [-float("inf"), *bounds, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="__order", outputCol="block", handleInvalid="keep")
-    return cut.transform(df.withColumn("__order", F.col(order).cast("double"))).drop("__order")
+    cut = cut.transform(df.withColumn("__order", F.col(order).cast("double"))).drop("__order")
+    return cut.withColumn("block", F.coalesce("block", F.lit(float(len(splits)))))
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which NULL is a value like any other; the keys stand once."""
+    named = {k: f"__same_{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(named)
+    same = [left[k].eqNullSafe(right[n]) for k, n in named.items()]
+    return left.join(right, reduce(lambda a, b: a & b, same)).drop(*named.values())
 
 
 def running(df: DataFrame, keys: list[str], order: str, value: str, fn: str, out: str,
             bounds: list[float] | None = None) -> DataFrame:
-    """Inclusive running ``fn`` ("sum", "min" or "max") of ``value`` by ``order`` within ``keys``."""
+    """Inclusive running ``fn`` ("sum", "min" or "max") of ``value`` by ``order`` within ``keys``.
+
+    A NULL key is a key of its own; rows without an order come last.
+    """
     agg = {"sum": F.sum, "min": F.min, "max": F.max}[fn]
     df = with_block(df, order, bounds if bounds is not None else block_bounds(df, order))
-    ahead = Window.partitionBy(*keys, "block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys, "block").orderBy(F.col(order).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = df.groupBy(*keys, "block").agg(agg(value).alias("t")).select(
         *keys, "block", agg("t").over(earlier).alias("carried"))
     inside = agg(value).over(ahead)
-    joined = df.join(carried, [*keys, "block"]).withColumn("inside", inside)
+    joined = join_same(df, carried, [*keys, "block"]).withColumn("inside", inside)
     if fn == "sum":
         total = F.col("inside") + F.coalesce(F.col("carried"), F.lit(0))
     else:
@@ -67,7 +81,7 @@ def value_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     ranked = running(counts, keys, value, "n", "sum", "upto")
     if not keys:
         return ranked.withColumn("total", F.lit(counts.agg(F.sum("n")).first()[0]))
-    return ranked.join(counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
+    return join_same(ranked, counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
 
 
 def positions(df: DataFrame, order: str) -> DataFrame:

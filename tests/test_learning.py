@@ -108,3 +108,16 @@ def test_importance_finds_the_strong_column(data):
         return sum((cols[c] * float(b) for c, b in zip(COLS, beta[1:])), F.lit(float(beta[0])))
     got = {r["idx"]: r["importance"] for r in md.permutation_importance(data, COLS, "y", "id", score, 2).collect()}
     assert max(got, key=got.get) == 1 and got[2] < got[1]
+
+
+def test_null_keys_and_values_keep_their_rows(spark):
+    from folioscore.operators import ledger as lg
+    rows = [(s, t, v) for s in ("a", None) for t, v in ((1, 3.0), (2, None), (3, 1.0), (4, 3.0), (5, None))]
+    trials = spark.createDataFrame(rows, "study string, trial long, value double")
+    best = {(r["study"], r["trial"]): r["best"] for r in lg.optimisation_history(trials).collect()}
+    ranks = {(r["study"], r["trial"]): r["rank"] for r in lg.trial_ranks(trials).collect()}
+    for s in ("a", None):
+        assert [best[s, t] for t in range(1, 6)] == [3.0, 3.0, 1.0, 1.0, 1.0]
+        assert [ranks[s, t] for t in range(1, 6)] == [2, 4, 1, 2, 4]
+    edf = {(r["study"], r["value"]): r["edf"] for r in lg.value_distribution(trials).collect()}
+    assert edf["a", 1.0] == 0.2 and edf[None, 3.0] == 0.6 and edf[None, None] == 1.0
