@@ -1,18 +1,20 @@
-"""Language-model scores by Katz backoff.
+"""Language-model scores by Katz backoff, of any order (ORDER words a gram).
 
-Bigram and unigram counts over all training tokens are discounted by Good-Turing estimates (counts up to K; larger
+Counts of all grams of training tokens are discounted by Good-Turing estimates, one set per order (counts up to K; larger
 counts r keep r - RESERVE, so every context has mass to back off with). A word not seen after its context gets the
-context's backoff weight times its unigram probability; weights are exact: what the seen words leave over, by
-what their unigram probabilities leave over. Words never seen in training share one unknown class, which gets the
-unigram mass left over. A text starts in its own context and ends with an end token.
-
-Words are 64-bit hashes. The most frequent ones (at most FREQUENT, whatever the corpus) are numbered in a table that
-every task has; the others travel as hashes and meet their counts in joins. Token pairs are sorted, packed and
-dealt by context; very frequent contexts are dealt by pair. What depends on the discounts is kept as counts, so
-the pairs are shuffled and read once.
-
-Defined cases: a null text is empty and consists of the end token; rows with a null id are learned from and not held out; without
-training rows base_score uses c = N = V = 0 and score is 0 (one class); equal ids are scored row by row; extra columns are ignored.
+context's backoff weight times its probability after the context without its first word, and so on down to single words;
+weights are exact: what the seen words leave over, by what their lower probabilities leave over. Words never seen in training
+share one unknown class, which gets the unigram mass left over. A text starts in a context of start marks and ends with an
+end token.
+
+Grams below the highest order are counted into a table partitioned by order (context, word, count), their contexts' totals and
+weights into others; a token backs off through them by joins, order by order. Words are 64-bit hashes, contexts hashes of
+theirs. The most frequent words (at most FREQUENT, whatever the corpus) are numbered in a table that every task has. Grams of
+the highest order are sorted, packed and dealt by context; very frequent contexts are dealt by gram. What depends on the
+discounts is kept as counts, so these grams are shuffled and read once; only tokens whose gram is new are looked up below.
+
+Defined cases: a null text is empty and consists of the end token; texts of any length are scored whole; rows with a null id are learned from and not held out; without training rows base_score uses
+c = N = V = 0 and score is 0 (one class); equal ids are scored row by row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,17 +28,18 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize
-from .common import body_parts, bound_batches, fresh_key, mix64, once, slices, text_bytes, words
+from ..session import materialize, scratch_path
+from .common import BASE, body_parts, bound_batches, fresh_key, mix64, once, slices, text_bytes, words
 
+ORDER = 3
 K = 5
 RESERVE = 0.05
 FREQUENT = 1 << 20
 FLUSH_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
 START, END = np.uint64(0x51A27), np.uint64(0xE2D)      # keys of the start context and the end token
-BITS = 22               # word numbers inside a flush or a bucket
 OUT = ("kind string, k1 long, k2 long, flush long, doc int, n long, m long, f double, counts array<long>, blob binary")
+GRAMS = "level int, ctx long, low long, w long, c long"
 
 
 def held_out(id_col: str):
@@ -54,42 +57,95 @@ def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return token, row, counts + 1
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(w, c) of the rows' tokens; (id, body) rows."""
+def _before(token: np.ndarray, per_row: np.ndarray, order: int) -> list[np.ndarray]:
+    """The tokens 1 .. order - 1 places before each one, START where its text has none."""
+    at = np.arange(len(token)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
+    out = []
+    for back in range(1, order):
+        prior = np.full_like(token, START)
+        prior[back:] = token[:-back]
+        prior[at < back] = START
+        out.append(prior)
+    return out
+
+
+def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a context and the word after it, as a context."""
+    return mix64(context * BASE ^ mix64(word))
+
+
+def _contexts(before: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the contexts of 1, 2 .. words; a context of one word is the word."""
+    out = []
+    for size in range(1, len(before) + 1):
+        key = before[size - 1]
+        for back in range(size - 2, -1, -1):
+            key = joined(key, before[back])
+        out.append(key)
+    return out
+
+
+def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """GRAMS rows of the training tokens for orders 1 .. order - 1; (id, body) rows. ``low`` is the context without its first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         waiting, size = [], 0
 
-        def fold(keys, counts):
-            k, c = np.unique(np.concatenate(waiting), return_counts=True)
-            both = np.concatenate([keys, k])
-            u, at = np.unique(both, return_inverse=True)
+        def rows(level, c, **columns):
+            for at in range(0, len(c), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                n = len(c[part])
+                yield pa.RecordBatch.from_pydict({
+                    "level": pa.array(np.full(n, level, dtype=np.int32)),
+                    **{k: pa.array(v[part].view(np.int64)) if v is not None else pa.array(np.zeros(n, dtype=np.int64))
+                       for k, v in columns.items()}, "c": pa.array(c[part].astype(np.int64))})
+
+        def fold():
+            nonlocal keys, counts
+            k, c = np.unique(np.concatenate([w[0] for w in waiting]), return_counts=True)
+            u, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
             total = np.zeros(len(u), dtype=np.int64)
             np.add.at(total, at, np.concatenate([counts, c]))
-            return u, total
+            keys, counts = u, total
 
-        def out(keys, counts):
-            for at in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_pydict({"w": pa.array(keys[at:at + (1 << 16)].view(np.int64)),
-                                                  "c": pa.array(counts[at:at + (1 << 16)])})
+        def higher():
+            """Grams of two words and more, counted within the flush."""
+            if order < 3:
+                return
+            token = np.concatenate([w[0] for w in waiting])
+            contexts = _contexts(_before(token, np.concatenate([w[1] for w in waiting]), order - 1))
+            for level in range(2, order):
+                _, first, c = np.unique(joined(contexts[level - 2], token), return_index=True, return_counts=True)
+                yield from rows(level, c, ctx=contexts[level - 2][first], low=contexts[level - 3][first] if level > 2 else None,
+                                w=token[first])
 
         for whole in batches:
             for batch in slices(whole):
-                token, _, _ = _tokens(batch)
-                waiting.append(token)
+                token, _, n = _tokens(batch)
+                waiting.append((token, n))
                 size += len(token)
                 if size >= FLUSH_TOKENS:
-                    keys, counts = fold(keys, counts)
+                    yield from higher()
+                    fold()
                     waiting, size = [], 0
                     if len(keys) > 1_500_000:
-                        yield from out(keys, counts)
+                        yield from rows(1, counts, ctx=None, low=None, w=keys)
                         keys, counts = keys[:0], counts[:0]
         if waiting:
-            keys, counts = fold(keys, counts)
-        yield from out(keys, counts)
+            yield from higher()
+            fold()
+        yield from rows(1, counts, ctx=None, low=None, w=keys)
+
+    return docs.mapInArrow(run, GRAMS).groupBy("level", "ctx", "low", "w").agg(F.sum("c").alias("c"))
 
-    return docs.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+
+def store_grams(docs: DataFrame, order: int) -> DataFrame:
+    """The counted grams as a table partitioned by order."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "grams")
+    count_grams(docs, order).write.partitionBy("level").parquet(path)
+    return spark.read.schema("ctx long, low long, w long, c long, level int").parquet(path)
 
 
 def discounts(n: dict[int, int]) -> list[float]:
@@ -114,15 +170,17 @@ class Counts:
         self.d = np.array([0.0, *discounts(of_counts)])
         kept = sum(self.kept(np.array([r]))[0] * n for r, n in of_counts.items())
         self.unknown = max(1.0 - kept / tokens, 1e-12) if tokens else 1.0
+        self.heavy, self.heavy_totals = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def heavy_at(self, context: np.ndarray) -> np.ndarray:
+        """Places of very frequent contexts in ``heavy``, -1 for others."""
+        at = np.minimum(np.searchsorted(self.heavy, context), len(self.heavy) - 1)
+        return np.where(self.heavy[at] == context, at, -1)
 
     def kept(self, r: np.ndarray) -> np.ndarray:
         """Discounted counts."""
         return np.where(r <= K, r * self.d[np.minimum(r, K)], r - RESERVE)
 
-    def log_p(self, r: np.ndarray) -> np.ndarray:
-        p = self.kept(r) / max(self.tokens, 1)
-        return np.log10(np.where(r > 0, p, self.unknown))
-
     def base(self, r):
         return np.log10((r + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
 
@@ -146,7 +204,8 @@ def load_counts(table: DataFrame, docs: int) -> Counts:
     top = table.where(F.col("c") >= least).toArrow()
     keys = top.column("w").to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, dtype=np.uint64)
     counts = top.column("c").to_numpy() if top.num_rows else np.zeros(0, dtype=np.int64)
-    return Counts(keys, counts, sum(c * n for c, n in by_count.items()), sum(by_count.values()), by_count, docs)
+    return Counts(np.append(keys, START), np.append(counts, 0), sum(c * n for c, n in by_count.items()), sum(by_count.values()),
+                  by_count, docs)
 
 
 def _row(**columns) -> pa.RecordBatch:
@@ -176,13 +235,12 @@ def _unpress(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _deal(docs: DataFrame, key: str, shared, buckets: int) -> DataFrame:
-    """Map side: per flush a packed row of sorted token pairs for each bucket, the documents of the flush, and rare words."""
+def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFrame:
+    """Map side: per flush a packed row of sorted grams for each bucket, the documents of the flush, and rare words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = once(key, lambda: shared.value)
         part, number = TaskContext.get().partitionId(), 0
-        heavy = model.counts * buckets * 4 > max(model.tokens, 1)
         waiting, size = [], 0
 
         def out():
@@ -210,26 +268,24 @@ def _deal(docs: DataFrame, key: str, shared, buckets: int) -> DataFrame:
                     p = pairs[at:at + (1 << 16)]
                     yield _row(kind=["x"] * len(p), k1=np.full(len(p), flush % buckets), k2=p[:, 0], flush=np.full(len(p), flush),
                                doc=p[:, 1].astype(np.int32), n=times[at:at + (1 << 16)], m=np.zeros(len(p), dtype=np.int64))
-            before = np.empty_like(token)
-            before[1:] = token[:-1]
-            before[np.cumsum(n) - n] = START
-            prior = np.empty_like(word)
-            prior[1:] = word[:-1]
-            prior[np.cumsum(n) - n] = model.number(np.array([START]))[0]
-            spread = mix64(before)
-            hot = heavy[np.maximum(prior, 0)] & (prior >= 0) if len(heavy) else np.zeros(len(token), dtype=bool)
+            before = _before(token, n, order)
+            numbers = [model.number(x) for x in before]
+            context = _contexts(before)[-1]
+            spread = mix64(context)
+            hot = model.heavy_at(context) >= 0
             spread[hot] ^= mix64(token[hot] + np.uint64(77))
             bucket = (spread % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((doc, word, prior, bucket))
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            by = np.lexsort((doc, word, *numbers[::-1], bucket))
+            edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
             bits = np.packbits(held)
             for b in range(buckets):
-                at = order[edges[b]:edges[b + 1]]
+                at = by[edges[b]:edges[b + 1]]
                 if not len(at):
                     continue
-                v, w = prior[at], word[at]
-                blob = _press(v.astype(np.int32), before[at][v < 0], w.astype(np.int32), token[at][w < 0], doc[at].astype(np.int32), bits)
-                yield _row(kind=["p"], k1=[b], flush=[flush], n=[len(n)], blob=[blob])
+                packed = []
+                for keys, number_of in ((token, word), *zip(before, numbers, strict=True)):
+                    packed += [number_of[at].astype(np.int32), keys[at][number_of[at] < 0]]
+                yield _row(kind=["p"], k1=[b], flush=[flush], n=[len(n)], blob=[_press(doc[at].astype(np.int32), bits, *packed)])
 
         for whole in batches:
             for batch in slices(whole):
@@ -254,7 +310,7 @@ def _pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], np.diff(np.append(first, len(key)))
 
 
-def _reduce(key: str, shared):
+def _reduce(key: str, shared, order: int):
     """One bucket: counts per context, what each document's tokens find, and tokens not seen in training."""
 
     def run(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,29 +326,32 @@ def _reduce(key: str, shared):
                 docs_in.append(row["n"])
         if not parts:
             return
-        size = [len(p[0]) for p in parts]
-        v, w = (np.concatenate([p[k] for p in parts]).astype(np.int64) for k in (0, 2))
-        v_key, w_key = model.keys[np.maximum(v, 0)] if len(model.keys) else np.zeros(len(v), np.uint64), None
-        v_key = v_key.copy()
-        v_key[v < 0] = np.concatenate([p[1] for p in parts])
-        w_key = (model.keys[np.maximum(w, 0)] if len(model.keys) else np.zeros(len(w), np.uint64)).copy()
-        w_key[w < 0] = np.concatenate([p[3] for p in parts])
+
+        def keys_of(place):
+            number = np.concatenate([p[place] for p in parts]).astype(np.int64)
+            key = model.keys[np.maximum(number, 0)]
+            key[number < 0] = np.concatenate([p[place + 1] for p in parts])
+            return key
+
         shift = np.cumsum([0, *docs_in])
-        doc = np.concatenate([p[4] + s for p, s in zip(parts, shift, strict=False)])
-        held = np.concatenate([np.unpackbits(p[5], count=n) for p, n in zip(parts, docs_in, strict=True)]).astype(bool)
+        doc = np.concatenate([p[0] + s for p, s in zip(parts, shift, strict=False)])
+        held = np.concatenate([np.unpackbits(p[1], count=n) for p, n in zip(parts, docs_in, strict=True)]).astype(bool)
+        w_key = keys_of(2)
+        contexts = _contexts([keys_of(2 * back + 2) for back in range(1, order)])
         parts.clear()
         learn = ~held[doc]
-        # local numbers, so that one 64-bit key sorts the pairs
-        names, v_id = np.unique(v_key, return_inverse=True)
+        # local numbers, so that one 64-bit key sorts the grams
+        names, first, v_id = np.unique(contexts[-1], return_index=True, return_inverse=True)
+        lows = np.stack([c[first] for c in contexts[:-1]], axis=1).view(np.int64) if order > 2 else np.zeros((len(names), 0), np.int64)
+        contexts.clear()
         w_names, w_id = np.unique(w_key, return_inverse=True)
         pair = (v_id.astype(np.uint64) << np.uint64(32)) | w_id.astype(np.uint64)
         kinds, at = np.unique(pair, return_inverse=True)
         r = np.bincount(at[learn], minlength=len(kinds)).astype(np.int64)
         kv, kw = (kinds >> np.uint64(32)).astype(np.int64), (kinds & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        v_num, w_num = model.number(names), model.number(w_names)
         own = np.bincount(kv, r, len(names)).astype(np.int64)
-        total = np.where(v_num >= 0, model.counts[np.maximum(v_num, 0)] if len(model.counts) else 0, own)
-        total = np.where(names == START, model.docs, total)
+        spot = model.heavy_at(names)
+        total = np.where(spot >= 0, model.heavy_totals[np.maximum(spot, 0)], own)
         of = np.stack([np.bincount(kv[r == k], minlength=len(names)) for k in range(1, K + 2)], axis=1)
         yield _row(kind=["s"], counts=[of.sum(axis=0).tolist()])
         # seen tokens: number of each small count, and the part of the score that doesn't hang on discounts
@@ -305,46 +364,33 @@ def _reduce(key: str, shared):
         table = np.bincount(doc * (K + 1) + small, seen, len(held) * (K + 1)).astype(np.int32).reshape(-1, K + 1)
         for f, a, b in zip(flushes, shift, shift[1:], strict=False):
             yield _row(kind=["a"], flush=[f], n=[b - a], blob=[_press(sums[a:b].view(np.int64), table[a:b].ravel())])
-        # tokens whose pair is new: the backoff weight is looked up by context, rare words by word
+        # tokens whose gram is new: looked up in the tables of lower orders
         new = np.flatnonzero(~seen)
-        w_count = np.where(w_num >= 0, model.counts[np.maximum(w_num, 0)] if len(model.counts) else 0, 0)
-        common = w_num[w_id[new]] >= 0
         flush_of = np.repeat(np.arange(len(flushes)), docs_in)
         local = np.arange(len(held)) - shift[flush_of]
         flush_id = np.array(flushes)
         if len(new):
-            rows, times = _pairs(np.stack([v_id[new], doc[new]], axis=1))
-            where = np.searchsorted(rows[:, 0] * len(held) + rows[:, 1], v_id[new] * len(held) + doc[new])
-            logs = np.bincount(where, np.where(common, model.log_p(w_count[w_id[new]]), 0.0), len(rows))
-            d = rows[:, 1]
+            rows, times = _pairs(np.stack([at[new], doc[new]], axis=1))
             for s in range(0, len(rows), 1 << 16):
-                e = slice(s, s + (1 << 16))
-                yield _row(kind=["u"] * len(d[e]), k1=names[rows[e, 0]].view(np.int64), flush=flush_id[flush_of[d[e]]],
-                           doc=local[d[e]].astype(np.int32), n=times[e], f=logs[e])
-            odd = new[~common]
-            if len(odd):
-                rows, times = _pairs(np.stack([w_key[odd].view(np.int64), doc[odd]], axis=1))
-                d = rows[:, 1]
-                for s in range(0, len(rows), 1 << 16):
-                    e = slice(s, s + (1 << 16))
-                    yield _row(kind=["x"] * len(d[e]), k2=rows[e, 0], flush=flush_id[flush_of[d[e]]], doc=local[d[e]].astype(np.int32),
-                               n=np.zeros(len(d[e]), dtype=np.int64), m=times[e])
-        # contexts whose weight is asked for: here, or (dealt by pair) perhaps in another bucket
-        heavy = (v_num >= 0) & (total * group[1].as_py() * 4 > model.tokens)
-        asked = np.zeros(len(names), dtype=bool)
+                g, d = rows[s:s + (1 << 16)].T
+                yield _row(kind=["u"] * len(g), k1=names[kv[g]].view(np.int64), k2=w_names[kw[g]].view(np.int64),
+                           counts=[*lows[kv[g]].tolist()], flush=flush_id[flush_of[d]], doc=local[d].astype(np.int32),
+                           n=times[s:s + (1 << 16)])
+        # contexts whose weight is asked for: here, or (dealt by gram) perhaps in another bucket
+        asked = spot >= 0
         asked[v_id[new]] = True
-        asked = (asked | heavy) & (own > 0)
+        asked &= own > 0
         pick = np.flatnonzero(asked)
-        ok = r > 0
-        mass = np.bincount(kv[ok], np.where(w_num[kw[ok]] >= 0, 10.0 ** model.log_p(w_count[kw[ok]]), 0.0), len(names))
+        large = np.bincount(kv[r > K], minlength=len(names))
         for s in range(0, len(pick), 1 << 14):
             p = pick[s:s + (1 << 14)]
-            yield _row(kind=["b"] * len(p), k1=names[p].view(np.int64), n=total[p], f=mass[p],
-                       counts=[*np.concatenate([of[p, :K], np.bincount(kv[r > K], minlength=len(names))[p, None]], axis=1).tolist()])
-        loose = np.flatnonzero(ok & asked[kv] & (w_num[kw] < 0))
-        for s in range(0, len(loose), 1 << 16):
-            q = loose[s:s + (1 << 16)]
-            yield _row(kind=["c"] * len(q), k1=names[kv[q]].view(np.int64), k2=w_names[kw[q]].view(np.int64))
+            yield _row(kind=["b"] * len(p), k1=names[p].view(np.int64), n=total[p],
+                       counts=[*np.concatenate([of[p, :K], large[p, None]], axis=1).tolist()])
+        found = np.flatnonzero((r > 0) & asked[kv])
+        for s in range(0, len(found), 1 << 16):
+            q = found[s:s + (1 << 16)]
+            yield _row(kind=["c"] * len(q), k1=names[kv[q]].view(np.int64), k2=w_names[kw[q]].view(np.int64),
+                       counts=[*lows[kv[q]].tolist()])
 
     return run
 
@@ -366,59 +412,121 @@ def _document_sums(rows: DataFrame) -> DataFrame:
         run, "flush long, doc int, seen double, " + ", ".join(f"r{k} long" for k in range(1, K + 1)))
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def _kept(c, d: list[float]):
+    """Discounted counts, as a column."""
+    value = c - RESERVE
+    for r in range(K, 0, -1):
+        value = F.when(c == r, F.lit(r * d[r - 1])).otherwise(value)
+    return value
+
+
+def _lost(d: list[float]):
+    """What the discounts take from a context, from its numbers of words seen 1 .. K times (n1 ..) and more often."""
+    return sum((F.col(f"n{r}") * F.lit(r * (1 - d[r - 1])) for r in range(1, K + 1)), F.col(f"n{K + 1}") * F.lit(RESERVE))
+
+
+class Backoff:
+    """The orders below the highest, as tables: counted grams, and per context its total and backoff weight."""
+
+    def __init__(self, grams: DataFrame, order: int, model: Counts):
+        self.grams, self.order, self.model = grams, order, model
+        small = {(r["level"], r["c"]): r["n"] for r in grams.where((F.col("level") > 1) & (F.col("c") <= K + 1))
+                 .groupBy("level", "c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        self.d = {level: discounts({r: n for (at, r), n in small.items() if at == level}) for level in range(2, order)}
+        self.contexts: dict[int, DataFrame] = {}
+        for level in range(2, order):
+            self.contexts[level] = self._weights(level)
+
+    def level(self, level: int) -> DataFrame:
+        return self.grams.where(F.col("level") == level)
+
+    def _weights(self, level: int) -> DataFrame:
+        """(ctx, total, weight) of one order; what its grams' words have below comes from the tables made before."""
+        unused = [F.lit(None).cast("long")] * (level - 3)
+        own = self.level(level).select("ctx", "w", "c", F.array(*unused, "low").alias("lows"))
+        below = self.probability(own, level - 1, seen=True)
+        c = F.col("c")
+        numbers = [F.sum(F.when(c == r, 1).otherwise(0)).alias(f"n{r}") for r in range(1, K + 1)]
+        sums = below.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("p").alias("mass"), *numbers,
+                                        F.sum(F.when(c > K, 1).otherwise(0)).alias(f"n{K + 1}"))
+        return materialize(sums.select("ctx", "total", ((_lost(self.d[level]) / F.col("total")) / (1.0 - F.col("mass"))).alias("weight")),
+                           f"contexts-{level}")
+
+    def probability(self, rows: DataFrame, level: int, seen: bool = False) -> DataFrame:
+        """``rows`` with p, the probability of ``w`` at an order; ``lows``: its contexts from one word up.
+
+        ``seen``: all rows are known to stand in the table of that order, so none backs off.
+        """
+        if level == 1:
+            known = self.level(1).select("w", F.col("c").alias("c1"))
+            d1, tokens = [float(x) for x in self.model.d[1:]], float(max(self.model.tokens, 1))
+            p = F.when(F.col("c1").isNull(), F.lit(float(self.model.unknown))).otherwise(_kept(F.col("c1"), d1) / tokens)
+            return rows.join(known, "w", "left").withColumn("p", p).drop("c1")
+        if not seen:
+            rows = self.probability(rows, level - 1).withColumnRenamed("p", "below")
+        rows = rows.withColumn("at", F.col("lows")[level - 2])
+        table = self.level(level).select(F.col("ctx").alias("at"), "w", F.col("c").alias("ck"))
+        contexts = self.contexts[level].select(F.col("ctx").alias("at"), F.col("total").alias("tk"), F.col("weight").alias("bk"))
+        found = _kept(F.col("ck"), self.d[level]) / F.col("tk")
+        if not seen:
+            found = F.when(F.col("ck").isNotNull(), found).otherwise(F.coalesce("bk", F.lit(1.0)) * F.col("below"))
+        out = rows.join(table, ["at", "w"], "left").join(contexts, "at", "left").withColumn("p", found)
+        return out.drop("at", "ck", "tk", "bk", "below")
+
+
+def _heavy(grams: DataFrame, model: Counts, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of the highest order with more than a quarter bucket of tokens, and their totals; at most 4 * buckets and FREQUENT."""
+    least = max(model.tokens // (4 * buckets), model.tokens // FREQUENT)
+    start = np.array([START])
+    for _ in range(order - 2):
+        start = joined(start, np.array([START]))
+    top = grams.where((F.col("level") == order - 1) & (F.col("c") > least) & (F.col("w") != int(END))).select("ctx", "w", "c").toArrow()
+    ctx, w = (top.column(c).to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, np.uint64) for c in ("ctx", "w"))
+    keys = np.append(joined(ctx, w) if order > 2 else w, start)
+    totals = np.append(top.column("c").to_numpy() if top.num_rows else np.zeros(0, np.int64), model.docs)
+    by = np.argsort(keys)
+    return keys[by], totals[by]
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (by grams of up to ``order`` >= 2 words)."""
     spark = docs.sparkSession
     bound_batches(spark)
     bodies = text_bytes(docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held"), F.col(text).alias("__text")),
                         "id", "held", text="__text")
-    table = materialize(count_words(bodies.where("not held")), "unigrams")
-    model = load_counts(table, 0)
-    start = int(START)
+    grams = store_grams(bodies.where("not held"), order)
+    table = grams.where("level = 1").select("w", "c")
     ends = table.where(F.col("w") == int(END)).first()
-    model = Counts(np.append(model.keys, np.uint64(start)), np.append(model.counts, 0), model.tokens, model.kinds,
-                   {r["c"]: r["n"] for r in table.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()},
-                   ends["c"] if ends else 0)
-    model.counts[model.keys == START] = model.docs
-    key, shared = fresh_key(), spark.sparkContext.broadcast(model)     # at most FREQUENT + 1 words
+    model = load_counts(table, ends["c"] if ends else 0)
     buckets = 12 + model.tokens // BUCKET_TOKENS
-    dealt = _deal(bodies, key, shared, buckets).withColumn("buckets", F.lit(buckets))
-    found = materialize(dealt.groupBy("k1", "buckets").applyInArrow(_reduce(key, shared), OUT), "model", compression="zstd")
-
-    stats = [r["counts"] for r in found.where("kind = 's'").select("counts").collect()]
-    d2 = discounts({k + 1: sum(s[k] for s in stats) for k in range(K + 1)})
-    d1 = [float(x) for x in model.d[1:]]
-    tokens = float(max(model.tokens, 1))
-
-    def kept(c, d):
-        value = c - RESERVE
-        for r in range(K, 0, -1):
-            value = F.when(c == r, F.lit(r * d[r - 1])).otherwise(value)
-        return value
-
-    probability = F.when(F.col("c").isNull(), F.lit(float(model.unknown))).otherwise(kept(F.col("c"), d1) / tokens)
-    uni = table.select(F.col("w").alias("k2"), "c")
+    model.heavy, model.heavy_totals = _heavy(grams, model, order, buckets)
+    key, shared = fresh_key(), spark.sparkContext.broadcast(model)     # at most FREQUENT + 1 words and as many contexts
+    dealt = _deal(bodies, key, shared, buckets, order).withColumn("buckets", F.lit(buckets))
+    found = materialize(dealt.groupBy("k1", "buckets").applyInArrow(_reduce(key, shared, order), OUT), "model", compression="zstd")
+
+    stats = [r["counts"] for r in found.where("kind = 's'").select("counts").collect()]      # one row per bucket
+    top = discounts({k + 1: sum(s[k] for s in stats) for k in range(K + 1)})
+    backoff = Backoff(grams, order, model)
+    asked = found.where("kind = 'c'").select("k1", F.col("k2").alias("w"), F.col("counts").alias("lows"))
+    mass = backoff.probability(asked, order - 1, seen=True).groupBy("k1").agg(F.sum("p").alias("mass"))
     contexts = found.where("kind = 'b'").groupBy("k1").agg(
-        F.max("n").alias("total"), F.sum("f").alias("mass"),
-        *[F.sum(F.col("counts")[k]).alias(f"n{k + 1}") for k in range(K + 1)])
-    rare = found.where("kind = 'c'").select("k1", "k2").join(uni, "k2", "left").groupBy("k1").agg(F.sum(probability).alias("more"))
-    lost = sum((F.col(f"n{r}") * F.lit(r * (1 - d2[r - 1])) for r in range(1, K + 1)), F.col(f"n{K + 1}") * F.lit(RESERVE))
-    weights = contexts.join(rare, "k1", "left").select(
-        "k1", F.log10((lost / F.col("total")) / (1.0 - F.col("mass") - F.coalesce("more", F.lit(0.0)))).alias("weight"))
-    new = found.where("kind = 'u'").select("k1", "flush", "doc", "n", "f").join(weights, "k1", "left").groupBy("flush", "doc").agg(
-        F.sum(F.col("n") * F.coalesce("weight", F.lit(0.0)) + F.col("f")).alias("back"))
-    odd = found.where("kind = 'x'").select("k2", "flush", "doc", "n", "m").join(uni, "k2", "left").groupBy("flush", "doc").agg(
+        F.max("n").alias("total"), *[F.sum(F.col("counts")[k]).alias(f"n{k + 1}") for k in range(K + 1)])
+    weights = contexts.join(mass, "k1").select("k1", F.log10((_lost(top) / F.col("total")) / (1.0 - F.col("mass"))).alias("weight"))
+    new = found.where("kind = 'u'").select("k1", F.col("k2").alias("w"), F.col("counts").alias("lows"), "flush", "doc", "n")
+    new = backoff.probability(new, order - 1).join(weights, "k1", "left").groupBy("flush", "doc").agg(
+        F.sum(F.col("n") * (F.coalesce("weight", F.lit(0.0)) + F.log10("p"))).alias("back"))
+    uni = table.withColumnRenamed("w", "k2")
+    odd = found.where("kind = 'x'").select("k2", "flush", "doc", "n").join(uni, "k2", "left").groupBy("flush", "doc").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("odd_known"),
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(model.tokens + 0.1 * (model.kinds + 1)))).alias("odd_base"),
-        F.sum(F.col("m") * F.log10(probability)).alias("odd_score"))
+        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(model.tokens + 0.1 * (model.kinds + 1)))).alias("odd_base"))
     seen = _document_sums(found.where("kind = 'a'"))
     where = ["flush", "doc"]
     out = (found.where("kind = 'd'").select("flush", "doc", F.col("k2").alias("id"), "n", "m", "f", F.col("counts")[0].alias("held"))
            .join(seen, where, "left").join(new, where, "left").join(odd, where, "left"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    score = zero("seen") + zero("back") + zero("odd_score")
+    score = zero("seen") + zero("back")
     for r in range(1, K + 1):
-        score = score + zero(f"r{r}") * F.lit(math.log10(d2[r - 1]))
+        score = score + zero(f"r{r}") * F.lit(math.log10(top[r - 1]))
     kind = docs.schema[id_col].dataType
     return out.select(F.col("id").cast(kind).alias(id_col), (F.col("held") == 1).alias("held_out"), F.col("n").alias("n_tokens"),
                       (F.col("m") + zero("odd_known")).cast("long").alias("n_known"), F.lit(int(model.tokens)).cast("long").alias("train_tokens"),

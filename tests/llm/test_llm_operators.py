@@ -277,48 +277,78 @@ def test_one_clean_text_does_not_switch_a_misspelling_off(sane):
 
 # ---------------------------------------------------------------- 5 language model
 
-def test_katz_matches_a_plain_model(sane, monkeypatch):
+class PlainKatz:
+    """The same model by recursion over dictionaries."""
+
+    def __init__(self, learned, order):
+        self.order = order
+        self.grams = [collections.Counter() for _ in range(order + 1)]
+        self.context = [collections.Counter() for _ in range(order + 1)]
+        self.after = collections.defaultdict(set)
+        for words in learned:
+            full = ["<s>"] * (order - 1) + words
+            for at in range(order - 1, len(full)):
+                for n in range(1, order + 1):
+                    before = tuple(full[at - n + 1:at])
+                    self.grams[n][(*before, full[at])] += 1
+                    self.context[n][before] += 1
+                    self.after[before].add(full[at])
+        self.total, self.kinds = sum(self.grams[1].values()), len(self.grams[1])
+        self.d = [None] + [[0, *katz.discounts(collections.Counter(c.values()))] for c in self.grams[1:]]
+        self.unknown = 1 - sum(self.kept(c, 1) for c in self.grams[1].values()) / self.total
+        self.weights = {}
+
+    def kept(self, r, n):
+        return r * self.d[n][r] if r <= katz.K else r - katz.RESERVE
+
+    def weight(self, before):
+        if before not in self.weights:
+            n = len(before) + 1
+            left = 1 - sum(self.kept(self.grams[n][(*before, y)], n) for y in self.after[before]) / self.context[n][before]
+            self.weights[before] = left / (1 - sum(self.p(before[1:], y) for y in self.after[before]))
+        return self.weights[before]
+
+    def p(self, before, word):
+        n = len(before) + 1
+        if (*before, word) in self.grams[n]:
+            return self.kept(self.grams[n][(*before, word)], n) / self.context[n][before]
+        if n == 1:
+            return self.unknown
+        return (self.weight(before) if before in self.context[n] else 1.0) * self.p(before[1:], word)
+
+    def score(self, words):
+        full = ["<s>"] * (self.order - 1) + words
+        return sum(math.log10(self.p(tuple(full[at - self.order + 1:at]), full[at])) for at in range(self.order - 1, len(full)))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_katz_matches_a_plain_model(sane, monkeypatch, order):
     monkeypatch.setattr(katz, "FREQUENT", 12)       # most words take the way of rare ones
     rng = random.Random(10)
     words = [f"v{int(rng.paretovariate(0.7))}" for _ in range(4000)]
     texts = [prose(rng, words, rng.randint(0, 60)) for _ in range(150)] + ["Unseen Words here", *ODD]
+    texts += [texts[3]] * 4 + [prose(rng, words, 5000)]      # copies, and a very long text
     docs = make(sane, texts)
-    got = by_id(katz.score_documents(docs))
+    got = by_id(katz.score_documents(docs, order=order))
     tokens = {i: (t or "").encode().lower().split() + [None] for i, t in enumerate(texts)}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
-    uni, pair, context = collections.Counter(), collections.Counter(), collections.Counter()
-    after = collections.defaultdict(set)
-    for i, w in tokens.items():
-        if not held[i]:
-            uni.update(w)
-            for v, x in zip(["<s>", *w], w, strict=False):
-                pair[v, x] += 1
-                context[v] += 1
-                after[v].add(x)
-    total = sum(uni.values())
-    n1, n2 = collections.Counter(uni.values()), collections.Counter(pair.values())
-    d1, d2 = [0, *katz.discounts(n1)], [0, *katz.discounts({r: n2[r] for r in range(1, katz.K + 2)})]
-    kept = lambda r, d: r * d[r] if r <= katz.K else r - katz.RESERVE
-    unknown = 1 - sum(kept(c, d1) for c in uni.values()) / total
-    p1 = lambda w: kept(uni[w], d1) / total if w in uni else unknown
-
-    def p2(v, x):
-        if v not in context:
-            return p1(x)
-        if (v, x) in pair:
-            return kept(pair[v, x], d2) / context[v]
-        left = 1 - sum(kept(pair[v, y], d2) for y in after[v]) / context[v]
-        return left / (1 - sum(p1(y) for y in after[v])) * p1(x)
-
-    for v in ("<s>", "v1", "v3"):       # exactly normalised
-        assert abs(sum(p2(v, x) for x in uni) + p2(v, "never") - 1) < 1e-9
+    plain = PlainKatz([w for i, w in tokens.items() if not held[i]], order)
+    known = [x for (x,) in plain.grams[1]]
+    for before in [("<s>",) * (order - 1), *random.Random(3).sample(sorted(plain.context[order], key=repr), 5)]:     # exactly normalised
+        assert abs(sum(plain.p(before, x) for x in known) + plain.p(before, "never") - 1) < 1e-9
     for i, w in tokens.items():
         r = got[i]
-        base = sum(math.log10((uni[x] + 0.1) / (total + 0.1 * (len(uni) + 1))) for x in w)
-        score = sum(math.log10(p2(v, x)) for v, x in zip(["<s>", *w], w, strict=False))
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(x in uni for x in w), total)
-        assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-6
+        base = sum(math.log10((plain.grams[1][(x,)] + 0.1) / (plain.total + 0.1 * (plain.kinds + 1))) for x in w)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(x in known for x in w), plain.total)
+        assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - plain.score(w)) < 1e-6 * max(1, len(w) / 100), i
+
+
+def test_katz_without_training_rows(sane):
+    docs = make(sane, ["some words here", "", None, "x"])
     assert katz.score_documents(docs.where("doc_id < 0")).count() == 0
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    rows = katz.score_documents(make(sane, ["some words here", "", None, "x"], ids=held)).collect()
+    assert len(rows) == 4 and all((r["train_tokens"], r["score"], r["base_score"]) == (0, 0.0, 0.0) for r in rows)
 
 
 # ---------------------------------------------------------------- 6 language
