@@ -144,7 +144,8 @@ def store_grams(docs: DataFrame, order: int) -> DataFrame:
     """The counted grams as a table partitioned by order."""
     spark = docs.sparkSession
     path = scratch_path(spark, "grams")
-    count_grams(docs, order).write.partitionBy("level").parquet(path)
+    # in order of context, whose hashes then take next to no room
+    count_grams(docs, order).sortWithinPartitions("level", "ctx").write.partitionBy("level").parquet(path, compression="zstd")
     return spark.read.schema("ctx long, low long, w long, c long, level int").parquet(path)
 
 
@@ -442,8 +443,7 @@ class Backoff:
 
     def _weights(self, level: int) -> DataFrame:
         """(ctx, total, weight) of one order; what its grams' words have below comes from the tables made before."""
-        unused = [F.lit(None).cast("long")] * (level - 3)
-        own = self.level(level).select("ctx", "w", "c", F.array(*unused, "low").alias("lows"))
+        own = self.level(level).select("ctx", "w", "c", F.col("low").alias(f"h{level - 2}"))
         below = self.probability(own, level - 1, seen=True)
         c = F.col("c")
         numbers = [F.sum(F.when(c == r, 1).otherwise(0)).alias(f"n{r}") for r in range(1, K + 1)]
@@ -453,7 +453,7 @@ class Backoff:
                            f"contexts-{level}")
 
     def probability(self, rows: DataFrame, level: int, seen: bool = False) -> DataFrame:
-        """``rows`` with p, the probability of ``w`` at an order; ``lows``: its contexts from one word up.
+        """``rows`` with p, the probability of ``w`` at an order; h1, h2 ..: its contexts of one word, two ..
 
         ``seen``: all rows are known to stand in the table of that order, so none backs off.
         """
@@ -464,14 +464,14 @@ class Backoff:
             return rows.join(known, "w", "left").withColumn("p", p).drop("c1")
         if not seen:
             rows = self.probability(rows, level - 1).withColumnRenamed("p", "below")
-        rows = rows.withColumn("at", F.col("lows")[level - 2])
-        table = self.level(level).select(F.col("ctx").alias("at"), "w", F.col("c").alias("ck"))
-        contexts = self.contexts[level].select(F.col("ctx").alias("at"), F.col("total").alias("tk"), F.col("weight").alias("bk"))
+        at = f"h{level - 1}"
+        table = self.level(level).select(F.col("ctx").alias(at), "w", F.col("c").alias("ck"))
+        contexts = self.contexts[level].select(F.col("ctx").alias(at), F.col("total").alias("tk"), F.col("weight").alias("bk"))
         found = _kept(F.col("ck"), self.d[level]) / F.col("tk")
         if not seen:
             found = F.when(F.col("ck").isNotNull(), found).otherwise(F.coalesce("bk", F.lit(1.0)) * F.col("below"))
-        out = rows.join(table, ["at", "w"], "left").join(contexts, "at", "left").withColumn("p", found)
-        return out.drop("at", "ck", "tk", "bk", "below")
+        out = rows.join(table, [at, "w"], "left").join(contexts, at, "left").withColumn("p", found)
+        return out.drop(at, "ck", "tk", "bk", "below")
 
 
 def _heavy(grams: DataFrame, model: Counts, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -507,12 +507,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     stats = [r["counts"] for r in found.where("kind = 's'").select("counts").collect()]      # one row per bucket
     top = discounts({k + 1: sum(s[k] for s in stats) for k in range(K + 1)})
     backoff = Backoff(grams, order, model)
-    asked = found.where("kind = 'c'").select("k1", F.col("k2").alias("w"), F.col("counts").alias("lows"))
+    lows = [F.col("counts")[k].alias(f"h{k + 1}") for k in range(order - 2)]
+    asked = found.where("kind = 'c'").select("k1", F.col("k2").alias("w"), *lows[-1:])
     mass = backoff.probability(asked, order - 1, seen=True).groupBy("k1").agg(F.sum("p").alias("mass"))
     contexts = found.where("kind = 'b'").groupBy("k1").agg(
         F.max("n").alias("total"), *[F.sum(F.col("counts")[k]).alias(f"n{k + 1}") for k in range(K + 1)])
     weights = contexts.join(mass, "k1").select("k1", F.log10((_lost(top) / F.col("total")) / (1.0 - F.col("mass"))).alias("weight"))
-    new = found.where("kind = 'u'").select("k1", F.col("k2").alias("w"), F.col("counts").alias("lows"), "flush", "doc", "n")
+    new = found.where("kind = 'u'").select("k1", F.col("k2").alias("w"), *lows, "flush", "doc", "n")
     new = backoff.probability(new, order - 1).join(weights, "k1", "left").groupBy("flush", "doc").agg(
         F.sum(F.col("n") * (F.coalesce("weight", F.lit(0.0)) + F.log10("p"))).alias("back"))
     uni = table.withColumnRenamed("w", "k2")
