@@ -4,7 +4,8 @@ Words and word beginnings that occur almost only in texts labelled toxic form a
 runs through the trie intersected with the Levenshtein automaton of distance one (its states are built as they are
 met), so misspelled terms match too; matched words that are not clearly more
 common in toxic than in clean training texts are words of their own and are taken out again by a join.
-A hit counts as quoted if its window of words holds quotation marks or a reporting word. A logistic
+A hit counts as quoted if a pair of quotation marks stands around it inside its window of words, at the edges of words
+(an apostrophe within or behind a word is none), or if it directly follows a word that names words. A logistic
 regression over the counts of plain, misspelled and quoted hits gives the score.
 
 Defined cases: null and empty texts have no hits and get the score of a text without hits; documents without a label are
@@ -25,10 +26,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import materialize
 from .common import bound_batches, fresh_key, once
 
-#: Marks and words around reported speech.
-QUOTES = "\"“”„«»‹›‘’"
-REPORTING = ("said", "says", "wrote", "called", "quote", "quoted", "quotes", "reported", "word", "term", "slur")
-WINDOW = 6
+#: Opening quotation marks with what closes them, and words that introduce a mentioned word.
+PAIRS = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‹": "›", "›": "‹", "‘": "’", "‚": "‘’"}
+NAMING = ("word", "term", "slur")
+QUOTES = "\"“”„«»‹›‘’‚"
+WINDOW = 12             # words on either side of a hit in which its marks must stand
 FUZZY_LENGTH = 5        # shorter terms must match exactly
 STEM_LENGTHS = (4, 5, 6)
 LEAST = 4               # toxic training texts that a term stands in, at least
@@ -126,8 +128,14 @@ class Lexicon:
         return 2 if fuzzy else 0
 
 
+def _edges(raw: str) -> tuple[str, str]:
+    """Punctuation before and behind a word; both are all of it where there is no word."""
+    lead, tail = raw[:len(raw) - len(raw.lstrip(_TRIM))], raw[len(raw.rstrip(_TRIM)):]
+    return (raw, raw) if len(lead) == len(raw) else (lead, tail)
+
+
 class _Memo(dict):
-    """Class of each word as it stands in texts: 0-2 as matched, plus 4 if it marks quotation."""
+    """Class of each word as it stands in texts: 0-2 as matched, plus 4 if a quotation mark stands at an edge."""
 
     def __init__(self, lexicon: Lexicon):
         super().__init__()
@@ -136,7 +144,7 @@ class _Memo(dict):
     def __missing__(self, raw: str) -> int:
         word = normal(raw)
         value = self.lexicon.match(word) if word else 0
-        if word in REPORTING or any(q in raw for q in QUOTES):
+        if any(c in QUOTES for edge in _edges(raw) for c in edge):
             value += 4
         if len(self) >= MEMO_WORDS:
             self.clear()
@@ -144,6 +152,33 @@ class _Memo(dict):
         return value
 
 
+def is_quoted(found: list[str], kinds: bytes, i: int) -> bool:
+    """Whether the word stands inside a pair of marks: the nearest mark before it opens, the next one of that pair closes behind it.
+
+    A mark that stands alone opens before the word and closes behind it, save for those that only ever close.
+    """
+    if i and normal(found[i - 1]) in NAMING:
+        return True
+    for j in range(i, max(-1, i - WINDOW - 1), -1):
+        if not kinds[j] & 4:
+            continue
+        lead, tail = _edges(found[j])
+        alone = lead == found[j]
+        if j < i and any(c in ("”»›’" if alone else QUOTES) for c in tail):
+            return False
+        openers = [c for c in lead if c in PAIRS]
+        if openers:
+            for k in range(i, min(len(found), i + WINDOW + 1)):
+                if kinds[k] & 4:
+                    lead, tail = _edges(found[k])
+                    if any(c in PAIRS[openers[-1]] for c in tail):
+                        return True
+                    if k > i and any(c in PAIRS for c in lead):
+                        return False
+            return False
+    return False
+
+
 def hits(memo: _Memo, text: str) -> tuple[int, int, int, int, list[dict]]:
     """Plain, misspelled and quoted hits, different words among them, and what each misspelled word adds to these."""
     found = text.split()
@@ -152,7 +187,7 @@ def hits(memo: _Memo, text: str) -> tuple[int, int, int, int, list[dict]]:
     names = set()
     near: dict[str, dict] = {}
     for i in [i for i, k in enumerate(kinds) if k & 3] if any(k in kinds for k in (1, 2, 5, 6)) else ():
-        name, reported = found[i].lower(), any(k & 4 for k in kinds[max(0, i - WINDOW):i + WINDOW + 1])
+        name, reported = found[i].lower(), is_quoted(found, kinds, i)
         if kinds[i] & 3 == 2:
             word = normal(found[i])
             own = near.setdefault(word, {"word": word, "misspelled": 0, "quoted": 0, "kinds": 0})

@@ -154,6 +154,19 @@ def test_automaton_accepts_exactly_one_edit():
     assert lexicon.match("vequxyz") == 1
 
 
+def test_quotation_needs_marks_around_the_word():
+    memo = toxicity._Memo(toxicity.Lexicon(["stupid"], []))
+    quoted = ['he said "stupid" twice', "a “truly stupid man” said", "« stupid »", "„so stupid“, sagt er", "»stupid«", "(‘stupid’)",
+              'one "a" two "b stupid c" d', 'so " you stupid man " it goes', "the word stupid is rude", "“don’t be stupid, you”"]
+    plain = ["you’re a stupid man", "l’homme est stupid", "my word you are a stupid man", "she said you are stupid", "the dogs’ stupid tails",
+             'a "b" stupid "c" d', 'key = "0b96" stupid man', "stupid “quoted” man", "‘tis a stupid", '"open but stupid', "’tis stupid ’",
+             "“" + "far " * 20 + "stupid " + "far " * 20 + "”"]
+    for text in quoted:
+        assert toxicity.hits(memo, text)[:3] == (0, 0, 1), text
+    for text in plain:
+        assert toxicity.hits(memo, text)[:3] == (1, 0, 0), text
+
+
 def test_toxicity_end_to_end(sane):
     rng = random.Random(7)
     calm, rude = ["table", "river", "green", "walk", "paper", "music"], ["stupid", "pathetic", "moronic"]
@@ -165,7 +178,7 @@ def test_toxicity_end_to_end(sane):
             words[rng.randrange(40)] = rng.choice(rude)
         texts.append(" ".join(words))
         labels.append((i, int(bad)))
-    texts += ["you are a stupiid and pathetlc moronic, stupid thing", *ODD]
+    texts += ["you are a stupiid and pathetlc moronic, stupid thing", *ODD, "you’re a stupid, pathetic thing", "river " * 100_000 + "stupid moronic"]
     docs = make(sane, texts)
     got = by_id(toxicity.score_toxicity(docs, sane.createDataFrame(labels, "doc_id long, toxic int")))
     assert len(got) == len(texts)
@@ -173,6 +186,8 @@ def test_toxicity_end_to_end(sane):
     assert all(got[i]["held_out"] for i in held) and all(got[i]["predicted"] == labels[i][1] for i in held)
     assert got[300]["predicted"] == 1 and got[300]["misspelled"] == 2
     assert all(0 <= r["score"] <= 1 for r in got.values()) and got[301]["predicted"] == 0
+    assert got[len(texts) - 2]["predicted"] == 1 and got[len(texts) - 2]["quoted"] == 0
+    assert got[len(texts) - 1]["plain"] == 2        # at the end of a very long text
     assert toxicity.hits(toxicity._Memo(toxicity.Lexicon(["stupid"], [])), 'he said "stupid" twice')[2] == 1
     none = toxicity.score_toxicity(docs, sane.createDataFrame([], "doc_id long, toxic int"))
     assert none.where("score <> 0").count() == 0
