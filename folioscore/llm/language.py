@@ -3,11 +3,13 @@
 The kernel of two texts is the share of character n-grams (lengths 1 to 4, blended) present in both,
 ``|x & y| / sqrt(|x| |y|)``, over lower-cased whole texts; n-grams are told apart by a 20-bit hash. A bounded
 sample of labelled texts gives Nystroem landmarks and the rows of a one-versus-rest kernel ridge
-regression; texts are scored by one matrix product per batch.
+regression; texts are scored by matrix products per batch. The landmarks' n-grams are kept as bits and unpacked
+in blocks of bounded size, however many languages there are.
 
 Defined cases: texts that are null or hold no letter get ``und`` with score 0; without any labelled row
 everything is ``und``; ties between languages go to the first in code-point order; rows with a null
-language are never learned from; repeated rows count as often as they come; extra columns are ignored.
+language are never learned from; rows that are equal in id, text and language are learned from once, each is given a
+language; texts of any length are read whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ BITS = 20
 LENGTHS = (1, 2, 3, 4)
 UNKNOWN = "und"
 SHARPNESS = 6.0
+BLOCK_CELLS = 1 << 25   # n-grams times landmarks that are unpacked at once
+BATCH = 128             # texts in one product
+SPARE = 4               # rows taken by their hash for each one that is needed
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -48,31 +53,38 @@ def present(text: str) -> np.ndarray:
 class Model:
     languages: list[str]
     buckets: np.ndarray     # n-gram buckets of any landmark
-    table: np.ndarray       # buckets x landmarks, presence
+    table: np.ndarray       # buckets x landmarks, presence, eight landmarks a byte
     norms: np.ndarray       # square root of each landmark's number of n-grams
     weights: np.ndarray     # landmarks x languages
     bias: np.ndarray
 
 
+def blocks(table: np.ndarray, landmarks: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """Runs of rows of a packed table as float matrices of at most BLOCK_CELLS cells."""
+    step = max(1, BLOCK_CELLS // max(1, landmarks))
+    for at in range(0, len(table), step):
+        rows = slice(at, at + step)
+        yield rows, np.unpackbits(table[rows], axis=1, count=landmarks).astype(np.float32)
+
+
 class Scorer:
     """Kernel rows against the landmarks, and predictions, for batches of texts."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.table = model.table.astype(np.float32)
+        cells = len(model.table) * len(model.norms)
+        self.whole = list(blocks(model.table, len(model.norms))) if cells <= BLOCK_CELLS else None      # unpacked once where it is one block
 
     def kernel(self, texts: list[str]) -> np.ndarray:
         m = self.model
         out = np.zeros((len(texts), len(m.norms)))
-        for at in range(0, len(texts), 128):
-            part = texts[at:at + 128]
-            rows = np.zeros((len(part), len(m.buckets)), dtype=np.float32)
-            size = np.ones(len(part))
-            for i, text in enumerate(part):
-                bits = present(text)
-                rows[i] = bits[m.buckets]
-                size[i] = max(1, np.count_nonzero(bits))
-            out[at:at + 128] = (rows @ self.table) / (np.sqrt(size)[:, None] * m.norms)
+        for at in range(0, len(texts), BATCH):
+            found = [present(t) for t in texts[at:at + BATCH]]
+            size = np.array([max(1, np.count_nonzero(bits)) for bits in found], dtype=np.float64)
+            shared = np.zeros((len(found), len(m.norms)), dtype=np.float32)     # whole numbers, exact in any order
+            for rows, table in self.whole or blocks(m.table, len(m.norms)):
+                shared += np.stack([bits[m.buckets[rows]] for bits in found]).astype(np.float32) @ table
+            out[at:at + BATCH] = shared / (np.sqrt(size)[:, None] * m.norms)
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -99,13 +111,17 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", landmarks:
     """Fit on at most ``sample`` labelled texts per language, ``landmarks`` of them as landmarks."""
     spark = docs.sparkSession
     bound_batches(spark)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(id_col), id_col)
-    usable = docs.where(F.col(text).rlike(r"\p{L}"))
-    chosen = (usable.select(id_col, "lang").distinct().withColumn("n", F.row_number().over(order))
-              .where(F.col("n") <= sample).select(F.col(id_col).alias("__id"), F.col("lang").alias("__lang"), "n"))
-    # at most `sample` (id, language) pairs per language, so the texts stay where they are
-    rows = usable.select(id_col, "lang", text).join(
-        F.broadcast(chosen), (F.col(id_col) == F.col("__id")) & (F.col("lang") == F.col("__lang"))).select("lang", "n", F.col(text).alias("t"))
+    usable = docs.where(F.col(text).rlike(r"\p{L}")).select(
+        F.col("lang").alias("lang"), F.col(text).alias("t"), F.xxhash64(id_col, text).alias("h"))
+    place = F.pmod(F.xxhash64("h"), F.lit(1 << 30))
+    once_each = usable.select("lang", "h").distinct()
+    # rows of a common language are thinned out by their hash before they are ranked; one row per language is sent to all
+    of = once_each.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    few = once_each.join(F.broadcast(of), "lang").where(place < F.lit(float(SPARE * sample << 30)) / F.col("of"))
+    chosen = (few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "h")))
+              .where(F.col("n") <= sample).select("lang", "h", "n"))
+    # at most `sample` hashes per language, so the texts stay where they are; repeated rows become one on the map side
+    rows = usable.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "n").agg(F.min("t").alias("t"))
     rows = materialize(rows, "learning-rows", compression="zstd").repartition(F.xxhash64("t"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,11 +137,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", landmarks:
     sets = sorted((r["lang"], bytes(r["grams"])) for r in marks)
     sets = [np.frombuffer(g, dtype=np.int32) for _, g in sets]
     buckets = np.unique(np.concatenate(sets))
-    table = np.zeros((len(buckets), len(sets)), dtype=np.uint8)
+    table = np.zeros((len(buckets), (len(sets) + 7) // 8), dtype=np.uint8)
     for j, s in enumerate(sets):
-        table[np.searchsorted(buckets, s), j] = 1
+        table[np.searchsorted(buckets, s), j // 8] |= 128 >> j % 8
     norms = np.sqrt(np.array([max(1, len(s)) for s in sets], dtype=np.float64))
-    between = (table.T.astype(np.float32) @ table.astype(np.float32)).astype(np.float64) / np.outer(norms, norms)
+    between = sum(part.T @ part for _, part in blocks(table, len(sets))).astype(np.float64) / np.outer(norms, norms)
     values, vectors = np.linalg.eigh(between)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])

@@ -388,6 +388,42 @@ def test_language_on_held_out_texts(sane):
     assert language.identify(docs.where("doc_id < 0")).count() == 0
 
 
+def test_language_table_in_blocks_gives_the_same_kernel(monkeypatch):
+    rng = np.random.default_rng(21)
+    landmarks = [language.present("".join(rng.choice(list("abcdé "), 200))) for _ in range(11)]
+    buckets = np.flatnonzero(np.any(landmarks, axis=0)).astype(np.int32)
+    dense = np.stack([x[buckets] for x in landmarks], axis=1)
+    norms = np.sqrt(dense.sum(axis=0).astype(float))
+    model = language.Model(["aa"], buckets, np.packbits(dense, axis=1), norms, np.ones((11, 1)), np.zeros(1))
+    texts = ["abc", "é" * 50, "".join(rng.choice(list("abcdé "), 100_000)), "zzz"] * 40
+    sets = [language.present(t) for t in texts]
+    want = np.array([[(x & y).sum() / np.sqrt(max(1, x.sum()) * y.sum()) for y in landmarks] for x in sets[:4]])
+    whole = language.Scorer(model).kernel(texts)
+    monkeypatch.setattr(language, "BLOCK_CELLS", 100)
+    parts = language.Scorer(model).kernel(texts)
+    assert np.array_equal(whole, parts) and np.allclose(whole[:4], want) and np.array_equal(whole[:4], whole[-4:])
+
+
+def test_language_learns_from_repeated_rows_once(sane):
+    docs = make(sane, ["the same text over and over"] * 500 + ["another text", "third text here"], ids=[1] * 500 + [4, 5])
+    seen = []
+    plain = language.materialize
+    language.materialize = lambda df, *a, **k: seen.append(plain(df, *a, **k)) or seen[-1]
+    try:
+        language.fit(language.learning_rows(docs, "doc_id"), sample=10)
+    finally:
+        language.materialize = plain
+    learned = [i for i in (1, 4, 5) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert seen[0].count() == len(learned)
+    many = make(sane, [f"text number {'abcdefgh'[i % 8]}{i}" for i in range(3000)])
+    language.materialize = lambda df, *a, **k: seen.append(plain(df, *a, **k)) or seen[-1]
+    try:
+        language.fit(language.learning_rows(many, "doc_id"), sample=25, landmarks=8)
+    finally:
+        language.materialize = plain
+    assert seen[1].count() == 25 and seen[1].select("n").distinct().count() == 25
+
+
 # ---------------------------------------------------------------- 7 pieces
 
 def test_viterbi_is_the_best_segmentation():
