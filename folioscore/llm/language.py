@@ -30,6 +30,7 @@ LENGTHS = (1, 2, 3, 4)
 UNKNOWN = "und"
 SHARPNESS = 6.0
 BLOCK_CELLS = 1 << 25   # n-grams times landmarks that are unpacked at once
+KEPT_CELLS = 1 << 27    # up to this many (half a gigabyte) a worker keeps its blocks unpacked
 BATCH = 128             # texts in one product
 SPARE = 4               # rows taken by their hash for each one that is needed
 _LETTER = re.compile(r"[^\W\d_]")
@@ -73,17 +74,22 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         cells = len(model.table) * len(model.norms)
-        self.whole = list(blocks(model.table, len(model.norms))) if cells <= BLOCK_CELLS else None      # unpacked once where it is one block
+        self.kept = list(blocks(model.table, len(model.norms))) if cells <= KEPT_CELLS else None
 
     def kernel(self, texts: list[str]) -> np.ndarray:
         m = self.model
         out = np.zeros((len(texts), len(m.norms)))
         for at in range(0, len(texts), BATCH):
-            found = [present(t) for t in texts[at:at + BATCH]]
-            size = np.array([max(1, np.count_nonzero(bits)) for bits in found], dtype=np.float64)
-            shared = np.zeros((len(found), len(m.norms)), dtype=np.float32)     # whole numbers, exact in any order
-            for rows, table in self.whole or blocks(m.table, len(m.norms)):
-                shared += np.stack([bits[m.buckets[rows]] for bits in found]).astype(np.float32) @ table
+            part = texts[at:at + BATCH]
+            found = np.zeros((len(part), len(m.buckets)), dtype=bool)
+            size = np.ones(len(part))
+            for i, text in enumerate(part):
+                bits = present(text)
+                found[i] = bits[m.buckets]
+                size[i] = max(1, np.count_nonzero(bits))
+            shared = np.zeros((len(part), len(m.norms)), dtype=np.float32)      # whole numbers, exact in any order
+            for rows, table in self.kept or blocks(m.table, len(m.norms)):
+                shared += found[:, rows].astype(np.float32) @ table
             out[at:at + BATCH] = shared / (np.sqrt(size)[:, None] * m.norms)
         return out
 

@@ -400,8 +400,10 @@ def test_language_table_in_blocks_gives_the_same_kernel(monkeypatch):
     want = np.array([[(x & y).sum() / np.sqrt(max(1, x.sum()) * y.sum()) for y in landmarks] for x in sets[:4]])
     whole = language.Scorer(model).kernel(texts)
     monkeypatch.setattr(language, "BLOCK_CELLS", 100)
+    kept = language.Scorer(model).kernel(texts)
+    monkeypatch.setattr(language, "KEPT_CELLS", 100)
     parts = language.Scorer(model).kernel(texts)
-    assert np.array_equal(whole, parts) and np.allclose(whole[:4], want) and np.array_equal(whole[:4], whole[-4:])
+    assert np.array_equal(whole, kept) and np.array_equal(whole, parts) and np.allclose(whole[:4], want) and np.array_equal(whole[:4], whole[-4:])
 
 
 def test_language_learns_from_repeated_rows_once(sane):
