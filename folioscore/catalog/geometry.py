@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folioscore.catalog import query
 from folioscore.catalog.labelling import COMPS, GRAY_BIN, gray_binary, labels_sql
 from folioscore.operators import bands as bd, components as cc, geometry as geo, stencil as st
+from folioscore.operators.bands import lines_of
 from folioscore.sources.derive import GRAY_SQL, PAGE_SQL, TEXT_GRAY_SQL, gray_rows, page_rows, text_gray_rows, with_sql
 
 SIZES = "sizes as materialized (select image_id, max(y)+1 h, max(x)+1 w from {src} group by 1)"
@@ -14,9 +17,18 @@ SIZES = "sizes as materialized (select image_id, max(y)+1 h, max(x)+1 w from {sr
 
 def row_sums(rows):
     """Per scanline: sum and position-weighted sum of the values."""
-    zero = F.lit(0).cast("long")
-    return rows.select("image_id", "y", F.aggregate("px", zero, lambda a, v: a + v).alias("total"), F.aggregate(
-        F.transform("px", lambda v, i: v.cast("long") * (i + 1)), zero, lambda a, v: a + v).alias("weighted"))
+    def run(batches):
+        for batch in batches:
+            values, offsets = lines_of(pa.chunked_array([batch.column(2)]))
+            place = np.arange(len(values)) - np.repeat(offsets[:-1], np.diff(offsets)) + 1
+
+            def sums(v: np.ndarray) -> pa.Array:
+                total = np.concatenate(([0], np.cumsum(v, dtype=np.int64)))
+                return pa.array(total[offsets[1:]] - total[offsets[:-1]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sums(values), sums(values * place)], ["image_id", "y", "total", "weighted"])
+    key = rows.schema["image_id"].dataType.simpleString()
+    place = rows.schema["y"].dataType.simpleString()
+    return rows.select("image_id", "y", F.col("px").cast("array<long>")).mapInArrow(run, f"image_id {key}, y {place}, total long, weighted long")
 
 
 ROW_SUMS = "select image_id, y, sum(v)::bigint total, sum(v*(x+1))::bigint weighted from {src} group by 1,2"
@@ -58,7 +70,7 @@ def resize(spark, sf):
   from comp c join sizes s using (image_id) where (c.w<s.w-20 or c.h<s.h-20) and area>=0.5*c.w*c.h) where r=1""")
 def find_page(spark, sf):
     rows = page_rows(spark, sf)
-    comp, _ = cc.connected_components(rows.withColumn("px", st.invert(F.col("px"))))
+    comp = cc.component_table(rows.withColumn("px", st.invert(F.col("px"))))
     return geo.find_page(comp, geo.page_sizes(rows)).drop("root")
 
 

@@ -51,8 +51,7 @@ COMPS = labels_sql("bin")
 
 
 def table(rows):
-    comp, _ = cc.connected_components(rows)
-    return comp.select(*COLS.split(","))
+    return cc.numbered_components(rows).select(*COLS.split(","))
 
 
 @query("C1_runs", with_sql(PAGE_SQL, runs_sql("page")) + """select image_id, count(*) runs, sum(x1-x0+1)::bigint ink,
