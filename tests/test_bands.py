@@ -109,3 +109,27 @@ def test_histogram_leaves_a_task_counted(pages):
     assert {(r["image_id"], r["v"]): r["n"] for r in ps.value_histogram(rows).collect()} == {
         (i, v): int((px == v).sum()) for i, px in made.items() for v in (0, 255) if (px == v).any()}
     assert ps.page_entropies(partial).where(F.col("bins") == 2).count() == len(made)
+
+
+@pytest.mark.parametrize("quad", [((2, 1), (27, 4), (25, 36), (0, 33)), ((28, 0), (29, 39), (3, 38), (0, 2)), ((0, 0), (29, 0), (20, 12), (5, 39))])
+def test_straightened_pages_equal_pixel_by_pixel(spark, quad):
+    """Every pixel is read from its four neighbours, whatever the height of bands; no task pairs scanlines."""
+    px = np.random.default_rng(4).integers(0, 256, (40, 30))
+    rows = spark.createDataFrame([(i, y, line.tolist()) for i in (1, 2) for y, line in enumerate(px)], SCHEMA)
+    at = [dict(zip("xy", p)) for p in quad]
+    quads = spark.createDataFrame([(1, *[(p["x"], p["y"]) for p in at])], "image_id long, " + ", ".join(
+        f"{n} struct<x:int,y:int>" for n in ("tl", "tr", "br", "bl")))
+    m = geo.homography(quads).first()
+    want = np.zeros_like(px)
+    for y in range(40):
+        for x in range(30):
+            u, v = x / 30, y / 40
+            z = m["hg"] * u + m["hh"] * v + 1
+            sx, sy = (m["ha"] * u + m["hb"] * v + m["hc"]) / z, (m["hd"] * u + m["he"] * v + m["hf"]) / z
+            x0, y0 = int(np.floor(sx)), int(np.floor(sy))
+            near = [[px[b, a] if 0 <= a < 30 and 0 <= b < 40 else 0 for a in (x0, x0 + 1)] for b in (y0, y0 + 1)]
+            lines = [a * (1 - (sx - x0)) + b * (sx - x0) for a, b in near]
+            want[y, x] = np.floor(lines[0] * (1 - (sy - y0)) + lines[1] * (sy - y0) + 0.5)
+    both = [(1, y, line.tolist()) for y, line in enumerate(want)] + [(2, y, line.tolist()) for y, line in enumerate(px)]
+    for height in (4, 256):
+        assert rows_of(geo.straighten(rows, quads, height)) == both
