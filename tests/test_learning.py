@@ -133,3 +133,21 @@ def test_programs_read_the_joined_rows_from_one_table(spark, tmp_path):
     split = learning.clean_split(spark, str(tmp_path))
     assert split.count() == 40
     assert not any("lineitem" in f or "orders" in f for f in split.inputFiles())
+
+
+def test_bagging_settings_share_their_draws(data, monkeypatch):
+    """One pass of draws per fold for all settings; scores are those of each setting fitted alone."""
+    folded = ev.kfold(data, "id", 2).cache()
+    settings = [{"base": b, "n_estimators": n, "max_features": 0.7} for b in ("Ridge", "Linear") for n in (3, 5)]
+    alone = []
+    for p in settings:
+        r2 = []
+        for f in (0, 1):
+            fitted = md.train(folded.where(F.col("fold") != f), COLS, "y", "id", "Bagging", p)
+            r2.append(md.predict(fitted, folded.where(F.col("fold") == f), "y").agg(ev.METRICS["R2"](F.col(ev.Y), F.col(ev.P))).first()[0])
+        alone.append(np.mean(r2))
+    calls, plain = [], ln.bootstrap_grams
+    monkeypatch.setattr(ln, "bootstrap_grams", lambda *a: calls.append(a[4:]) or plain(*a))
+    found = md.search(folded, COLS, "y", "id", {"Bagging": settings})
+    assert calls == [(5, 0)] * 2
+    assert [f[:2] for f in found] == [("Bagging", p) for p in settings] and np.allclose([f[2] for f in found], alone)
