@@ -133,3 +133,12 @@ def test_straightened_pages_equal_pixel_by_pixel(spark, quad):
     both = [(1, y, line.tolist()) for y, line in enumerate(want)] + [(2, y, line.tolist()) for y, line in enumerate(px)]
     for height in (4, 256):
         assert rows_of(geo.straighten(rows, quads, height)) == both
+
+
+def test_straightening_refuses_a_scanline_that_is_there_twice(spark):
+    rows = spark.createDataFrame([(1, y, [y] * 8) for y in (0, 1, 2, 2, 3, 4, 5)], SCHEMA)
+    point = "struct<x:int,y:int>"
+    quads = spark.createDataFrame([(1, {"x": 0, "y": 0}, {"x": 7, "y": 1}, {"x": 7, "y": 5}, {"x": 0, "y": 5})],
+                                  f"image_id long, tl {point}, tr {point}, br {point}, bl {point}")
+    with pytest.raises(Exception, match="scanline twice"):
+        geo.straighten(rows, quads).collect()
