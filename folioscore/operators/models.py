@@ -8,12 +8,12 @@ from itertools import product
 import numpy as np
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioscore.functions import unary_maps
-from folioscore.operators import evaluate as ev, kernel as kn, linear as ln
+from folioscore.operators import boosting as bo, evaluate as ev, kernel as kn, linear as ln
 from folioscore.operators.prefix import positions
 
 # --- fixed values: the searched settings ---
@@ -87,6 +87,12 @@ def _fit_trees(make: Callable[[dict], object]) -> Fit:
     return fit
 
 
+def _fit_boosted(settings: Callable[[dict], dict]) -> Fit:
+    def fit(scaled: DataFrame, columns: list[str], y: str, id_col: str, params: dict) -> list[Transformer]:
+        return [bo.boosted_trees(scaled, [f"z_{c}" for c in columns], y, **settings(params))]
+    return fit
+
+
 def _fit_bagging(scaled: DataFrame, columns: list[str], y: str, id_col: str, params: dict) -> list[Transformer]:
     """Average of linear members, each on a bootstrap draw and a share of the columns; one pass draws for all."""
     grams = ln.bootstrap_grams(scaled, [f"z_{c}" for c in columns], y, id_col, *_members(params))
@@ -117,25 +123,23 @@ MODELS: dict[str, Fit] = {
     "Linear": _fit_linear("Linear"), "Ridge": _fit_linear("Ridge"), "Elastic": _fit_linear("Elastic"),
     "SVR": _fit_svr, "Bagging": _fit_bagging,
     "Tree": _fit_trees(lambda p: DecisionTreeRegressor(maxDepth=int(p.get("max_depth", 5)), maxBins=64)),
-    "Boosting absolute": _fit_trees(lambda p: GBTRegressor(
-        lossType="absolute", maxIter=int(p.get("iterations", 300)), maxDepth=int(p.get("depth", 6)),
-        stepSize=float(p.get("learning_rate", 0.03)), seed=int(p.get("random_seed", 0)))),
-    "Boosting squared": _fit_trees(lambda p: GBTRegressor(
-        lossType="squared", maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 6)),
-        stepSize=float(p.get("learning_rate", 0.3)), subsamplingRate=float(p.get("subsample", 1.0)),
-        minInstancesPerNode=int(p.get("min_child_weight", 1)),
-        featureSubsetStrategy=str(p.get("colsample_bytree", "all")), seed=0)),
+    "Boosting absolute": _fit_boosted(lambda p: {
+        "absolute": True, "rounds": int(p.get("iterations", 300)), "depth": int(p.get("depth", 6)),
+        "rate": float(p.get("learning_rate", 0.03)), "seed": int(p.get("random_seed", 0))}),
+    "Boosting squared": _fit_boosted(lambda p: {
+        "absolute": False, "rounds": int(p.get("n_estimators", 100)), "depth": int(p.get("max_depth", 6)),
+        "rate": float(p.get("learning_rate", 0.3)), "share": float(p.get("subsample", 1.0)),
+        "least": int(p.get("min_child_weight", 1)), "per_node": str(p.get("colsample_bytree", "all"))}),
 }
 
 
-def _boosting(p: dict) -> GBTRegressor:
+def _boosting(p: dict) -> dict:
     """Boosted trees under the names of the searched settings."""
-    return GBTRegressor(lossType="absolute" if p.get("loss", "absolute_error") == "absolute_error" else "squared",
-                        maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 3)),
-                        stepSize=float(p.get("learning_rate", 0.1)), seed=0)
+    return {"absolute": p.get("loss", "absolute_error") == "absolute_error", "rounds": int(p.get("n_estimators", 100)),
+            "depth": int(p.get("max_depth", 3)), "rate": float(p.get("learning_rate", 0.1))}
 
 
-MODELS["Gradient Boosting"] = MODELS["Boosting"] = _fit_trees(_boosting)
+MODELS["Gradient Boosting"] = MODELS["Boosting"] = _fit_boosted(_boosting)
 
 
 def register_model(name: str, fit: Fit) -> None:
