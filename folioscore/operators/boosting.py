@@ -113,57 +113,68 @@ def _mixed(v: np.ndarray) -> np.ndarray:
 
 
 def drawn(key: np.ndarray, n: np.ndarray, share: float, tree: int) -> np.ndarray:
-    """How many of ``n`` equal rows (one, where n is empty) are in a tree's share."""
+    """How many of ``n`` equal rows (one, where n is empty) are in a tree's share; keys of 32 bits, hashed anew per tree."""
     if share >= 1:
         return n if len(n) else np.ones(len(key), dtype=np.int64)
     limit = np.uint64(int(share * 2.0 ** 64))
-    key = _mixed(key + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2 ** 64))
-    out = (key < limit).astype(np.int64)
+    factor, more = np.random.default_rng(tree).integers(0, 2 ** 64, 2, dtype=np.uint64) | np.array([1, 0], dtype=np.uint64)
+
+    def hit(k: np.ndarray) -> np.ndarray:
+        h = k.astype(np.uint64)
+        h *= factor
+        h += more
+        return h < limit
+    out = hit(key).astype(np.int64)
     for i in range(1, min(int(n.max(initial=1)), 64)):
-        more = np.flatnonzero(n > i)
-        out[more] += _mixed(key[more] + np.uint64(i)) < limit
+        some = np.flatnonzero(n > i)
+        out[some] += hit(_mixed(key[some].astype(np.uint64) + np.uint64(i << 32)) >> np.uint64(32))
     for i in np.flatnonzero(n > 64):
-        out[i] += np.random.default_rng(int(key[i])).binomial(int(n[i]) - 64, share)
+        out[i] += np.random.default_rng((tree, int(key[i]))).binomial(int(n[i]) - 64, share)
     return out
 
 
 def leaf_of(tree: Tree, codes: np.ndarray) -> np.ndarray:
     """Node that each cell ends in."""
-    node = np.zeros(codes.shape[1], dtype=np.int64)
-    at = np.arange(len(node))
-    while len(at):
-        feature = tree["feature"][node[at]]
-        inner = feature >= 0
-        at, feature = at[inner], feature[inner]
-        here = node[at]
-        node[at] = tree["left"][here] + (codes[feature, at] > tree["cut"][here])
+    inner, deep = tree["feature"] >= 0, np.zeros(len(tree["feature"]), dtype=int)
+    for i in np.flatnonzero(inner).tolist():
+        deep[tree["left"][i]:tree["left"][i] + 2] = deep[i] + 1
+    here = np.arange(len(inner))        # a leaf asks nothing and stays
+    width, flat = codes.shape[1], codes.ravel()
+    row = np.where(inner, tree["feature"], 0) * width
+    cut, left = np.where(inner, tree["cut"], 255), np.where(inner, tree["left"], here)
+    node, at = np.zeros(width, dtype=np.int64), np.arange(width)
+    for _ in range(int(deep.max())):
+        node = left.take(node) + (flat.take(row.take(node) + at) > cut.take(node))
     return node
 
 
-def _start(start: float, row) -> tuple:
-    """Rows as arrays; the key tells apart rows of different cells or targets."""
+def _start(share: float, row) -> tuple:
+    """Rows as arrays; the keys, for shares of rows, tell apart rows of different cells or targets."""
     first, y, n = np.frombuffer(row["first"], dtype=np.int64), np.frombuffer(row["y"]), np.frombuffer(row["n"], dtype=np.int64)
-    return np.frombuffer(row["codes"], dtype=np.uint8).reshape(-1, len(first)), first, y, n
+    codes, key = np.frombuffer(row["codes"], dtype=np.uint8).reshape(-1, len(first)), np.zeros(0, dtype=np.uint32)
+    if share < 1:
+        name = np.zeros(len(first), dtype=np.uint64)
+        for c in codes:
+            name = _mixed(name * np.uint64(257) + c.astype(np.uint64))
+        key = (_mixed(_mixed(y.view(np.uint64)) ^ np.repeat(name, np.diff(np.append(first, len(y))))) >> np.uint64(32)).astype(np.uint32)
+    return codes, first, y, n, key
 
 
 def _blank(start: float, rows: tuple) -> tuple:
-    codes, first, _, _ = rows
+    codes, first, *_ = rows
     return codes, np.full(len(first), start), None, None
 
 
 def _next(tree: Tree | None, rate: float, number: int, share: float, absolute: bool, pair: tuple) -> tuple:
     """The last tree added, and sums of the next one's targets: (places, prediction, rows, sum) by cell."""
-    (codes, first, y, n), (_, at, _, _) = pair
+    (codes, first, y, n, key), (_, at, _, _) = pair
     if tree is not None:
         at = at + rate * tree["value"][leaf_of(tree, codes)]
     sizes = np.diff(np.append(first, len(y)))
     miss = y - np.repeat(at, sizes)
     target = miss if number == 0 else np.where(miss < 0, -1.0, 1.0) if absolute else 2 * miss
     if share < 1:
-        name = np.zeros(len(first), dtype=np.uint64)
-        for c in codes:
-            name = _mixed(name * np.uint64(257) + c.astype(np.uint64))
-        n = drawn(_mixed(y.view(np.uint64)) ^ np.repeat(name, sizes), n, share, number)
+        n = drawn(key, n, share, number)
     weight = n if len(n) else np.ones(len(y))
     return codes, at, np.add.reduceat(weight.astype(float), first), np.add.reduceat(weight * target, first)
 
@@ -271,7 +282,7 @@ def boosted_trees(df: DataFrame, columns: list[str], y: str, rounds: int, depth:
     cells = usable.mapInArrow(partial(_codes, cuts), "cell binary, y double").groupBy("cell", "y").agg(F.count(F.lit(1)).alias("n"))
     pieces = cells.repartitionByRange(parts, "cell", "y").sortWithinPartitions("cell", "y").mapInArrow(
         partial(_pieces, len(columns)), "codes binary, first binary, y binary, n binary")
-    kept = pieces.rdd.map(partial(_start, start)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = pieces.rdd.map(partial(_start, share)).persist(StorageLevel.MEMORY_AND_DISK)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_root(spark))
     states, trees = kept.map(partial(_blank, start)), []

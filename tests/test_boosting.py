@@ -44,7 +44,7 @@ def test_a_tree_takes_few_jobs_whatever_the_rows(spark, table):
 
 
 def test_shares_are_drawn_by_row_and_agree(spark, table):
-    key = np.arange(1, 40_001, dtype=np.uint64)
+    key = np.random.default_rng(1).integers(0, 2**32, 40_000, dtype=np.uint32)
     one = bo.drawn(key, np.zeros(0, np.int64), 0.8, 3)
     assert abs(one.mean() - 0.8) < 0.01 and (one == bo.drawn(key, np.zeros(0, np.int64), 0.8, 3)).all()
     assert abs((one & bo.drawn(key, np.zeros(0, np.int64), 0.8, 4)).mean() - 0.64) < 0.01
