@@ -1,8 +1,8 @@
 """Boosted regression trees on whole tables, from histograms of cells.
 
 Trees only see between which cuts a value lies, so rows with the same places (a cell) share every prediction. Rows are
-dealt once, sorted by cell and target; targets stay in tasks, eight bytes a row, and are read once per tree. The levels of
-a tree read sums per cell, whose number is bounded by the cuts, not by the rows. The driver gets histograms alone.
+dealt once, sorted by cell and target; they stay in tasks with the prediction of each cell. A tree takes a job for every two
+levels: histograms of pairs of columns tell a node's cut and those of the nodes below it. The driver gets histograms alone.
 
 Trees, losses and cuts are those of Spark ML's ``GBTRegressor``: the first tree learns the target, each other one the
 negative gradient, times the rate; cuts come from about ``CUT_ROWS`` rows (all, if there are fewer). A tree's share of the
@@ -35,6 +35,8 @@ PARTITION_ROWS = 20_000     # a task more for each so many rows, up to the cores
 DEEP_ROWS = 4 << 20         # and beyond them, so that no partition has more
 HISTOGRAM_BYTES = 4 << 20   # histograms a task sends at once
 CUT_LINEAGE = 25            # trees between two checkpoints
+PAIR_COLUMNS = 5            # up to so many columns, one job gives two levels: no more pairs than twice the columns
+SMALL = 1 << 24             # up to so many rows, a count and a sum of signs share one float
 
 Tree = dict[str, np.ndarray]    # feature (-1: a leaf), cut (its number), left (right is next), value; by node, root first
 
@@ -148,8 +150,8 @@ def leaf_of(tree: Tree, codes: np.ndarray) -> np.ndarray:
     return node
 
 
-def _start(share: float, row) -> tuple:
-    """Rows as arrays; the keys, for shares of rows, tell apart rows of different cells or targets."""
+def _start(share: float, start: float, row) -> tuple:
+    """Rows as arrays, and the prediction of each cell; the keys, for shares of rows, tell apart rows of different cells or targets."""
     first, y, n = np.frombuffer(row["first"], dtype=np.int64), np.frombuffer(row["y"]), np.frombuffer(row["n"], dtype=np.int64)
     codes, key = np.frombuffer(row["codes"], dtype=np.uint8).reshape(-1, len(first)), np.zeros(0, dtype=np.uint32)
     if share < 1:
@@ -157,40 +159,54 @@ def _start(share: float, row) -> tuple:
         for c in codes:
             name = _mixed(name * np.uint64(257) + c.astype(np.uint64))
         key = (_mixed(_mixed(y.view(np.uint64)) ^ np.repeat(name, np.diff(np.append(first, len(y))))) >> np.uint64(32)).astype(np.uint32)
-    return codes, first, y, n, key
+    # a cell each: their places need not be told
+    return codes, first[:0] if len(first) == len(y) else first, y, n, key, np.full(len(first), start)
 
 
-def _blank(start: float, rows: tuple) -> tuple:
-    codes, first, *_ = rows
-    return codes, np.full(len(first), start), None, None
+def _next(tree: Tree, rate: float, rows: tuple) -> tuple:
+    """The rows, with a tree added to the predictions."""
+    *same, at = rows
+    return *same, at + rate * tree["value"][leaf_of(tree, same[0])]
 
 
-def _next(tree: Tree | None, rate: float, number: int, share: float, absolute: bool, pair: tuple) -> tuple:
-    """The last tree added, and sums of the next one's targets: (places, prediction, rows, sum) by cell."""
-    (codes, first, y, n, key), (_, at, _, _) = pair
-    if tree is not None:
-        at = at + rate * tree["value"][leaf_of(tree, codes)]
-    sizes = np.diff(np.append(first, len(y)))
-    miss = y - np.repeat(at, sizes)
+def _sums(number: int, share: float, absolute: bool, rows: tuple) -> tuple:
+    """Rows and sum of a tree's targets by cell."""
+    _, first, y, n, key, at = rows
+    miss = y - (np.repeat(at, np.diff(np.append(first, len(y)))) if len(first) else at)
     target = miss if number == 0 else np.where(miss < 0, -1.0, 1.0) if absolute else 2 * miss
     if share < 1:
         n = drawn(key, n, share, number)
-    weight = n if len(n) else np.ones(len(y))
-    return codes, at, np.add.reduceat(weight.astype(float), first), np.add.reduceat(weight * target, first)
-
-
-def _histograms(tree: Tree, low: int, high: int, bins: int, states: Iterator[tuple]) -> Iterator[np.ndarray]:
-    """Rows and sums by node (``low`` to ``high``), column and place."""
-    total = None
-    for codes, _, n, s in states:
-        node = leaf_of(tree, codes) - low
-        kept = slice(None) if low == 0 else np.flatnonzero((node >= 0) & (node < high - low))
-        node, n, s = node[kept] * bins, n[kept], s[kept]
-        size = (high - low) * bins
-        out = np.stack([[np.bincount(node + c[kept], v, size) for c in codes] for v in (n, s)])
+    weight = n.astype(float) if len(n) else np.ones(len(y))
+    target = weight * target if len(n) else target
+    return (np.add.reduceat(weight, first), np.add.reduceat(target, first)) if len(first) else (weight, target)
+
+
+def _histograms(tree: Tree, low: int, high: int, pairs: bool, number: int, share: float, absolute: bool,
+                states: Iterator[tuple]) -> Iterator[np.ndarray]:
+    """Rows and sums by node (``low`` to ``high``) and, for each column or pair of columns, place (of the first, of the second)."""
+    total, bins = None, BINS * BINS if pairs else BINS
+    size = (high - low) * bins
+    for rows in states:
+        codes, (n, s) = rows[0], _sums(number, share, absolute, rows)
+        if low or high > 1:
+            node = leaf_of(tree, codes) - low
+            kept = np.flatnonzero((node >= 0) & (node < high - low))
+            if len(kept) < len(node):
+                node, n, s, codes = node[kept], n[kept], s[kept], codes[:, kept]
+            node *= bins
+        else:
+            node = np.int16(0)
+        wide = codes.astype(np.int16)
+        keys = ([wide[i] * np.int16(BINS) + wide[j] for i in range(len(wide)) for j in range(i)] if pairs else wide)
+        both = absolute and number > 0 and n.sum() < SMALL      # whole numbers, and so small that one holds two
+        values = [n * (4.0 * SMALL) + s] if both else [n, s]
+        out = np.stack([[np.bincount(node + k, v, size) for k in keys] for v in values])
+        if both:
+            rows_in = np.round(out[0] / (4.0 * SMALL))
+            out = np.stack([rows_in, out[0] - rows_in * (4.0 * SMALL)])
         total = out if total is None else total + out
     if total is not None:
-        yield total.reshape(2, len(total[0]), high - low, bins)
+        yield total.reshape(2, len(total[0]), high - low, *([BINS, BINS] if pairs else [BINS]))
 
 
 # ------------------------------------------------------------------ trees
@@ -206,43 +222,84 @@ def best_cut(n: np.ndarray, s: np.ndarray, least: int, columns: np.ndarray) -> t
     whole = total ** 2 / max(rows, 1)
     if not gain.size or not gain.max() > whole * (1 + 1e-12) + 1e-300:
         return None
-    j, k = np.unravel_index(int(gain.argmax()), gain.shape)
+    # the first of equal gains, whatever the order that sums were made in
+    j, k = np.unravel_index(int((gain >= gain.max() * (1 - 1e-11)).argmax()), gain.shape)
     return int(columns[j]), int(k), left[columns[j], k], sums[columns[j], k]
 
 
-def grow(states: RDD, depth: int, least: int, width: int, columns: int, seed: int) -> Tree:
-    """One tree, level by level: a job each, or more where a level's histograms are large."""
+def _margins(pairs: np.ndarray, columns: int) -> np.ndarray:
+    """(rows and sums, column, place) from the pairs of one node."""
+    place = {(i, j): k for k, (i, j) in enumerate((i, j) for i in range(columns) for j in range(i))}
+    return np.stack([pairs[:, place[1, 0]].sum(1) if c == 0 else pairs[:, place[c, 0]].sum(2) for c in range(columns)], axis=1)
+
+
+def _below(pairs: np.ndarray, columns: int, column: int, cut: int) -> list[np.ndarray]:
+    """The same for the two nodes that a cut makes."""
+    whole, out = _margins(pairs, columns), []
+    place = {(i, j): k for k, (i, j) in enumerate((i, j) for i in range(columns) for j in range(i))}
+    for side in (slice(None, cut + 1), slice(cut + 1, None)):
+        own = np.zeros_like(whole)
+        own[:, column, side] = whole[:, column, side]
+        for c in range(columns):
+            if c < column:
+                own[:, c] = pairs[:, place[column, c], side].sum(1)
+            elif c > column:
+                own[:, c] = pairs[:, place[c, column], :, side].sum(2)
+        out.append(own)
+    return out
+
+
+def grow(states: RDD, depth: int, least: int, width: int, columns: int, seed: int, target: tuple) -> Tree:
+    """One tree: a job for two levels where histograms of pairs of columns are small, else for one; more where a level's are large.
+
+    ``target``: number of the tree, share of the rows, absolute loss.
+    """
     feature, cut, left, value = [-1], [0], [0], [0.0]
     rng = np.random.default_rng(seed)
 
     def tree() -> Tree:
         return {"feature": np.array(feature), "cut": np.array(cut), "left": np.array(left), "value": np.array(value)}
 
-    low, step = 0, max(1, HISTOGRAM_BYTES // (16 * columns * BINS))
-    for _ in range(depth):
+    def split(node: int, n: np.ndarray, s: np.ndarray) -> bool:
+        some = np.arange(columns) if width == columns else np.sort(rng.choice(columns, width, replace=False))
+        got = best_cut(n, s, least, some)
+        if node == 0 and n[0].sum() > 0:
+            value[0] = float(s[0].sum() / n[0].sum())
+        if got is None:
+            return False
+        feature[node], cut[node], rows, total = got
+        left[node] = len(feature)
+        own, all_of = n[0].sum(), s[0].sum()
+        for v in (total / rows, (all_of - total) / (own - rows)):
+            feature.append(-1)
+            cut.append(0)
+            left.append(0)
+            value.append(float(v))
+        return True
+
+    def found(now: Tree, a: int, b: int, pairs: bool) -> np.ndarray:
+        return sum(states.mapPartitions(partial(_histograms, now, a, b, pairs, *target)).collect())
+
+    low, level, step = 0, 0, max(1, HISTOGRAM_BYTES // (16 * columns * BINS))
+    two = HISTOGRAM_BYTES // (8 * columns * (columns - 1) * BINS * BINS) if 2 <= columns <= PAIR_COLUMNS else 0
+    while level < depth and low < len(feature):
         now, high = tree(), len(feature)
-        for a in range(low, high, step):
-            b = min(a + step, high)
-            found = states.mapPartitions(partial(_histograms, now, a, b, BINS)).collect()
-            n, s = sum(found)
-            if a == 0 and n[0].sum() > 0:
-                value[0] = float(s[0].sum() / n[0].sum())
-            for node in range(a, b):
-                some = np.arange(columns) if width == columns else np.sort(rng.choice(columns, width, replace=False))
-                got = best_cut(n[:, node - a], s[:, node - a], least, some)
-                if got is None:
-                    continue
-                feature[node], cut[node], rows, total = got
-                left[node] = len(feature)
-                own, all_of = n[0, node - a].sum(), s[0, node - a].sum()
-                for v in (total / rows, (all_of - total) / (own - rows)):
-                    feature.append(-1)
-                    cut.append(0)
-                    left.append(0)
-                    value.append(float(v))
-        low = high
-        if len(feature) == high:
-            break
+        if high - low <= two and level + 1 < depth:
+            sums, children = found(now, low, high, True), []
+            for node in range(low, high):
+                pairs = sums[:, :, node - low]
+                if split(node, *_margins(pairs, columns)):
+                    children += _below(pairs, columns, feature[node], cut[node])
+            low, high = high, len(feature)
+            for node, own in zip(range(low, high), children):
+                split(node, *own)
+            level += 1
+        else:
+            for a in range(low, high, step):
+                n, s = found(now, a, min(a + step, high), False)
+                for node in range(a, min(a + step, high)):
+                    split(node, n[:, node - a], s[:, node - a])
+        low, level = high, level + 1
     return tree()
 
 
@@ -282,21 +339,21 @@ def boosted_trees(df: DataFrame, columns: list[str], y: str, rounds: int, depth:
     cells = usable.mapInArrow(partial(_codes, cuts), "cell binary, y double").groupBy("cell", "y").agg(F.count(F.lit(1)).alias("n"))
     pieces = cells.repartitionByRange(parts, "cell", "y").sortWithinPartitions("cell", "y").mapInArrow(
         partial(_pieces, len(columns)), "codes binary, first binary, y binary, n binary")
-    kept = pieces.rdd.map(partial(_start, share)).persist(StorageLevel.MEMORY_AND_DISK)
+    states, trees = pieces.rdd.map(partial(_start, share, start)).persist(StorageLevel.MEMORY_AND_DISK), []
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_root(spark))
-    states, trees = kept.map(partial(_blank, start)), []
     for number in range(rounds):
-        last = trees[-1] if trees else None
-        new = kept.zip(states).map(partial(_next, last, 1.0 if number == 1 else rate, number, share, absolute))
-        new.persist(StorageLevel.MEMORY_AND_DISK)
-        if number % CUT_LINEAGE == CUT_LINEAGE - 1:
-            new.checkpoint()
-        trees.append(grow(new, depth, least, width, len(columns), seed + number))
-        states.unpersist()
+        if number:
+            new = states.map(partial(_next, trees[-1], 1.0 if number == 1 else rate)).persist(StorageLevel.MEMORY_AND_DISK)
+            if number % CUT_LINEAGE == CUT_LINEAGE - 1:
+                new.checkpoint()
+        else:
+            new = states
+        trees.append(grow(new, depth, least, width, len(columns), seed + number, (number, share, absolute)))
+        if number:
+            states.unpersist()
         states = new
     states.unpersist()
-    kept.unpersist()
     flat = []
     for t in trees:
         cut = [float(cuts[f][k]) if f >= 0 else 0.0 for f, k in zip(t["feature"].tolist(), t["cut"].tolist())]

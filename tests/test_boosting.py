@@ -74,3 +74,18 @@ def test_refused_targets_and_settings(spark, table):
             md.train(table, X, "y", "id", "Boosting", bad)
     constant = md.train(table.withColumn("y", F.lit(2.5)), X, "y", "id", "Boosting", {"n_estimators": 3, "loss": "squared_error"})
     assert constant.transform(table).where("abs(prediction - 2.5) > 1e-12").count() == 0
+
+
+def test_two_levels_take_one_job(spark, table, monkeypatch):
+    sc = spark.sparkContext
+
+    def fit(**more):
+        return bo.boosted_trees(table.union(table.where("id % 3 = 0")), X, "y", 8, 5, 0.1, **{"absolute": True, **more})
+    sc.setJobGroup("two levels", "")
+    got = [fit(), fit(absolute=False, share=0.7, per_node="onethird", least=3)]
+    jobs = len(sc.statusTracker().getJobIdsForGroup("two levels"))
+    sc.setJobGroup("", "")
+    assert jobs <= 2 * (8 * 3 + 15)
+    monkeypatch.setattr(bo, "PAIR_COLUMNS", 0)      # a level each
+    for a, b in zip(got, [fit(), fit(absolute=False, share=0.7, per_node="onethird", least=3)]):
+        assert np.allclose(sum(a.getOrDefault("trees"), []), sum(b.getOrDefault("trees"), []), rtol=1e-9, atol=1e-12)
