@@ -7,11 +7,12 @@ weights are exact: what the seen words leave over, by what their lower probabili
 share one unknown class, which gets the unigram mass left over. A text starts in a context of start marks and ends with an
 end token.
 
-Grams below the highest order are counted into a table partitioned by order (context, word, count), their contexts' totals and
-weights into others; a token backs off through them by joins, order by order. Words are 64-bit hashes, contexts hashes of
-theirs. The most frequent words (at most FREQUENT, whatever the corpus) are numbered in a table that every task has. Grams of
-the highest order are sorted, packed and dealt by context; very frequent contexts are dealt by gram. What depends on the
-discounts is kept as counts, so these grams are shuffled and read once; only tokens whose gram is new are looked up below.
+Every order of a token's gram ends in the same word before it, so tokens are dealt by that word: a bucket has the grams, contexts
+and weights of all orders above the first whole. Very frequent contexts are dealt by a word more (hot ones; the words of the gram at last).
+Tokens are packed and shuffled once; a first pass over the buckets counts the counts that discounts come from, a second scores.
+The most frequent words (at most FREQUENT, whatever the corpus) are numbered in a table that every task has. What a bucket has only
+a part of (counts of other words, and of grams of hot contexts) is summed by word between the passes and sent back to the buckets.
+Words are 64-bit hashes, contexts hashes of theirs.
 
 Defined cases: a null text is empty and consists of the end token; texts of any length are scored whole; rows with a null id are learned from and not held out; without training rows base_score uses
 c = N = V = 0 and score is 0 (one class); equal ids are scored row by row; extra columns are ignored.
@@ -19,7 +20,6 @@ c = N = V = 0 and score is 0 (one class); equal ids are scored row by row; extra
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +28,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize, scratch_path
-from .common import BASE, body_parts, bound_batches, fresh_key, mix64, once, slices, text_bytes, words
+from ..session import materialize
+from .common import BASE, body_parts, bound_batches, fresh_key, mix64, null_free, once, slices, text_bytes, words
 
 ORDER = 3
 K = 5
@@ -37,9 +37,11 @@ RESERVE = 0.05
 FREQUENT = 1 << 20
 FLUSH_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
+HOT_SHARE = 4               # a context with more than this part (one in so many) of a bucket's tokens is hot
+SEEN_SHARE = 20_000         # contexts of several words are counted where a flush has one in so many of them
 START, END = np.uint64(0x51A27), np.uint64(0xE2D)      # keys of the start context and the end token
-OUT = ("kind string, k1 long, k2 long, flush long, doc int, n long, m long, f double, counts array<long>, blob binary")
-GRAMS = "level int, ctx long, low long, w long, c long"
+OUT = "kind string, k1 long, flush long, n long, sums array<double>, blob binary"
+WORDS = "level int, key long, low long, c long"
 
 
 def held_out(id_col: str):
@@ -85,40 +87,50 @@ def _contexts(before: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """GRAMS rows of the training tokens for orders 1 .. order - 1; (id, body) rows. ``low`` is the context without its first word."""
+def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, a place of each, and the number of each element's value."""
+    by = np.argsort(x)
+    there = x[by]
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = there[1:] != there[:-1]
+    number = np.empty(len(x), dtype=np.int64)
+    number[by] = np.cumsum(new) - 1
+    return there[new], by[new], number
+
+
+def count_words(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """WORDS rows of the training tokens: words (level 1), and contexts of 2 .. order - 1 words that are frequent in a flush; (id, body) rows.
+
+    ``low`` is the context without its first word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        waiting, size = [], 0
+        found, large, waiting, size = [], 0, [], 0
 
-        def rows(level, c, **columns):
+        def rows(level, key, low, c):
             for at in range(0, len(c), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                n = len(c[part])
-                yield pa.RecordBatch.from_pydict({
-                    "level": pa.array(np.full(n, level, dtype=np.int32)),
-                    **{k: pa.array(v[part].view(np.int64)) if v is not None else pa.array(np.zeros(n, dtype=np.int64))
-                       for k, v in columns.items()}, "c": pa.array(c[part].astype(np.int64))})
-
-        def fold():
-            nonlocal keys, counts
-            k, c = np.unique(np.concatenate([w[0] for w in waiting]), return_counts=True)
-            u, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-            total = np.zeros(len(u), dtype=np.int64)
-            np.add.at(total, at, np.concatenate([counts, c]))
-            keys, counts = u, total
-
-        def higher():
-            """Grams of two words and more, counted within the flush."""
-            if order < 3:
-                return
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(c[part]), level, dtype=np.int32)), pa.array(key[part].view(np.int64)),
+                     pa.array(low[part].view(np.int64)), pa.array(c[part].astype(np.int64))], ["level", "key", "low", "c"])
+
+        def flush():
+            nonlocal large
             token = np.concatenate([w[0] for w in waiting])
-            contexts = _contexts(_before(token, np.concatenate([w[1] for w in waiting]), order - 1))
+            found.append(np.unique(token, return_counts=True))
+            large += len(found[-1][0])
+            contexts = _contexts(_before(token, np.concatenate([w[1] for w in waiting]), order))
             for level in range(2, order):
-                _, first, c = np.unique(joined(contexts[level - 2], token), return_index=True, return_counts=True)
-                yield from rows(level, c, ctx=contexts[level - 2][first], low=contexts[level - 3][first] if level > 2 else None,
-                                w=token[first])
+                key, c = np.unique(contexts[level - 1], return_counts=True)
+                key, c = (x[c >= max(20, len(token) // SEEN_SHARE)] for x in (key, c))
+                first = np.flatnonzero(np.isin(contexts[level - 1], key))
+                _, at = np.unique(contexts[level - 1][first], return_index=True)
+                yield from rows(level, key, contexts[level - 2][first[at]], c)
+
+        def counted():
+            keys, _, at = _unique(np.concatenate([k for k, _ in found]))
+            c = np.bincount(at, np.concatenate([c for _, c in found]), len(keys)).astype(np.int64)
+            yield from rows(1, keys, np.zeros_like(keys), c)
 
         for whole in batches:
             for batch in slices(whole):
@@ -126,27 +138,17 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 waiting.append((token, n))
                 size += len(token)
                 if size >= FLUSH_TOKENS:
-                    yield from higher()
-                    fold()
+                    yield from flush()
                     waiting, size = [], 0
-                    if len(keys) > 1_500_000:
-                        yield from rows(1, counts, ctx=None, low=None, w=keys)
-                        keys, counts = keys[:0], counts[:0]
+                    if large > 2_000_000:
+                        yield from counted()
+                        found, large = [], 0
         if waiting:
-            yield from higher()
-            fold()
-        yield from rows(1, counts, ctx=None, low=None, w=keys)
+            yield from flush()
+        if found:
+            yield from counted()
 
-    return docs.mapInArrow(run, GRAMS).groupBy("level", "ctx", "low", "w").agg(F.sum("c").alias("c"))
-
-
-def store_grams(docs: DataFrame, order: int) -> DataFrame:
-    """The counted grams as a table partitioned by order."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "grams")
-    # in order of context, whose hashes then take next to no room
-    count_grams(docs, order).sortWithinPartitions("level", "ctx").write.partitionBy("level").parquet(path, compression="zstd")
-    return spark.read.schema("ctx long, low long, w long, c long, level int").parquet(path)
+    return docs.mapInArrow(run, WORDS).groupBy("level", "key", "low").agg(F.sum("c").alias("c"))
 
 
 def discounts(n: dict[int, int]) -> list[float]:
@@ -162,35 +164,41 @@ def discounts(n: dict[int, int]) -> list[float]:
 
 
 class Counts:
-    """Unigram side of the model: frequent words by number, totals, and probabilities by count."""
+    """Unigram side of the model: frequent words by number (the more frequent, the smaller), totals, and the hot contexts."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, of_counts: dict[int, int], docs: int):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order]
+        by = np.lexsort((keys, -counts))
+        self.keys, self.counts = keys[by], counts[by]
+        self.place = np.argsort(self.keys)
+        self.names = self.keys[self.place]
         self.tokens, self.kinds, self.docs = tokens, kinds, docs
         self.d = np.array([0.0, *discounts(of_counts)])
-        kept = sum(self.kept(np.array([r]))[0] * n for r, n in of_counts.items())
-        self.unknown = max(1.0 - kept / tokens, 1e-12) if tokens else 1.0
-        self.heavy, self.heavy_totals = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        left = sum(kept(np.array([r]), self.d)[0] * n for r, n in of_counts.items())
+        self.unknown = max(1.0 - left / tokens, 1e-12) if tokens else 1.0
+        self.hot, self.words_of, self.lower = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def heavy_at(self, context: np.ndarray) -> np.ndarray:
-        """Places of very frequent contexts in ``heavy``, -1 for others."""
-        at = np.minimum(np.searchsorted(self.heavy, context), len(self.heavy) - 1)
-        return np.where(self.heavy[at] == context, at, -1)
+    def hot_at(self, context: np.ndarray) -> np.ndarray:
+        """Numbers of hot contexts, -1 for others."""
+        if not len(self.hot):
+            return np.full(len(context), -1, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hot, context), len(self.hot) - 1)
+        return np.where(self.hot[at] == context, at, -1)
 
-    def kept(self, r: np.ndarray) -> np.ndarray:
-        """Discounted counts."""
-        return np.where(r <= K, r * self.d[np.minimum(r, K)], r - RESERVE)
+    def probability(self, c: np.ndarray) -> np.ndarray:
+        return np.where(c > 0, kept(c, self.d) / max(self.tokens, 1), self.unknown)
 
     def base(self, r):
         return np.log10((r + 0.1) / (self.tokens + 0.1 * (self.kinds + 1)))
 
     def number(self, key: np.ndarray) -> np.ndarray:
         """Numbers of frequent words, -1 for others."""
-        if not len(self.keys):
-            return np.full(len(key), -1, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, at, -1)
+        at = np.minimum(np.searchsorted(self.names, key), len(self.names) - 1)
+        return np.where(self.names[at] == key, self.place[at], -1)
+
+
+def kept(r: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Discounted counts; ``d``: factors of the counts 0 .. K."""
+    return np.where(r <= K, r * d[np.minimum(r, K)], r - RESERVE)
 
 
 def load_counts(table: DataFrame, docs: int) -> Counts:
@@ -203,25 +211,46 @@ def load_counts(table: DataFrame, docs: int) -> Counts:
             break
         least = c
     top = table.where(F.col("c") >= least).toArrow()
-    keys = top.column("w").to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, dtype=np.uint64)
+    keys = top.column("key").to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, dtype=np.uint64)
     counts = top.column("c").to_numpy() if top.num_rows else np.zeros(0, dtype=np.int64)
     return Counts(np.append(keys, START), np.append(counts, 0), sum(c * n for c, n in by_count.items()), sum(by_count.values()),
                   by_count, docs)
 
 
+def find_hot(found: DataFrame, model: Counts, buckets: int) -> None:
+    """Adds the contexts that more than a part of a bucket's tokens stand after, and whose shorter ones are such too."""
+    least = model.tokens // (HOT_SHARE * buckets)
+    level, key, low, count = (c.to_numpy() for c in found.where((F.col("c") > least) & (F.col("level") > 0)).select(
+        "level", "key", "low", "c").toArrow().combine_chunks().columns)
+    key, low = key.view(np.uint64), low.view(np.uint64)
+    chosen = {1: key[(level == 1) & (key != END)]}
+    if model.docs > least:
+        chosen[1] = np.append(chosen[1], START)
+    lows = {1: np.zeros(len(chosen[1]), dtype=np.uint64)}
+    for size in range(2, int(level.max(initial=1)) + 1):
+        of = (level == size) & np.isin(low, chosen[size - 1])
+        chosen[size], lows[size] = key[of], low[of]
+    keys = np.concatenate([*chosen.values()])
+    by = np.argsort(keys)
+    model.hot = keys[by]
+    model.words_of = np.concatenate([np.full(len(k), size) for size, k in chosen.items()])[by]
+    model.lower = np.where(model.words_of > 1, np.searchsorted(model.hot, np.concatenate([*lows.values()])[by]), -1)
+
+
 def _row(**columns) -> pa.RecordBatch:
     """One OUT batch; missing columns are null."""
     n = len(next(iter(columns.values())))
-    kinds = {"kind": pa.string(), "k1": pa.int64(), "k2": pa.int64(), "flush": pa.int64(), "doc": pa.int32(), "n": pa.int64(),
-             "m": pa.int64(), "f": pa.float64(), "counts": pa.list_(pa.int64()), "blob": pa.binary()}
+    kinds = {"kind": pa.string(), "k1": pa.int64(), "flush": pa.int64(), "n": pa.int64(), "sums": pa.list_(pa.float64()), "blob": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(columns[c], type=t) if c in columns else pa.nulls(n, t) for c, t in kinds.items()],
                                       list(kinds))
 
 
 def _press(*arrays: np.ndarray) -> bytes:
+    """Arrays packed by the places of their bytes: high bytes of small numbers take next to no room."""
     import zstandard
-    raw = b"".join(np.array([len(a), "ilBQ".index({"int32": "i", "int64": "l", "uint8": "B", "uint64": "Q"}[a.dtype.name])],
-                            dtype=np.int64).tobytes() + a.tobytes() for a in arrays)
+    kinds = {"int32": 0, "int64": 1, "uint64": 2, "float64": 3}
+    raw = b"".join(np.array([len(a), kinds[a.dtype.name]], dtype=np.int64).tobytes()
+                   + a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in map(np.ascontiguousarray, arrays))
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
@@ -229,15 +258,16 @@ def _unpress(blob: bytes) -> list[np.ndarray]:
     import zstandard
     raw, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
     while at < len(raw):
-        n, kind = np.frombuffer(raw, dtype=np.int64, count=2, offset=at)
-        dtype = (np.int32, np.int64, np.uint8, np.uint64)[kind]
-        out.append(np.frombuffer(raw, dtype=dtype, count=n, offset=at + 16))
-        at += 16 + out[-1].nbytes
+        n, kind = (int(x) for x in np.frombuffer(raw, dtype=np.int64, count=2, offset=at))
+        dtype = np.dtype((np.int32, np.int64, np.uint64, np.float64)[kind])
+        planes = np.frombuffer(raw, dtype=np.uint8, count=n * dtype.itemsize, offset=at + 16).reshape(dtype.itemsize, n)
+        out.append(planes.T.copy().view(dtype).ravel() if n else np.zeros(0, dtype))
+        at += 16 + planes.size
     return out
 
 
 def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFrame:
-    """Map side: per flush a packed row of sorted grams for each bucket, the documents of the flush, and rare words."""
+    """Map side: per flush a packed row of tokens, with the words before them, for each bucket, and the documents of the flush."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = once(key, lambda: shared.value)
@@ -249,49 +279,51 @@ def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFr
             flush = (part << 24) + number
             number += 1
             token = np.concatenate([w[0] for w in waiting])
-            shift = np.cumsum([0, *(len(w[2]) for w in waiting)])
-            doc = np.concatenate([w[1] + s for w, s in zip(waiting, shift, strict=False)])
-            n = np.concatenate([w[2] for w in waiting])
-            ids = pa.concat_arrays([w[3] for w in waiting])
-            held = np.concatenate([w[4] for w in waiting])
-            word = model.number(token)
-            known = np.where(word >= 0, model.counts[np.maximum(word, 0)] if len(model.counts) else 0, 0)
-            base = np.bincount(doc, np.where(word >= 0, model.base(known), 0.0), len(n))
+            n = np.concatenate([w[1] for w in waiting])
+            ids = pa.concat_arrays([w[2] for w in waiting])
+            held = np.concatenate([w[3] for w in waiting])
+            doc = np.repeat(np.arange(len(n), dtype=np.int32), n)
+            names, _, at = _unique(token)
+            word = model.number(names)[at].astype(np.int32)
+            first = model.number(np.array([START]))[0]
+            base = np.bincount(doc, np.where(word >= 0, model.base(model.counts[word]), 0.0), len(n))
             hits = np.bincount(doc, word >= 0, len(n)).astype(np.int64)
-            yield _row(kind=["d"] * len(n), k1=np.full(len(n), flush % buckets), k2=ids, flush=np.full(len(n), flush), n=n, m=hits,
-                       doc=np.arange(len(n), dtype=np.int32), f=base, counts=[[int(h)] for h in held])
-            # words outside the frequent table
-            rare = np.flatnonzero(word < 0)
-            if len(rare):
-                key2 = np.stack([token[rare].view(np.int64), doc[rare]], axis=1)
-                pairs, times = np.unique(key2, axis=0, return_counts=True) if len(key2) < 1000 else _pairs(key2)
-                for at in range(0, len(pairs), 1 << 16):
-                    p = pairs[at:at + (1 << 16)]
-                    yield _row(kind=["x"] * len(p), k1=np.full(len(p), flush % buckets), k2=p[:, 0], flush=np.full(len(p), flush),
-                               doc=p[:, 1].astype(np.int32), n=times[at:at + (1 << 16)], m=np.zeros(len(p), dtype=np.int64))
-            before = _before(token, n, order)
-            numbers = [model.number(x) for x in before]
-            context = _contexts(before)[-1]
-            spread = mix64(context)
-            hot = model.heavy_at(context) >= 0
-            spread[hot] ^= mix64(token[hot] + np.uint64(77))
-            bucket = (spread % np.uint64(buckets)).astype(np.int64)
-            by = np.lexsort((doc, word, *numbers[::-1], bucket))
-            edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            bits = np.packbits(held)
+            yield _row(kind=["d"], k1=[flush % buckets], flush=[flush], n=[len(n)], blob=[_press(
+                null_free(ids), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int32), n, hits, held.astype(np.int32), base)])
+            before, place = _before(token, n, order), np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+            numbers = []
+            for back in range(1, order):
+                prior = np.full_like(word, first)
+                prior[back:] = word[:-back]
+                prior[place < back] = first
+                numbers.append(prior)
+            contexts = _contexts(before)
+            spread = mix64(contexts[0])
+            hot = np.flatnonzero(model.hot_at(contexts[0]) >= 0)
+            for longer in [*contexts[1:], None]:
+                spread[hot] = mix64(joined(contexts[-1][hot], token[hot]) if longer is None else longer[hot])
+                if longer is not None:
+                    hot = hot[model.hot_at(longer[hot]) >= 0]
+            bucket = spread % np.uint64(buckets)
+            sort = bucket << np.uint64(42)
+            for shift, x in zip((21, 0), numbers):
+                sort |= (x + 1).astype(np.uint64) << np.uint64(shift)
+            by = np.argsort(sort)
+            edges = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
+            marked = doc * np.int32(2) + held[doc].astype(np.int32)
             for b in range(buckets):
                 at = by[edges[b]:edges[b + 1]]
                 if not len(at):
                     continue
                 packed = []
                 for keys, number_of in ((token, word), *zip(before, numbers, strict=True)):
-                    packed += [number_of[at].astype(np.int32), keys[at][number_of[at] < 0]]
-                yield _row(kind=["p"], k1=[b], flush=[flush], n=[len(n)], blob=[_press(doc[at].astype(np.int32), bits, *packed)])
+                    packed += [number_of[at], keys[at][number_of[at] < 0]]
+                yield _row(kind=["p"], k1=[b], flush=[flush], n=[len(n)], blob=[_press(marked[at], *packed)])
 
         for whole in batches:
             for batch in slices(whole):
-                token, row, n = _tokens(batch)
-                waiting.append((token, row, n, batch.column("id"), batch.column("held").to_numpy(zero_copy_only=False)))
+                token, _, n = _tokens(batch)
+                waiting.append((token, n, batch.column("id"), batch.column("held").to_numpy(zero_copy_only=False)))
                 size += len(token)
                 if size >= FLUSH_TOKENS:
                     yield from out()
@@ -302,190 +334,188 @@ def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFr
     return docs.mapInArrow(run, OUT)
 
 
-def _pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows of a two-column array and how often each comes."""
-    key = key[np.lexsort((key[:, 1], key[:, 0]))]
-    new = np.ones(len(key), dtype=bool)
-    new[1:] = (key[1:] != key[:-1]).any(axis=1)
-    first = np.flatnonzero(new)
-    return key[first], np.diff(np.append(first, len(key)))
+class Bucket:
+    """Tokens of one bucket: their words, contexts of 1, 2 .. words, documents (numbered through the bucket), and whether one learns from them."""
 
-
-def _reduce(key: str, shared, order: int):
-    """One bucket: counts per context, what each document's tokens find, and tokens not seen in training."""
-
-    def run(group: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = once(key, lambda: shared.value)
-        parts, flushes, docs_in = [], [], []
-        for batch in batches:
-            rest = batch.filter(pc.not_equal(batch.column("kind"), "p"))
-            if rest.num_rows:
-                yield rest.drop_columns(["buckets"])
-            for row in batch.filter(pc.equal(batch.column("kind"), "p")).select(["flush", "n", "blob"]).to_pylist():
-                parts.append(_unpress(row["blob"]))
-                flushes.append(row["flush"])
-                docs_in.append(row["n"])
-        if not parts:
-            return
+    def __init__(self, model: Counts, rows: list[tuple[int, int, bytes]], order: int):
+        parts, self.flushes = [_unpress(blob) for _, _, blob in rows], [flush for flush, _, _ in rows]
+        self.shift = np.cumsum([0, *(n for _, n, _ in rows)])
 
         def keys_of(place):
-            number = np.concatenate([p[place] for p in parts]).astype(np.int64)
-            key = model.keys[np.maximum(number, 0)]
+            number = np.concatenate([p[place] for p in parts])
+            key = model.keys[number]
             key[number < 0] = np.concatenate([p[place + 1] for p in parts])
-            return key
-
-        shift = np.cumsum([0, *docs_in])
-        doc = np.concatenate([p[0] + s for p, s in zip(parts, shift, strict=False)])
-        held = np.concatenate([np.unpackbits(p[1], count=n) for p, n in zip(parts, docs_in, strict=True)]).astype(bool)
-        w_key = keys_of(2)
-        contexts = _contexts([keys_of(2 * back + 2) for back in range(1, order)])
-        parts.clear()
-        learn = ~held[doc]
-        # local numbers, so that one 64-bit key sorts the grams
-        names, first, v_id = np.unique(contexts[-1], return_index=True, return_inverse=True)
-        lows = np.stack([c[first] for c in contexts[:-1]], axis=1).view(np.int64) if order > 2 else np.zeros((len(names), 0), np.int64)
-        contexts.clear()
-        w_names, w_id = np.unique(w_key, return_inverse=True)
-        pair = (v_id.astype(np.uint64) << np.uint64(32)) | w_id.astype(np.uint64)
-        kinds, at = np.unique(pair, return_inverse=True)
-        r = np.bincount(at[learn], minlength=len(kinds)).astype(np.int64)
-        kv, kw = (kinds >> np.uint64(32)).astype(np.int64), (kinds & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        own = np.bincount(kv, r, len(names)).astype(np.int64)
-        spot = model.heavy_at(names)
-        total = np.where(spot >= 0, model.heavy_totals[np.maximum(spot, 0)], own)
-        of = np.stack([np.bincount(kv[r == k], minlength=len(names)) for k in range(1, K + 2)], axis=1)
-        yield _row(kind=["s"], counts=[of.sum(axis=0).tolist()])
-        # seen tokens: number of each small count, and the part of the score that doesn't hang on discounts
-        seen = r[at] > 0
-        count = r[at]
-        small = np.where(count <= K, count, 0)
-        part = np.where(count <= K, np.log10(np.maximum(count, 1)), np.log10(np.maximum(count - RESERVE, 0.5)))
-        part = np.where(seen, part - np.log10(np.maximum(total[v_id], 1)), 0.0)
-        sums = np.bincount(doc, part, len(held))
-        table = np.bincount(doc * (K + 1) + small, seen, len(held) * (K + 1)).astype(np.int32).reshape(-1, K + 1)
-        for f, a, b in zip(flushes, shift, shift[1:], strict=False):
-            yield _row(kind=["a"], flush=[f], n=[b - a], blob=[_press(sums[a:b].view(np.int64), table[a:b].ravel())])
-        # tokens whose gram is new: looked up in the tables of lower orders
-        new = np.flatnonzero(~seen)
-        flush_of = np.repeat(np.arange(len(flushes)), docs_in)
-        local = np.arange(len(held)) - shift[flush_of]
-        flush_id = np.array(flushes)
-        if len(new):
-            rows, times = _pairs(np.stack([at[new], doc[new]], axis=1))
-            for s in range(0, len(rows), 1 << 16):
-                g, d = rows[s:s + (1 << 16)].T
-                yield _row(kind=["u"] * len(g), k1=names[kv[g]].view(np.int64), k2=w_names[kw[g]].view(np.int64),
-                           counts=[*lows[kv[g]].tolist()], flush=flush_id[flush_of[d]], doc=local[d].astype(np.int32),
-                           n=times[s:s + (1 << 16)])
-        # contexts whose weight is asked for: here, or (dealt by gram) perhaps in another bucket
-        asked = spot >= 0
-        asked[v_id[new]] = True
-        asked &= own > 0
-        pick = np.flatnonzero(asked)
-        large = np.bincount(kv[r > K], minlength=len(names))
-        for s in range(0, len(pick), 1 << 14):
-            p = pick[s:s + (1 << 14)]
-            yield _row(kind=["b"] * len(p), k1=names[p].view(np.int64), n=total[p],
-                       counts=[*np.concatenate([of[p, :K], large[p, None]], axis=1).tolist()])
-        found = np.flatnonzero((r > 0) & asked[kv])
-        for s in range(0, len(found), 1 << 16):
-            q = found[s:s + (1 << 16)]
-            yield _row(kind=["c"] * len(q), k1=names[kv[q]].view(np.int64), k2=w_names[kw[q]].view(np.int64),
-                       counts=[*lows[kv[q]].tolist()])
+            return key, number
+        marked = np.concatenate([p[0] for p in parts])
+        self.learn = marked % 2 == 0
+        self.doc = (marked >> 1) + np.repeat(self.shift[:-1], [len(p[0]) for p in parts])
+        self.word, self.number = keys_of(1)
+        self.contexts = _contexts([keys_of(2 * back + 1)[0] for back in range(1, order)])
+
+
+Dealt = Iterator[tuple[int, tuple]]      # bucket, (kind, flush, n, blob)
+
+
+def _itself(bucket: int) -> int:
+    return bucket
+
+
+def _buckets(rows: Dealt) -> dict[int, dict[str, list[tuple]]]:
+    """The rows of a partition (one bucket, where there are as many partitions) by bucket and kind."""
+    out: dict[int, dict[str, list[tuple]]] = {}
+    for bucket, (kind, *row) in rows:
+        out.setdefault(bucket, {}).setdefault(kind, []).append(tuple(row))
+    return out
+
+
+def _survey(key: str, shared, order: int, slices_of: int):
+    """Buckets: counts of counts of their grams, and what they have only a part of, by word; (kind, slice, bucket, blob) rows."""
+
+    def run(rows: Dealt) -> Iterator[tuple]:
+        model = once(key, lambda: shared.value)
+        for bucket, kinds in _buckets(rows).items():
+            if "p" not in kinds:
+                continue
+            t = Bucket(model, kinds["p"], order)
+            of, asked = [], []
+            rare = np.flatnonzero(t.number < 0)
+            names, _, at = _unique(t.word[rare])
+            asked.append((np.full(len(names), -1), names, np.bincount(at, t.learn[rare], len(names))))
+            for context in t.contexts:
+                spot = model.hot_at(context)
+                c = np.unique(joined(context, t.word)[(spot < 0) & t.learn], return_counts=True)[1]
+                of.append(np.bincount(np.minimum(c, K + 2), minlength=K + 3)[1:K + 2].astype(np.int64))
+                part = np.flatnonzero(spot >= 0)
+                names, first, at = _unique(joined(context[part], t.word[part]))
+                asked.append((spot[part][first], t.word[part][first], np.bincount(at, t.learn[part], len(names))))
+            yield "s", 0, bucket, _press(*of)
+            spot, word, c = (np.concatenate(x) for x in zip(*asked))
+            by = np.argsort(side := mix64(word) % np.uint64(slices_of))
+            edges = np.searchsorted(side[by], np.arange(slices_of + 1, dtype=np.uint64))
+            for b in range(slices_of):
+                some = by[edges[b]:edges[b + 1]]
+                if len(some):
+                    yield "e", b, bucket, _press(spot[some].astype(np.int32), word[some], c[some].astype(np.int64))
 
     return run
 
 
-def _document_sums(rows: DataFrame) -> DataFrame:
-    """(flush, doc, seen, tokens with count 1..K) summed over the buckets of each flush."""
+def _answer(key: str, shared):
+    """Words of one slice: whole counts for the buckets that asked, and sums of hot contexts that don't hang on discounts.
+
+    By context: grams with counts 1 .. K + 1, with more than K, tokens; grams whose lower gram has a count of 1 .. K; larger
+    lower counts, each less RESERVE.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        total = None
-        for blob in table.column("blob").to_pylist():
-            sums, counts = _unpress(blob)
-            sums, counts = sums.view(np.float64), counts.reshape(-1, K + 1)
-            total = (sums.copy(), counts.astype(np.int64)) if total is None else (total[0] + sums, total[1] + counts)
-        n = len(total[0])
-        return pa.table({"flush": pa.array([table.column("flush")[0].as_py()] * n, pa.int64()), "doc": pa.array(range(n), pa.int32()),
-                         "seen": pa.array(total[0]), **{f"r{k}": pa.array(total[1][:, k]) for k in range(1, K + 1)}})
-
-    return rows.select("flush", "blob").groupBy("flush").applyInArrow(
-        run, "flush long, doc int, seen double, " + ", ".join(f"r{k} long" for k in range(1, K + 1)))
-
-
-def _kept(c, d: list[float]):
-    """Discounted counts, as a column."""
-    value = c - RESERVE
-    for r in range(K, 0, -1):
-        value = F.when(c == r, F.lit(r * d[r - 1])).otherwise(value)
-    return value
-
-
-def _lost(d: list[float]):
-    """What the discounts take from a context, from its numbers of words seen 1 .. K times (n1 ..) and more often."""
-    return sum((F.col(f"n{r}") * F.lit(r * (1 - d[r - 1])) for r in range(1, K + 1)), F.col(f"n{K + 1}") * F.lit(RESERVE))
-
-
-class Backoff:
-    """The orders below the highest, as tables: counted grams, and per context its total and backoff weight."""
-
-    def __init__(self, grams: DataFrame, order: int, model: Counts):
-        self.grams, self.order, self.model = grams, order, model
-        small = {(r["level"], r["c"]): r["n"] for r in grams.where((F.col("level") > 1) & (F.col("c") <= K + 1))
-                 .groupBy("level", "c").agg(F.count(F.lit(1)).alias("n")).collect()}
-        self.d = {level: discounts({r: n for (at, r), n in small.items() if at == level}) for level in range(2, order)}
-        self.contexts: dict[int, DataFrame] = {}
-        for level in range(2, order):
-            self.contexts[level] = self._weights(level)
-
-    def level(self, level: int) -> DataFrame:
-        return self.grams.where(F.col("level") == level)
-
-    def _weights(self, level: int) -> DataFrame:
-        """(ctx, total, weight) of one order; what its grams' words have below comes from the tables made before."""
-        own = self.level(level).select("ctx", "w", "c", F.col("low").alias(f"h{level - 2}"))
-        below = self.probability(own, level - 1, seen=True)
-        c = F.col("c")
-        numbers = [F.sum(F.when(c == r, 1).otherwise(0)).alias(f"n{r}") for r in range(1, K + 1)]
-        sums = below.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("p").alias("mass"), *numbers,
-                                        F.sum(F.when(c > K, 1).otherwise(0)).alias(f"n{K + 1}"))
-        return materialize(sums.select("ctx", "total", ((_lost(self.d[level]) / F.col("total")) / (1.0 - F.col("mass"))).alias("weight")),
-                           f"contexts-{level}")
-
-    def probability(self, rows: DataFrame, level: int, seen: bool = False) -> DataFrame:
-        """``rows`` with p, the probability of ``w`` at an order; h1, h2 ..: its contexts of one word, two ..
-
-        ``seen``: all rows are known to stand in the table of that order, so none backs off.
-        """
-        if level == 1:
-            known = self.level(1).select("w", F.col("c").alias("c1"))
-            d1, tokens = [float(x) for x in self.model.d[1:]], float(max(self.model.tokens, 1))
-            p = F.when(F.col("c1").isNull(), F.lit(float(self.model.unknown))).otherwise(_kept(F.col("c1"), d1) / tokens)
-            return rows.join(known, "w", "left").withColumn("p", p).drop("c1")
-        if not seen:
-            rows = self.probability(rows, level - 1).withColumnRenamed("p", "below")
-        at = f"h{level - 1}"
-        table = self.level(level).select(F.col("ctx").alias(at), "w", F.col("c").alias("ck"))
-        contexts = self.contexts[level].select(F.col("ctx").alias(at), F.col("total").alias("tk"), F.col("weight").alias("bk"))
-        found = _kept(F.col("ck"), self.d[level]) / F.col("tk")
-        if not seen:
-            found = F.when(F.col("ck").isNotNull(), found).otherwise(F.coalesce("bk", F.lit(1.0)) * F.col("below"))
-        out = rows.join(table, [at, "w"], "left").join(contexts, at, "left").withColumn("p", found)
-        return out.drop(at, "ck", "tk", "bk", "below")
-
-
-def _heavy(grams: DataFrame, model: Counts, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts of the highest order with more than a quarter bucket of tokens, and their totals; at most 4 * buckets and FREQUENT."""
-    least = max(model.tokens // (4 * buckets), model.tokens // FREQUENT)
-    start = np.array([START])
-    for _ in range(order - 2):
-        start = joined(start, np.array([START]))
-    top = grams.where((F.col("level") == order - 1) & (F.col("c") > least) & (F.col("w") != int(END))).select("ctx", "w", "c").toArrow()
-    ctx, w = (top.column(c).to_numpy().view(np.uint64) if top.num_rows else np.zeros(0, np.uint64) for c in ("ctx", "w"))
-    keys = np.append(joined(ctx, w) if order > 2 else w, start)
-    totals = np.append(top.column("c").to_numpy() if top.num_rows else np.zeros(0, np.int64), model.docs)
-    by = np.argsort(keys)
-    return keys[by], totals[by]
+        model = once(key, lambda: shared.value)
+        parts = [_unpress(b) for b in table.column("blob").to_pylist()]
+        spot, word, c = (np.concatenate(x) for x in zip(*parts))
+        asked = np.where(spot < 0, word, joined(model.hot[spot], word) if len(model.hot) else word)
+        names, first, at = _unique(asked)
+        whole = np.bincount(at, c, len(names)).astype(np.int64)
+        out, begin = [], 0
+        for bucket, p in zip(table.column("bucket").to_pylist(), parts):
+            mine = slice(begin, begin + len(p[0]))
+            out.append(_row(kind=["r"], k1=[bucket], blob=[_press(asked[mine], whole[at[mine]])]))
+            begin += len(p[0])
+        pick = np.flatnonzero((spot[first] >= 0) & (whole > 0))
+        if len(pick):
+            h, r, w = spot[first][pick].astype(np.int64), whole[pick], word[first][pick]
+            low = model.lower[h]
+            below = model.number(w)
+            lower = model.counts[below]
+            look = (low >= 0) | (below < 0)
+            lower[look] = whole[np.searchsorted(names, np.where(low >= 0, joined(model.hot[low], w), w)[look])]
+            kinds, n = np.unique(h), len(model.hot)
+            sums = [*(np.bincount(h, r == k, n) for k in range(1, K + 2)), np.bincount(h, r > K, n), np.bincount(h, r, n),
+                    *(np.bincount(h, lower == k, n) for k in range(1, K + 1)),
+                    np.bincount(h, np.where(lower > K, lower - RESERVE, 0), n)]
+            out.append(_row(kind=["h"] * len(kinds), k1=kinds, sums=[*np.stack(sums, axis=1)[kinds].astype(float)]))
+        return pa.Table.from_batches(out)
+
+    return run
+
+
+class Rules:
+    """Discounts of the orders above the first; tokens, mass taken by discounts and mass of lower grams of hot contexts."""
+
+    def __init__(self, model: Counts, order: int, of: np.ndarray, sums: np.ndarray):
+        for size in range(1, order):
+            of[size - 1] += sums[model.words_of == size, :K + 1].sum(0).astype(np.int64)
+        self.d = [model.d, *(np.array([0.0, *discounts(dict(enumerate(n.tolist(), 1)))]) for n in of)]
+        large, self.total, lower, rest = sums[:, K + 1], sums[:, K + 2], sums[:, K + 3:2 * K + 3], sums[:, 2 * K + 3]
+        r = np.arange(1, K + 1)
+        own = np.array([self.d[size][1:] for size in model.words_of]).reshape(-1, K)
+        low = np.array([self.d[size - 1][1:] for size in model.words_of]).reshape(-1, K)
+        self.lost = (sums[:, :K] * r * (1 - own)).sum(1) + large * RESERVE
+        whole = np.where(model.lower >= 0, self.total[model.lower], model.tokens) if len(model.hot) else np.zeros(0)
+        self.mass = ((lower * r * low).sum(1) + rest) / np.maximum(whole, 1)
+
+
+def _score(key: str, shared, order: int, rules: Rules):
+    """Buckets: log10 probabilities of their tokens, summed by document; rows of documents are handed on. (kind, flush, blob) rows."""
+
+    def run(rows: Dealt) -> Iterator[tuple]:
+        model = once(key, lambda: shared.value)
+        for kinds in _buckets(rows).values():
+            for flush, _, blob in kinds.get("d", []):
+                yield "d", flush, blob
+            if "p" in kinds:
+                yield from scored(model, Bucket(model, kinds["p"], order), [_unpress(blob) for _, _, blob in kinds.get("r", [])])
+
+    def scored(model: Counts, t: Bucket, replies: list[list[np.ndarray]]) -> Iterator[tuple]:
+        asked, whole = (np.concatenate(x) for x in zip(*replies)) if replies else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        by = np.argsort(asked)
+        asked, whole = asked[by], whole[by]
+
+        def answer(names):
+            return whole[np.searchsorted(asked, names)]
+        count = model.counts[t.number]
+        rare = np.flatnonzero(t.number < 0)
+        count[rare] = answer(t.word[rare])
+        p = model.probability(count)
+        for size, context in enumerate(t.contexts, 1):
+            d = rules.d[size]
+            names, first, at = _unique(joined(context, t.word))
+            r = np.bincount(at, t.learn, len(names)).astype(np.int64)
+            below, context = p[first], context[first]
+            known, _, of = _unique(context)
+            spot = model.hot_at(known)
+            hot = spot[of] >= 0
+            r[hot] = answer(names[hot])
+            held_back = kept(r, d)
+            total = np.bincount(of, r, len(known))
+            lost = np.bincount(of, r - held_back, len(known))
+            mass = np.bincount(of, np.where(r > 0, below, 0.0), len(known))
+            for own, of_all in ((total, rules.total), (lost, rules.lost), (mass, rules.mass)):
+                own[spot >= 0] = of_all[spot[spot >= 0]]
+            weight = np.where(total > 0, lost / np.maximum(total, 1) / (1.0 - np.where(total > 0, mass, 0.0)), 1.0)
+            p = np.where(r > 0, held_back / np.maximum(total[of], 1), weight[of] * below)[at]
+        n = t.shift[-1]
+        there = np.flatnonzero(np.bincount(t.doc, minlength=n))
+        score = np.bincount(t.doc, np.log10(p), n)[there]
+        odd = t.doc[rare]
+        hits, base = np.bincount(odd, count[rare] > 0, n)[there].astype(np.int32), np.bincount(odd, model.base(count[rare]), n)[there]
+        edges = np.searchsorted(there, t.shift)
+        for k, f in enumerate(t.flushes):
+            s = slice(edges[k], edges[k + 1])
+            yield "a", f, _press((there[s] - t.shift[k]).astype(np.int32), score[s], hits[s], base[s])
+
+    return run
+
+
+def _documents(table: pa.Table) -> pa.Table:
+    """The documents of one flush, with what the buckets found for them."""
+    ids, none, n, hits, held, base = _unpress(table.filter(pc.equal(table.column("kind"), "d")).column("blob")[0].as_py())
+    score = np.zeros(len(n))
+    for blob in table.filter(pc.equal(table.column("kind"), "a")).column("blob").to_pylist():
+        doc, s, h, b = _unpress(blob)
+        score[doc] += s
+        hits[doc] += h
+        base[doc] += b
+    return pa.table({"id": pa.array(ids, mask=none == 1), "held_out": held == 1, "n_tokens": n, "n_known": hits,
+                     "base_score": base, "score": score})
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
@@ -494,41 +524,34 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     bound_batches(spark)
     bodies = text_bytes(docs.select(F.col(id_col).cast("long").alias("id"), held_out(id_col).alias("held"), F.col(text).alias("__text")),
                         "id", "held", text="__text")
-    grams = store_grams(bodies.where("not held"), order)
-    table = grams.where("level = 1").select("w", "c")
-    ends = table.where(F.col("w") == int(END)).first()
+    found = materialize(count_words(bodies.where("not held"), order), "words", compression="zstd")
+    table = found.where("level = 1").select("key", "c")
+    ends = table.where(F.col("key") == int(END)).first()
     model = load_counts(table, ends["c"] if ends else 0)
     buckets = 12 + model.tokens // BUCKET_TOKENS
-    model.heavy, model.heavy_totals = _heavy(grams, model, order, buckets)
-    key, shared = fresh_key(), spark.sparkContext.broadcast(model)     # at most FREQUENT + 1 words and as many contexts
-    dealt = _deal(bodies, key, shared, buckets, order).withColumn("buckets", F.lit(buckets))
-    found = materialize(dealt.groupBy("k1", "buckets").applyInArrow(_reduce(key, shared, order), OUT), "model", compression="zstd")
-
-    stats = [r["counts"] for r in found.where("kind = 's'").select("counts").collect()]      # one row per bucket
-    top = discounts({k + 1: sum(s[k] for s in stats) for k in range(K + 1)})
-    backoff = Backoff(grams, order, model)
-    lows = [F.col("counts")[k].alias(f"h{k + 1}") for k in range(order - 2)]
-    asked = found.where("kind = 'c'").select("k1", F.col("k2").alias("w"), *lows[-1:])
-    mass = backoff.probability(asked, order - 1, seen=True).groupBy("k1").agg(F.sum("p").alias("mass"))
-    contexts = found.where("kind = 'b'").groupBy("k1").agg(
-        F.max("n").alias("total"), *[F.sum(F.col("counts")[k]).alias(f"n{k + 1}") for k in range(K + 1)])
-    weights = contexts.join(mass, "k1").select("k1", F.log10((_lost(top) / F.col("total")) / (1.0 - F.col("mass"))).alias("weight"))
-    new = found.where("kind = 'u'").select("k1", F.col("k2").alias("w"), *lows, "flush", "doc", "n")
-    new = backoff.probability(new, order - 1).join(weights, "k1", "left").groupBy("flush", "doc").agg(
-        F.sum(F.col("n") * (F.coalesce("weight", F.lit(0.0)) + F.log10("p"))).alias("back"))
-    uni = table.withColumnRenamed("w", "k2")
-    odd = found.where("kind = 'x'").select("k2", "flush", "doc", "n").join(uni, "k2", "left").groupBy("flush", "doc").agg(
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("odd_known"),
-        F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.1) / F.lit(model.tokens + 0.1 * (model.kinds + 1)))).alias("odd_base"))
-    seen = _document_sums(found.where("kind = 'a'"))
-    where = ["flush", "doc"]
-    out = (found.where("kind = 'd'").select("flush", "doc", F.col("k2").alias("id"), "n", "m", "f", F.col("counts")[0].alias("held"))
-           .join(seen, where, "left").join(new, where, "left").join(odd, where, "left"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    score = zero("seen") + zero("back")
-    for r in range(1, K + 1):
-        score = score + zero(f"r{r}") * F.lit(math.log10(top[r - 1]))
+    find_hot(found, model, buckets)
+    key, shared = fresh_key(), spark.sparkContext.broadcast(model)     # at most FREQUENT + 1 words and some contexts a bucket
+
+    # both passes read the one shuffle
+    dealt = _deal(bodies, key, shared, buckets, order).rdd.map(
+        lambda r: (r["k1"], (r["kind"], r["flush"], r["n"], bytes(r["blob"])))).partitionBy(buckets, _itself)
+    survey = materialize(spark.createDataFrame(dealt.mapPartitions(_survey(key, shared, order, 1 + buckets // 8)),
+                                               "kind string, slice long, bucket long, blob binary", verifySchema=False), "survey")
+    answers = materialize(survey.where("kind = 'e'").groupBy("slice").applyInArrow(_answer(key, shared), OUT), "answers")
+    counts = np.zeros((order - 1, K + 1), dtype=np.int64)
+    for row in survey.where("kind = 's'").select("blob").collect():      # one row per bucket
+        counts += np.stack(_unpress(row["blob"]))
+    sums = np.zeros((len(model.hot), 2 * K + 4))
+    for row in answers.where("kind = 'h'").groupBy("k1").agg(F.array(*[F.sum(F.col("sums")[k]) for k in range(2 * K + 4)]).alias("sums")).collect():
+        sums[row["k1"]] = row["sums"]
+    rules = Rules(model, order, counts, sums)
+    replies = answers.where("kind = 'r'").select("k1", "blob").rdd.map(lambda r: (r["k1"], ("r", 0, 0, bytes(r["blob"])))).partitionBy(buckets, _itself)
+    both = dealt.union(replies)
+    if both.getNumPartitions() != dealt.getNumPartitions():
+        raise RuntimeError("tokens and replies must be dealt alike")
+    scored = spark.createDataFrame(both.mapPartitions(_score(key, shared, order, rules)), "kind string, flush long, blob binary", verifySchema=False)
+    rows = scored.groupBy("flush").applyInArrow(
+        _documents, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     kind = docs.schema[id_col].dataType
-    return out.select(F.col("id").cast(kind).alias(id_col), (F.col("held") == 1).alias("held_out"), F.col("n").alias("n_tokens"),
-                      (F.col("m") + zero("odd_known")).cast("long").alias("n_known"), F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
-                      (F.col("f") + zero("odd_base")).alias("base_score"), score.cast("double").alias("score"))
+    return rows.select(F.col("id").cast(kind).alias(id_col), "held_out", "n_tokens", "n_known",
+                       F.lit(int(model.tokens)).cast("long").alias("train_tokens"), "base_score", "score")
