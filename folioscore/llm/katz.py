@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from ..session import materialize
 from .common import BASE, body_parts, bound_batches, fresh_key, mix64, null_free, once, slices, text_bytes, words
@@ -35,12 +35,12 @@ ORDER = 3
 K = 5
 RESERVE = 0.05
 FREQUENT = 1 << 20
-FLUSH_TOKENS = 1_000_000
-BUCKET_TOKENS = 1_000_000
+FLUSH_TOKENS = 600_000
+BUCKET_TOKENS = 800_000
 HOT_SHARE = 4               # a context with more than this part (one in so many) of a bucket's tokens is hot
 SEEN_SHARE = 20_000         # contexts of several words are counted where a flush has one in so many of them
 START, END = np.uint64(0x51A27), np.uint64(0xE2D)      # keys of the start context and the end token
-OUT = "kind string, k1 long, flush long, n long, sums array<double>, blob binary"
+OUT = "kind string, k1 long, sums array<double>, blob binary"
 WORDS = "level int, key long, low long, c long"
 
 
@@ -140,7 +140,7 @@ def count_words(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 if size >= FLUSH_TOKENS:
                     yield from flush()
                     waiting, size = [], 0
-                    if large > 2_000_000:
+                    if large > 1_200_000:
                         yield from counted()
                         found, large = [], 0
         if waiting:
@@ -169,7 +169,7 @@ class Counts:
     def __init__(self, keys: np.ndarray, counts: np.ndarray, tokens: int, kinds: int, of_counts: dict[int, int], docs: int):
         by = np.lexsort((keys, -counts))
         self.keys, self.counts = keys[by], counts[by]
-        self.place = np.argsort(self.keys)
+        self.place = np.argsort(self.keys).astype(np.int32)
         self.names = self.keys[self.place]
         self.tokens, self.kinds, self.docs = tokens, kinds, docs
         self.d = np.array([0.0, *discounts(of_counts)])
@@ -240,7 +240,7 @@ def find_hot(found: DataFrame, model: Counts, buckets: int) -> None:
 def _row(**columns) -> pa.RecordBatch:
     """One OUT batch; missing columns are null."""
     n = len(next(iter(columns.values())))
-    kinds = {"kind": pa.string(), "k1": pa.int64(), "flush": pa.int64(), "n": pa.int64(), "sums": pa.list_(pa.float64()), "blob": pa.binary()}
+    kinds = {"kind": pa.string(), "k1": pa.int64(), "sums": pa.list_(pa.float64()), "blob": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array(columns[c], type=t) if c in columns else pa.nulls(n, t) for c, t in kinds.items()],
                                       list(kinds))
 
@@ -266,10 +266,30 @@ def _unpress(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFrame:
+Dealt = Iterator[tuple[int, tuple]]      # bucket, (kind, flush, n, blob)
+
+
+def _gathered(rows: Iterator[Row]) -> Iterator[pa.RecordBatch]:
+    """(id, held, body) rows as batches, of about 2 MB of text or one row."""
+    waiting, size = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*waiting), (pa.int64(), pa.bool_(), pa.binary()))],
+                                          ["id", "held", "body"])
+    for row in rows:
+        waiting.append(tuple(row))
+        size += len(row["body"] or b"")
+        if size >= 2 << 20 or len(waiting) >= 1000:
+            yield batch()
+            waiting, size = [], 0
+    if waiting:
+        yield batch()
+
+
+def _deal(key: str, shared, buckets: int, order: int):
     """Map side: per flush a packed row of tokens, with the words before them, for each bucket, and the documents of the flush."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(docs: Iterator[Row]) -> Dealt:
         model = once(key, lambda: shared.value)
         part, number = TaskContext.get().partitionId(), 0
         waiting, size = [], 0
@@ -288,8 +308,8 @@ def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFr
             first = model.number(np.array([START]))[0]
             base = np.bincount(doc, np.where(word >= 0, model.base(model.counts[word]), 0.0), len(n))
             hits = np.bincount(doc, word >= 0, len(n)).astype(np.int64)
-            yield _row(kind=["d"], k1=[flush % buckets], flush=[flush], n=[len(n)], blob=[_press(
-                null_free(ids), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int32), n, hits, held.astype(np.int32), base)])
+            yield flush % buckets, ("d", flush, len(n), _press(
+                null_free(ids), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int32), n, hits, held.astype(np.int32), base))
             before, place = _before(token, n, order), np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
             numbers = []
             for back in range(1, order):
@@ -318,20 +338,19 @@ def _deal(docs: DataFrame, key: str, shared, buckets: int, order: int) -> DataFr
                 packed = []
                 for keys, number_of in ((token, word), *zip(before, numbers, strict=True)):
                     packed += [number_of[at], keys[at][number_of[at] < 0]]
-                yield _row(kind=["p"], k1=[b], flush=[flush], n=[len(n)], blob=[_press(marked[at], *packed)])
-
-        for whole in batches:
-            for batch in slices(whole):
-                token, _, n = _tokens(batch)
-                waiting.append((token, n, batch.column("id"), batch.column("held").to_numpy(zero_copy_only=False)))
-                size += len(token)
-                if size >= FLUSH_TOKENS:
-                    yield from out()
-                    waiting, size = [], 0
+                yield b, ("p", flush, len(n), _press(marked[at], *packed))
+
+        for batch in _gathered(docs):
+            token, _, n = _tokens(batch)
+            waiting.append((token, n, batch.column("id"), batch.column("held").to_numpy(zero_copy_only=False)))
+            size += len(token)
+            if size >= FLUSH_TOKENS:
+                yield from out()
+                waiting, size = [], 0
         if waiting:
             yield from out()
 
-    return docs.mapInArrow(run, OUT)
+    return run
 
 
 class Bucket:
@@ -350,10 +369,9 @@ class Bucket:
         self.learn = marked % 2 == 0
         self.doc = (marked >> 1) + np.repeat(self.shift[:-1], [len(p[0]) for p in parts])
         self.word, self.number = keys_of(1)
-        self.contexts = _contexts([keys_of(2 * back + 1)[0] for back in range(1, order)])
-
-
-Dealt = Iterator[tuple[int, tuple]]      # bucket, (kind, flush, n, blob)
+        before = [keys_of(2 * back + 1)[0] for back in range(1, order)]
+        parts.clear()
+        self.contexts = _contexts(before)
 
 
 def _itself(bucket: int) -> int:
@@ -475,8 +493,8 @@ def _score(key: str, shared, order: int, rules: Rules):
         rare = np.flatnonzero(t.number < 0)
         count[rare] = answer(t.word[rare])
         p = model.probability(count)
-        for size, context in enumerate(t.contexts, 1):
-            d = rules.d[size]
+        for size in range(1, order):
+            d, context = rules.d[size], t.contexts.pop(0)
             names, first, at = _unique(joined(context, t.word))
             r = np.bincount(at, t.learn, len(names)).astype(np.int64)
             below, context = p[first], context[first]
@@ -533,8 +551,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     key, shared = fresh_key(), spark.sparkContext.broadcast(model)     # at most FREQUENT + 1 words and some contexts a bucket
 
     # both passes read the one shuffle
-    dealt = _deal(bodies, key, shared, buckets, order).rdd.map(
-        lambda r: (r["k1"], (r["kind"], r["flush"], r["n"], bytes(r["blob"])))).partitionBy(buckets, _itself)
+    dealt = bodies.select("id", "held", "body").rdd.mapPartitions(_deal(key, shared, buckets, order)).partitionBy(buckets, _itself)
     survey = materialize(spark.createDataFrame(dealt.mapPartitions(_survey(key, shared, order, 1 + buckets // 8)),
                                                "kind string, slice long, bucket long, blob binary", verifySchema=False), "survey")
     answers = materialize(survey.where("kind = 'e'").groupBy("slice").applyInArrow(_answer(key, shared), OUT), "answers")
