@@ -35,7 +35,8 @@ ORDER = 3
 K = 5
 RESERVE = 0.05
 FREQUENT = 1 << 20
-FLUSH_TOKENS = 600_000
+FLUSH_TOKENS = 450_000
+SLICE_BYTES = 1 << 19       # text that is cut into words at once; takes some fifty times as much memory
 BUCKET_TOKENS = 800_000
 HOT_SHARE = 4               # a context with more than this part (one in so many) of a bucket's tokens is hot
 SEEN_SHARE = 20_000         # contexts of several words are counted where a flush has one in so many of them
@@ -133,7 +134,7 @@ def count_words(docs: DataFrame, order: int = ORDER) -> DataFrame:
             yield from rows(1, keys, np.zeros_like(keys), c)
 
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, limit=SLICE_BYTES):
                 token, _, n = _tokens(batch)
                 waiting.append((token, n))
                 size += len(token)
@@ -270,7 +271,7 @@ Dealt = Iterator[tuple[int, tuple]]      # bucket, (kind, flush, n, blob)
 
 
 def _gathered(rows: Iterator[Row]) -> Iterator[pa.RecordBatch]:
-    """(id, held, body) rows as batches, of about 2 MB of text or one row."""
+    """(id, held, body) rows as batches, of about SLICE_BYTES of text or one row."""
     waiting, size = [], 0
 
     def batch():
@@ -279,7 +280,7 @@ def _gathered(rows: Iterator[Row]) -> Iterator[pa.RecordBatch]:
     for row in rows:
         waiting.append(tuple(row))
         size += len(row["body"] or b"")
-        if size >= 2 << 20 or len(waiting) >= 1000:
+        if size >= SLICE_BYTES or len(waiting) >= 1000:
             yield batch()
             waiting, size = [], 0
     if waiting:

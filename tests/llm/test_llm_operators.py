@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import zlib
 
@@ -358,6 +359,20 @@ def test_katz_matches_a_plain_model(sane, monkeypatch, order):
         assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - plain.score(w)) < 1e-6 * max(1, len(w) / 100), i
 
 
+def test_katz_splits_hot_contexts_and_writes_no_table_of_grams(sane, monkeypatch):
+    from folioscore.session import scratch_root
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 400)     # many buckets, so that "a" and "a b" are hot
+    monkeypatch.setattr(katz, "FREQUENT", 5)
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["a b", "a b", "c", f"w{rng.randint(0, 300)}"]) for _ in range(rng.randint(1, 80))) for _ in range(120)]
+    before = set(os.listdir(scratch_root(sane)))
+    got = by_id(katz.score_documents(make(sane, texts)))
+    assert {x.split("-")[0] for x in set(os.listdir(scratch_root(sane))) - before} == {"words", "survey", "answers"}
+    tokens = [t.encode().split() + [None] for t in texts]
+    plain = PlainKatz([w for i, w in enumerate(tokens) if zlib.crc32(str(i).encode()) % 10], 3)
+    assert all(abs(got[i]["score"] - plain.score(w)) < 1e-6 for i, w in enumerate(tokens))
+
+
 def test_katz_without_training_rows(sane):
     docs = make(sane, ["some words here", "", None, "x"])
     assert katz.score_documents(docs.where("doc_id < 0")).count() == 0
